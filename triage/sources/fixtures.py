@@ -78,6 +78,7 @@ def mail(events: DataFrame) -> DataFrame:
         (eid % 9 != 0).alias("needs_body"),
         F.when(eid % 2 == 0, c("ts") + hours(2)).alias("analyzed_at"),
         (eid % 10 == 1).alias("auto_processed"),
+        (F.lit(1) + eid % 5).cast("int").alias("to_count"),
         F.when(eid % 4 == 0, F.lit("notFlagged")).when(eid % 4 == 1, F.lit("flagged"))
         .when(eid % 4 == 2, F.lit("")).alias("flag_status"),
     )
@@ -416,6 +417,7 @@ SQL: dict[str, str] = {
   event_id % 9 <> 0 as needs_body,
   case when event_id % 2 = 0 then ts + interval '2' hour else null end as analyzed_at,
   event_id % 10 = 1 as auto_processed,
+  cast(1 + event_id % 5 as int) as to_count,
   case event_id % 4 when 0 then 'notFlagged' when 1 then 'flagged' when 2 then '' else null end as flag_status
 from events""",
     "decision": """select 'msg-' || cast(event_id as varchar) as message_id,
