@@ -79,6 +79,8 @@ def mail(events: DataFrame) -> DataFrame:
         F.when(eid % 2 == 0, c("ts") + hours(2)).alias("analyzed_at"),
         (eid % 10 == 1).alias("auto_processed"),
         (F.lit(1) + eid % 5).cast("int").alias("to_count"),
+        split_bar(F.when(eid % 5 == 0, F.lit("Finance|Review")).when(eid % 5 == 1, F.lit("Review"))
+                  .when(eid % 5 == 3, F.lit("A|A")).when(eid % 5 == 4, F.lit("A"))).alias("categories"),
         F.when(eid % 4 == 0, F.lit("notFlagged")).when(eid % 4 == 1, F.lit("flagged"))
         .when(eid % 4 == 2, F.lit("")).alias("flag_status"),
     )
@@ -418,6 +420,7 @@ SQL: dict[str, str] = {
   case when event_id % 2 = 0 then ts + interval '2' hour else null end as analyzed_at,
   event_id % 10 = 1 as auto_processed,
   cast(1 + event_id % 5 as int) as to_count,
+  string_split(case event_id % 5 when 0 then 'Finance|Review' when 1 then 'Review' when 3 then 'A|A' when 4 then 'A' end, '|') as categories,
   case event_id % 4 when 0 then 'notFlagged' when 1 then 'flagged' when 2 then '' else null end as flag_status
 from events""",
     "decision": """select 'msg-' || cast(event_id as varchar) as message_id,
