@@ -44,4 +44,5 @@ FOREIGN_KEYS = {
     "header": "message_id",
     "desired_state": "message_id",
     "feedback": "message_id",
+    "body": "message_id",
 }
