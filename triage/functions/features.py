@@ -68,7 +68,7 @@ def match_unsub_domain(col: Column) -> Column:
 
 
 def match_features(mail) -> list[Column]:
-    """The matcher's feature columns, named as features, for a mail DataFrame."""
+    """The matcher's feature columns, named as features, for a mail DataFrame (column form)."""
     c = F.col
     return [
         match_address(c("from_address")).alias("from_address"),
@@ -83,6 +83,43 @@ def match_features(mail) -> list[Column]:
     ]
 
 
+ADDRESS_COLUMNS = ("from_address", "sender_address", "reply_to_address")
+
+
+def select_match_features(mail, keep: tuple = ("message_id",)):
+    """The matcher's features in staged projections (each regex pass runs once per row).
+
+    Same values as ``match_features``; the trimmed and display-name-stripped addresses are
+    columns of their own projections so later steps reference them without re-evaluation.
+    """
+    c = F.col
+    s1 = mail.select(*keep, "from_domain", "message_id_header", "list_id", "unsubscribe_link", "precedence",
+                     "auto_submitted", *ADDRESS_COLUMNS,
+                     *[F.lower(js_trim(c(a))).alias(f"_t_{a}") for a in ADDRESS_COLUMNS])
+    s2 = s1.select("*", *[F.coalesce(_first(c(f"_t_{a}"), "<([^>]+)>"), c(f"_t_{a}")).alias(f"_a_{a}")
+                          for a in ADDRESS_COLUMNS])
+
+    def norm(a):
+        x = c(f"_a_{a}")
+        n = F.when(F.instr(x, "@") > 0, F.concat(F.split_part(F.split_part(x, F.lit("@"), F.lit(1)), F.lit("+"),
+                                                              F.lit(1)), F.lit("@"),
+                                                 F.split_part(x, F.lit("@"), F.lit(2)))).otherwise(x)
+        return F.when(c(a).isNull() | (c(a) == ""), F.lit(None).cast("string")).otherwise(n)
+
+    s3 = s2.select(*keep, "from_domain", "message_id_header", "list_id", "unsubscribe_link", "precedence",
+                   "auto_submitted", *[norm(a).alias(f"_n_{a}") for a in ADDRESS_COLUMNS])
+    fa = c("_n_from_address")
+    return s3.select(
+        *keep, fa.alias("from_address"), c("_n_sender_address").alias("sender_address"),
+        c("_n_reply_to_address").alias("reply_to_address"),
+        F.coalesce(_empty_to_null(F.lower("from_domain")),
+                   F.when(F.instr(fa, "@") > 0, F.split_part(fa, F.lit("@"), F.lit(2)))).alias("from_domain"),
+        match_message_id_domain(c("message_id_header")).alias("message_id_domain"),
+        match_list_domain(c("list_id")).alias("list_domain"),
+        match_unsub_domain(c("unsubscribe_link")).alias("unsub_domain"),
+        F.lower("precedence").alias("precedence"), F.lower("auto_submitted").alias("auto_submitted"))
+
+
 # --- mining flavour (K2) ------------------------------------------------------
 
 def _replace_whole(col: Column, pattern: str) -> Column:
@@ -112,17 +149,26 @@ def mining_message_id_domain(col: Column) -> Column:
     return F.lower(F.nullif(_replace_whole(col, ".*@([^>]+)>.*"), F.lit("")))
 
 
-def mining_return_path(col: Column) -> Column:
-    clean = (F.when(col.isNull(), F.lit(None).cast("string"))
-             .when(col.rlike("(?s)<.*>"), F.lower(_replace_whole(col, ".*<([^>]+)>.*")))
-             .otherwise(F.lower(col)))
+def mining_return_path_clean(col: Column) -> Column:
+    return (F.when(col.isNull(), F.lit(None).cast("string"))
+            .when(col.rlike("(?s)<.*>"), F.lower(_replace_whole(col, ".*<([^>]+)>.*")))
+            .otherwise(F.lower(col)))
+
+
+def mining_return_path(col: Column, staged: bool = False) -> Column:
+    """Normalised return path; ``staged=True`` when ``col`` is already the cleaned value."""
+    clean = col if staged else mining_return_path_clean(col)
     return F.when(F.instr(clean, "@") > 0,
                   F.concat(F.split_part(F.split_part(clean, F.lit("@"), F.lit(1)), F.lit("+"), F.lit(1)), F.lit("@"),
                            F.split_part(clean, F.lit("@"), F.lit(2)))).otherwise(clean)
 
 
-def mining_features() -> list[Column]:
-    """The miner's ten feature columns over the joined mail/header row."""
+def mining_features(return_path_clean: str | None = None) -> list[Column]:
+    """The miner's ten feature columns over the joined mail/header row.
+
+    Pass ``return_path_clean`` (a column holding ``mining_return_path_clean``) when the cleaned
+    return path was staged in an earlier projection.
+    """
     c = F.col
     return [
         F.lower("from_domain").alias("from_domain"),
@@ -134,7 +180,8 @@ def mining_features() -> list[Column]:
         mining_address(c("from_address")).alias("from_address"),
         mining_address(c("sender_address")).alias("sender_address"),
         mining_address(c("reply_to_address")).alias("reply_to_address"),
-        mining_return_path(c("return_path")).alias("return_path"),
+        (mining_return_path(c(return_path_clean), staged=True) if return_path_clean
+         else mining_return_path(c("return_path"))).alias("return_path"),
     ]
 
 

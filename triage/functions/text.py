@@ -13,7 +13,7 @@ astral characters).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BODY_CHARS = 12000
@@ -39,25 +39,40 @@ def _utf16_unit(hex_col: Column) -> Column:
     return F.decode(F.unhex(h4), "UTF-16BE")
 
 
-def decode_entities(col: Column) -> Column:
+def decode_named(col: Column) -> Column:
     s = col
     for ent, ch in NAMED_ENTITIES:
         s = F.replace(s, F.lit(ent), F.lit(ch))
-    dec = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#(\d+);"), 1))
-    s = F.aggregate(dec, s, lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
-                                                     _utf16_unit(F.conv(n, 10, 16))))
-    hexes = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&#x([0-9a-fA-F]+);"), 1))
-    return F.aggregate(hexes, s, lambda acc, h: F.replace(acc, F.concat(F.lit("&#x"), h, F.lit(";")), _utf16_unit(h)))
+    return s
 
 
-def strip_html(col: Column) -> Column:
+def decode_numeric(col: Column) -> Column:
+    dec = F.array_distinct(F.regexp_extract_all(col, F.lit(r"&#(\d+);"), 1))
+    return F.aggregate(dec, col, lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
+                                                         _utf16_unit(F.conv(n, 10, 16))))
+
+
+def decode_hex(col: Column) -> Column:
+    hexes = F.array_distinct(F.regexp_extract_all(col, F.lit(r"&#x([0-9a-fA-F]+);"), 1))
+    return F.aggregate(hexes, col, lambda acc, h: F.replace(acc, F.concat(F.lit("&#x"), h, F.lit(";")), _utf16_unit(h)))
+
+
+def decode_entities(col: Column) -> Column:
+    """Named, then decimal, then hex entities (column form; ``clean_frame`` stages these)."""
+    return decode_hex(decode_numeric(decode_named(col)))
+
+
+def strip_tags(col: Column) -> Column:
     s = F.coalesce(col, F.lit(""))
     s = F.regexp_replace(s, r"(?i)<script[\s\S]*?>[\s\S]*?</script>", "")
     s = F.regexp_replace(s, r"(?i)<style[\s\S]*?>[\s\S]*?</style>", "")
     s = F.regexp_replace(s, r"(?i)</p>", "\n\n")
     s = F.regexp_replace(s, r"(?i)<br\s*/?>", "\n")
-    s = F.regexp_replace(s, r"</?[^>]+>", "")
-    return decode_entities(s)
+    return F.regexp_replace(s, r"</?[^>]+>", "")
+
+
+def strip_html(col: Column) -> Column:
+    return decode_entities(strip_tags(col))
 
 
 def unwrap_links(col: Column) -> Column:
@@ -105,28 +120,49 @@ def smart_truncate(s: Column, limit: int = MAX_BODY_CHARS) -> Column:
             .otherwise(js_trim(F.substring(s, 1, limit))))
 
 
-def pick_source(content: Column, content_type: Column) -> tuple[Column, Column]:
-    """(base text, body_source label) from a body row: plain text unless blank, else HTML."""
-    plain = F.when(content_type == "text", content)
-    html = F.when(content_type == "html", content)
-    plain_ok = F.coalesce(F.length(js_trim(plain)) > 0, F.lit(False))
-    base = F.when(plain_ok, plain).otherwise(strip_html(html))
-    label = (F.when(F.coalesce(plain != "", F.lit(False)), "text")
-             .when(F.coalesce(html != "", F.lit(False)), "html->text").otherwise("none"))
-    return base, label
-
-
-def clean_columns(content: Column, content_type: Column, limit: int = MAX_BODY_CHARS) -> list[Column]:
-    base, label = pick_source(content, content_type)
-    normalized = normalize_whitespace(decode_safelinks(unwrap_links(base)))
-    body = smart_truncate(normalized, limit)
-    return [
-        F.coalesce(F.length(content), F.lit(0)).cast("int").alias("content_len"),
-        F.sha2(content, 256).alias("content_hash"),
-        body.alias("body_text"),
-        (F.length(normalized) > limit).alias("body_truncated"),
-        label.alias("body_source"),
-    ]
+def clean_frame(df: DataFrame, content: str = "content", content_type: str = "content_type",
+                limit: int = MAX_BODY_CHARS) -> DataFrame:
+    """K9 over a DataFrame, in staged projections.
+
+    Each expensive intermediate (stripped HTML, normalised text, its prefix and reversal) is
+    a named column of its own projection. Catalyst does not inline a non-trivial expression
+    that is consumed more than once, so every regex pass runs once per row instead of once
+    per reference.
+    """
+    ct, raw = F.col(content_type), F.col(content)
+    plain = F.when(ct == "text", raw)
+    html = F.when(ct == "html", raw)
+    s1 = df.select("*", plain.alias("_plain"), html.alias("_html"))
+    s2 = s1.select("*", F.coalesce(F.length(js_trim(F.col("_plain"))) > 0, F.lit(False)).alias("_plain_ok"),
+                   (F.when(F.col("_html").isNotNull(), strip_tags(F.col("_html")))).alias("_tags"))
+    s3 = s2.select("*", decode_named(F.col("_tags")).alias("_named"))
+    s4 = s3.select("*", decode_numeric(F.col("_named")).alias("_dec"))
+    s5 = s4.select("*", decode_hex(F.col("_dec")).alias("_stripped"))
+    base = F.when(F.col("_plain_ok"), F.col("_plain")).otherwise(F.coalesce(F.col("_stripped"), F.lit("")))
+    label = (F.when(F.coalesce(F.col("_plain") != "", F.lit(False)), "text")
+             .when(F.coalesce(F.col("_html") != "", F.lit(False)), "html->text").otherwise("none"))
+    s6 = s5.select("*", unwrap_links(base).alias("_unwrapped"), label.alias("body_source"))
+    s7 = s6.select("*", decode_safelinks(F.col("_unwrapped")).alias("_safe"))
+    s8 = s7.select("*", normalize_whitespace(F.col("_safe")).alias("_norm"))
+    s9 = s8.select("*", F.length("_norm").alias("_n"), F.reverse(F.substring("_norm", 1, limit + 2)).alias("_rp"))
+    s10 = s9.select("*", _last_index_rev(F.col("_rp"), "\n\n").alias("_par"),
+                    _last_index_rev(F.col("_rp"), ". ").alias("_dot"))
+    cut = limit * 0.6
+    n, par, dot, norm = F.col("_n"), F.col("_par"), F.col("_dot"), F.col("_norm")
+    body = (F.when(n <= limit, norm)
+            .when(par > cut, js_trim(F.substring(norm, F.lit(1), par)))
+            .when(dot > cut, js_trim(F.substring(norm, F.lit(1), dot + 1)))
+            .otherwise(js_trim(F.substring(norm, 1, limit))))
+    out = s10.select("*", F.coalesce(F.length(raw), F.lit(0)).cast("int").alias("content_len"),
+                     F.sha2(raw, 256).alias("content_hash"), body.alias("body_text"), (n > limit).alias("body_truncated"))
+    return out.drop("_plain", "_html", "_plain_ok", "_tags", "_named", "_dec", "_stripped", "_unwrapped", "_safe",
+                    "_norm", "_n", "_rp", "_par", "_dot")
+
+
+def _last_index_rev(rev_prefix: Column, x: str) -> Column:
+    """lastIndexOf from the reversed prefix (see ``last_index_of``)."""
+    pos = F.locate(x[::-1], rev_prefix)
+    return F.when(pos > 0, F.length(rev_prefix) - pos - F.lit(len(x)) + 1).otherwise(F.lit(-1))
 
 
 def finish(df, limit: int = MAX_BODY_CHARS):

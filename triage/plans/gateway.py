@@ -1,11 +1,13 @@
 """Gateway: curated lists first, then mined rules, else unmatched (K8, C13-C15, C19, T11-T16),
 plus coverage (I34), composite seed rules (B13, K26) and folder routing (K30).
 
-Plan: match features are computed once per mail (pure projection), unpivoted to
-(message_id, feature, value) and equi-joined to the list / rule tables on (type, value). Those
-tables are config-sized; each broadcast is guarded by ``small_enough`` and falls back to a
-shuffle join. The contains-lists use ``contains_join`` (nested loop only while proven small).
-The winning hit per mail is an argmin over a total order (``min_by``), a partial aggregate.
+Plan (one scan, one shuffle): match features are computed once per mail, exploded to
+(message_id, feature, value) rows, left-joined to one matcher table (equality lists,
+vip_personal, rules) on (feature, value) and to the fragment list on ``contains``. Both tables
+are config-sized and broadcast only behind ``small_enough``; beyond the bound the matcher join
+shuffles and fragments use the exact n-gram equi-join. One aggregate on ``message_id`` picks
+the winners with ``min_by`` over a total order (C15) and a final projection applies the
+precedence lists > finance special case > rules > unmatched (C19).
 """
 
 from __future__ import annotations
@@ -16,9 +18,9 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triage.functions.features import match_features, sql_match_features
+from triage.functions.features import select_match_features, sql_match_features
 from triage.functions.numeric import ratio, sql_ratio
-from triage.operators.joins import contains_join, first_by_priority, maybe_broadcast
+from triage.operators.joins import contains_join, maybe_broadcast, small_enough
 from triage.registry import register
 
 c = F.col
@@ -40,49 +42,98 @@ def priority_score(priority: Column, precision: Column, relevance: Column | None
 
 
 def mail_features(mail: DataFrame) -> DataFrame:
-    return mail.select("message_id", *match_features(mail))
+    return select_match_features(mail)
 
 
-def list_hits(feats: DataFrame, lists: DataFrame) -> DataFrame:
-    """All (message, list entry) matches: equality types by equi-join, fragments by contains."""
+MATCH_COLS = ("kind", "list_type", "identifier_type", "identifier_value", "target_category", "recommended_action",
+              "priority", "version", "precision_cat_pct", "support")
+
+
+def matchers(lists: DataFrame, rules: DataFrame) -> DataFrame:
+    """One lookup table keyed by (feature, value): equality lists, vip_personal, active rules."""
     active = lists.filter(c("is_active") == F.lit(True))
-    eq = active.filter(c("identifier_type").isin(list(EQ_LIST_TYPES)))
-    long = (feats.select("message_id", *EQ_LIST_TYPES)
-            .unpivot(["message_id"], list(EQ_LIST_TYPES), "identifier_type", "value")
-            .filter(c("value").isNotNull()))
-    eq_hits = long.join(maybe_broadcast(eq), (long["identifier_type"] == eq["identifier_type"])
-                        & (long["value"] == eq["identifier_value"])).drop(long["identifier_type"]).drop("value")
-    frag = active.filter(c("identifier_type") == "from_address_contains")
-    addr = feats.select("message_id", "from_address").filter(c("from_address").isNotNull())
-    ct_hits = contains_join(addr, "from_address", frag, "identifier_value").drop("from_address")
-    return eq_hits.unionByName(ct_hits)
-
-
-def rule_hits(feats: DataFrame, rules: DataFrame) -> DataFrame:
-    active = rules.filter(c("is_active") == F.lit(True))
-    long = (feats.select("message_id", *RULE_FEATURES)
-            .unpivot(["message_id"], list(RULE_FEATURES), "feature", "value")
-            .filter(c("value").isNotNull() & (c("value") != "")))
-    return long.join(maybe_broadcast(active), (long["feature"] == active["feature"])
-                     & (long["value"] == active["key_value"])).drop(long["feature"]).drop("value")
+    none_s, none_i = F.lit(None).cast("string"), F.lit(None).cast("int")
+    eq = active.filter(c("identifier_type").isin(list(EQ_LIST_TYPES))).select(
+        c("identifier_type").alias("feature"), c("identifier_value").alias("value"), F.lit("list").alias("kind"),
+        "list_type", "identifier_type", "identifier_value", "target_category", "recommended_action", "priority",
+        none_s.alias("version"), none_i.alias("precision_cat_pct"), none_i.alias("support"))
+    # A vip_personal entry matches the normalised sender whatever its identifier type
+    vip = active.filter(c("list_type") == "vip_personal").select(
+        F.lit("from_address").alias("feature"), c("identifier_value").alias("value"), F.lit("vip").alias("kind"),
+        *[none_s.alias(x) for x in ("list_type", "identifier_type", "identifier_value", "target_category",
+                                    "recommended_action")], none_i.alias("priority"), none_s.alias("version"),
+        none_i.alias("precision_cat_pct"), none_i.alias("support"))
+    rl = rules.filter(c("is_active") == F.lit(True)).select(
+        "feature", c("key_value").alias("value"), F.lit("rule").alias("kind"), none_s.alias("list_type"),
+        c("feature").alias("identifier_type"), c("key_value").alias("identifier_value"), "target_category",
+        "recommended_action", "priority", "version", "precision_cat_pct", "support")
+    return eq.unionByName(vip).unionByName(rl)
+
+
+def gateway_hits(mail: DataFrame, lists: DataFrame, rules: DataFrame) -> DataFrame:
+    """Per message: best list hit, best rule hit, vip flag, normalised sender. One shuffle.
+
+    Features are computed once per mail and exploded to (feature, value) rows. A left
+    broadcast hash join against the matcher table (size-checked; shuffle join beyond the
+    bound) and a left nested-loop join against the fragment list (size-checked) attach every
+    hit; a single aggregate on ``message_id`` picks the winners with ``min_by``.
+    """
+    feats = mail_features(mail)
+    kv = feats.select("message_id", F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), c(f).alias("value")) for f in RULE_FEATURES])).alias("kv")
+    ).select("message_id", c("kv.feature").alias("feature"), c("kv.value").alias("value"))
+    m = matchers(lists, rules)
+    m = maybe_broadcast(m)
+    j = kv.join(m.withColumnRenamed("feature", "m_feature").withColumnRenamed("value", "m_value"),
+                (c("feature") == c("m_feature")) & (c("value") == c("m_value")) & (c("value") != ""), "left")
+    frag = (lists.filter((c("is_active") == F.lit(True)) & (c("identifier_type") == "from_address_contains")
+                         & (F.length("identifier_value") > 0))
+            .select(*[c(x).alias("f_" + x) for x in ("list_type", "identifier_type", "identifier_value",
+                                                       "target_category", "recommended_action", "priority")]))
+    if small_enough(frag):
+        j = j.join(F.broadcast(frag), (c("feature") == "from_address") & (F.instr(c("value"), c("f_identifier_value")) > 0),
+                   "left")
+    else:  # exact shuffle plan for very large fragment lists
+        addr = feats.select("message_id", c("from_address").alias("value")).filter(c("value").isNotNull())
+        hits = contains_join(addr, "value", frag.withColumnRenamed("f_identifier_value", "identifier_value"),
+                             "identifier_value", force_shuffle=True).withColumnRenamed("identifier_value",
+                                                                                      "f_identifier_value")
+        j = j.join(hits.drop("value").withColumn("feature", F.lit("from_address")), ["message_id", "feature"], "left")
+
+    def best(cond, cols, order):
+        return F.min_by(F.when(cond, F.struct(*cols)), F.when(cond, F.struct(*order)))
+
+    is_list, is_rule, is_frag = c("kind") == "list", c("kind") == "rule", c("f_list_type").isNotNull()
+    lcols = ["list_type", "identifier_type", "identifier_value", "target_category", "recommended_action", "priority"]
+    agg = j.groupBy("message_id").agg(
+        F.max(F.when(c("feature") == "from_address", c("value"))).alias("from_address"),
+        best(is_list, [c(x).alias(x) for x in lcols], [c("priority"), c("list_type"), c("identifier_value"),
+                                                       c("identifier_type")]).alias("eq_list"),
+        best(is_frag, [c("f_" + x).alias(x) for x in lcols],
+             [c("f_priority"), c("f_list_type"), c("f_identifier_value"), c("f_identifier_type")]).alias("frag_list"),
+        best(is_rule, [c(x).alias(x) for x in ("version", "identifier_type", "identifier_value", "target_category",
+                                                 "recommended_action", "priority", "precision_cat_pct", "support")],
+             [c("priority"), c("identifier_type"), c("identifier_value"), c("version")]).alias("r"),
+        F.bool_or(c("kind") == "vip").alias("is_vip_personal"))
+    # the better of the equality hit and the fragment hit, same total order
+    ek = F.struct(c("eq_list.priority"), c("eq_list.list_type"), c("eq_list.identifier_value"),
+                  c("eq_list.identifier_type"))
+    fk = F.struct(c("frag_list.priority"), c("frag_list.list_type"), c("frag_list.identifier_value"),
+                  c("frag_list.identifier_type"))
+    lst = (F.when(c("frag_list").isNull(), c("eq_list")).when(c("eq_list").isNull(), c("frag_list"))
+           .when(ek <= fk, c("eq_list")).otherwise(c("frag_list")))
+    return agg.select("message_id", "from_address", lst.alias("l"), "r", "is_vip_personal")
 
 
 def gateway(mail: DataFrame, lists: DataFrame, rules: DataFrame) -> DataFrame:
-    feats = mail_features(mail)
-    best_list = first_by_priority(
-        list_hits(feats, lists), ["message_id"], ["priority", "list_type", "identifier_value", "identifier_type"],
-        ["list_type", "identifier_type", "identifier_value", "target_category", "recommended_action", "priority"])
-    best_list = best_list.select("message_id", *[c(x).alias("l_" + x) for x in best_list.columns[1:]])
-    best_rule = first_by_priority(
-        rule_hits(feats, rules), ["message_id"], ["priority", "feature", "key_value", "version"],
-        ["version", "feature", "key_value", "target_category", "recommended_action", "priority",
-         "precision_cat_pct", "support"])
-    best_rule = best_rule.select("message_id", *[c(x).alias("r_" + x) for x in best_rule.columns[1:]])
-    vip = (lists.filter((c("is_active") == F.lit(True)) & (c("list_type") == "vip_personal"))
-           .select(c("identifier_value").alias("from_address")).distinct().withColumn("is_vip_personal", F.lit(True)))
-    j = (feats.select("message_id", "from_address")
-         .join(best_list, "message_id", "left").join(best_rule, "message_id", "left")
-         .join(maybe_broadcast(vip), "from_address", "left"))
+    j = gateway_hits(mail, lists, rules).select(
+        "message_id", "from_address", *[c("l." + x).alias("l_" + x) for x in
+                                       ("list_type", "identifier_type", "identifier_value", "target_category",
+                                        "recommended_action", "priority")],
+        c("r.identifier_type").alias("r_feature"), c("r.identifier_value").alias("r_key_value"),
+        *[c("r." + x).alias("r_" + x) for x in ("version", "target_category", "recommended_action", "priority",
+                                                "precision_cat_pct", "support")],
+        "is_vip_personal")
 
     local = F.coalesce(F.split_part(c("from_address"), F.lit("@"), F.lit(1)), F.lit(""))
     generic = F.lit(False)

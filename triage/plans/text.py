@@ -9,15 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triage.functions.text import (MAX_BODY_CHARS, WORD_SPLIT, clean_columns, finish, sql_clean_ctes,
-                                   sql_js_trim)
+from triage.functions.text import MAX_BODY_CHARS, WORD_SPLIT, clean_frame, finish, sql_clean_ctes, sql_js_trim
 from triage.registry import register
+from triage.session import checkpoint_dir
 
 c = F.col
 
 
 def clean_bodies(body: DataFrame, limit: int = MAX_BODY_CHARS) -> DataFrame:
-    return finish(body.select("message_id", *clean_columns(c("content"), c("content_type"), limit)), limit)
+    out = clean_frame(body.select("message_id", "content", "content_type"), limit=limit)
+    return finish(out.select("message_id", "content_len", "content_hash", "body_text", "body_truncated",
+                             "body_source"), limit)
 
 
 @register("clean_html", ops="K9 2.H T28-T32", uses="body", sql="with src as (select * from body where content_type = 'html'),\n"
@@ -75,9 +77,9 @@ from finished f join body b on b.message_id = f.message_id""")
 def text_metrics(fx) -> DataFrame:
     from triage.functions.text import js_trim
     cleaned = clean_bodies(fx.body).select("message_id", "body_text")
-    raw = fx.body.select("message_id", "content")
+    raw = fx.body.select("message_id", "content", F.regexp_extract_all(c("content"), F.lit(LINK), 1).alias("_links"))
     t = c("body_text")
-    links = F.regexp_extract_all(c("content"), F.lit(LINK), 1)
+    links = c("_links")
     return cleaned.join(raw, "message_id").select(
         "message_id",
         F.size(F.filter(F.split(t, WORD_SPLIT), lambda x: x != "")).cast("int").alias("word_count"),
@@ -96,7 +98,10 @@ from finished f join g on g.body_hash = f.body_hash
 where g.copies > 1""")
 def content_duplicates(fx) -> DataFrame:
     """Bodies whose cleaned text hashes equal; each points at the smallest id of its group."""
-    f = clean_bodies(fx.body).select("message_id", "body_hash")
+    # the cleaned hashes are consumed twice (group, join back): cut lineage with a reliable
+    # checkpoint in the shared folder instead of cleaning every body twice
+    checkpoint_dir(fx.spark)
+    f = clean_bodies(fx.body).select("message_id", "body_hash").checkpoint(eager=True)
     g = (f.groupBy("body_hash").agg(F.min("message_id").alias("duplicate_of"), F.count(F.lit(1)).alias("copies"))
          .filter(c("copies") > 1))
     return f.join(g, "body_hash").select("message_id", "body_hash", "duplicate_of", c("copies").cast("bigint"))

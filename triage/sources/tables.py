@@ -32,8 +32,27 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Round-robin small scans over the cluster's cores.
+
+    A file written as one row group is one task however wide the cluster is, which
+    serialises the per-row regex work downstream. When a scan yields fewer partitions than
+    the default parallelism it is spread (a cheap shuffle of a small input); at scale the scan
+    already has far more splits than cores and this is a no-op.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want * factor)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
     reader = spark.read
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    return reader.parquet(table_path(sf_dir, name))
+    df = reader.parquet(table_path(sf_dir, name))
+    return spread(df) if spread_small and name in SPREAD_TABLES else df
+
+
+# tables whose rows feed per-row CPU work (regex, cleaning); tiny dimension tables stay as is
+SPREAD_TABLES = ("events", "documents", "pages")
