@@ -5,11 +5,13 @@ The reference polls and receives webhooks; here landed files are the stream. Eve
 * reads a folder with ``readStream`` and an explicit schema (file source, exactly-once),
 * keeps its checkpoint under the session's shared ``spark.checkpoint.dir`` (survives executor
   and driver loss; restarting resumes from the last committed batch),
-* writes through ``foreachBatch`` with an idempotent upsert keyed by the natural key and a
-  batch-id ledger, so a replayed batch changes nothing.
+* writes through ``foreachBatch`` with an idempotent, merge-on-read upsert keyed by the natural
+  key: a batch writes only its own rows, and a replayed batch overwrites itself.
 
 ``trigger(availableNow=True)`` processes what has landed and stops, which is how a scheduler
 runs the incremental pull (J3); a long-running deployment uses a processing-time trigger.
+Watermarks need an instant-typed event time, so event-time columns are ``TIMESTAMP`` (UTC
+session zone); wall-clock ``TIMESTAMP_NTZ`` inputs are cast on the way in.
 """
 
 from __future__ import annotations
@@ -26,14 +28,14 @@ from triage.session import checkpoint_dir
 c = F.col
 
 NOTIFICATION_FILE = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("payload", T.StringType()),
-                                  T.StructField("received_at", T.TimestampNTZType())])
+                                  T.StructField("received_at", T.TimestampType())])
 MAIL_CHANGE = T.StructType([
     T.StructField("message_id", T.StringType()), T.StructField("user_upn", T.StringType()),
     T.StructField("subject", T.StringType()), T.StructField("from_address", T.StringType()),
     T.StructField("last_modified", T.TimestampNTZType())])
 FEEDBACK = T.StructType([T.StructField("message_id", T.StringType()), T.StructField("from_domain", T.StringType()),
                          T.StructField("feedback_type", T.StringType()),
-                         T.StructField("created_at", T.TimestampNTZType())])
+                         T.StructField("created_at", T.TimestampType())])
 
 
 def _ckpt(spark: SparkSession, name: str) -> str:
@@ -60,45 +62,35 @@ def notification_stream(spark: SparkSession, landing: str, client_state: str = "
 # --- J3 / J9: incremental pull with upsert -------------------------------------------
 
 class KeyedUpsert:
-    """foreachBatch sink: newest ``order_col`` per key wins; replays are no-ops.
+    """foreachBatch sink with merge-on-read: newest ``order_col`` per key wins.
 
-    State lives in Parquet versions under ``table_dir``; a ledger of applied batch ids makes
-    the sink idempotent (a batch re-delivered after a failure is skipped).
+    Each micro-batch writes only its own rows (deduplicated per key) to ``batch=<id>``; the
+    write is an overwrite of that folder, so a batch re-delivered after a failure replaces
+    itself and changes nothing (idempotent without a ledger). No batch rewrites the table:
+    readers resolve the newest version per key (``read_current``) and ``compact`` folds the
+    folders into one base version when convenient.
     """
 
     def __init__(self, table_dir: str, keys: list[str], order_col: str):
         self.table_dir, self.keys, self.order_col = table_dir, keys, order_col
 
-    def _current(self, spark: SparkSession) -> DataFrame | None:
-        ptr = os.path.join(self.table_dir, "_current")
-        try:
-            path = spark.read.text(ptr).first()[0]
-        except Exception:  # noqa: BLE001 - no version yet
-            return None
-        return spark.read.parquet(path)
-
-    def _applied(self, spark: SparkSession) -> set[int]:
-        try:
-            return {r[0] for r in spark.read.parquet(os.path.join(self.table_dir, "_ledger")).collect()}
-        except Exception:  # noqa: BLE001
-            return set()
+    def _newest(self, df: DataFrame, tie: str | None = None) -> DataFrame:
+        order = F.struct(c(self.order_col), c(tie)) if tie else c(self.order_col)
+        vals = [x for x in df.columns if x not in self.keys and x != tie]
+        return df.groupBy(*self.keys).agg(F.max_by(F.struct(*vals), order).alias("_v")).select(*self.keys, "_v.*")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id in self._applied(spark):
-            return
-        cur = self._current(spark)
-        merged = batch if cur is None else cur.unionByName(batch.select(*cur.columns))
-        # newest version per key (late, older rows lose: J9); max_by is a partial aggregate
-        newest = merged.groupBy(*self.keys).agg(
-            F.max_by(F.struct(*[x for x in merged.columns if x not in self.keys]), c(self.order_col)).alias("_v"))
-        out = newest.select(*self.keys, "_v.*")
-        path = os.path.join(self.table_dir, f"v{batch_id:09d}")
-        out.write.mode("overwrite").parquet(path)
-        spark.createDataFrame([(path,)], "p string").coalesce(1).write.mode("overwrite").text(
-            os.path.join(self.table_dir, "_current"))
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(
-            os.path.join(self.table_dir, "_ledger"))
+        self._newest(batch).write.mode("overwrite").parquet(os.path.join(self.table_dir, f"batch={batch_id:012d}"))
+
+    def read_current(self, spark: SparkSession) -> DataFrame:
+        """Current table: newest version per key over all batch folders (late rows lose, J9)."""
+        allv = spark.read.parquet(self.table_dir)          # partition column ``batch`` discovered
+        return self._newest(allv, tie="batch")
+
+    def compact(self, spark: SparkSession, base_dir: str) -> str:
+        """Fold all batches into one base version at ``base_dir`` (a separate maintenance job)."""
+        self.read_current(spark).write.mode("errorifexists").parquet(base_dir)
+        return base_dir
 
 
 def incremental_pull(spark: SparkSession, landing: str, table_dir: str, name: str = "mail_delta"):
@@ -136,6 +128,6 @@ def corrections_window_stream(spark: SparkSession, landing: str, days: int = 30,
 
 def daily_digest_stream(decisions: DataFrame, late: str = "1 day") -> DataFrame:
     """Per-day, per-category decision counts (append mode after the watermark passes)."""
-    return (decisions.withWatermark("decided_at", late)
+    return (decisions.withColumn("decided_at", c("decided_at").cast("timestamp")).withWatermark("decided_at", late)
             .groupBy(F.window("decided_at", "1 day"), "primary_category")
             .agg(F.count(F.lit(1)).alias("decisions"), F.avg("confidence").alias("avg_confidence")))
