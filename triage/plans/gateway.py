@@ -419,3 +419,22 @@ def folder_routing(fx) -> DataFrame:
                     "archive")
               .otherwise("inbox"))
     return g.join(m, "message_id").select("message_id", "classification_source", folder.alias("folder_location"))
+
+
+# --- I31: process-log tail ----------------------------------------------------------
+
+@register("process_log_tail", ops="I31 A8 F4 D1", uses="mail list_entry rule", sql=f"""
+with g as ({SQL_GATEWAY}),
+runs as (
+  select 'gateway_rule_application' as workflow_name, cast(e.received_datetime as date) as run_day,
+    count(*) as processed, count(*) filter (where g.matched) as matched
+  from g join mail e on e.message_id = g.message_id group by 2)
+select workflow_name, run_day, processed, matched from runs order by run_day desc limit 5""")
+def process_log_tail(fx, n: int = 5) -> DataFrame:
+    """The job log as the gateway would append it (one run per day of mail), newest first."""
+    g = gateway(fx.mail, fx.list_entry, fx.rule)
+    log = (g.join(fx.mail.select("message_id", "received_datetime"), "message_id")
+           .groupBy(F.to_date("received_datetime").alias("run_day"))
+           .agg(F.count(F.lit(1)).alias("processed"), F.count_if(c("matched")).alias("matched"))
+           .select(F.lit("gateway_rule_application").alias("workflow_name"), "run_day", "processed", "matched"))
+    return log.orderBy(c("run_day").desc()).limit(n)

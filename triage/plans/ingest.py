@@ -73,7 +73,7 @@ SQL_FLAT = """flat as (
   from folder f)"""
 
 
-@register("folder_flatten", ops="A10 K22 C12 B9", uses="folder", sql="with " + SQL_FLAT + " select * from flat")
+@register("folder_flatten", ops="A10 K22 C12 B9 A5", uses="folder", sql="with " + SQL_FLAT + " select * from flat")
 def folder_flatten(fx) -> DataFrame:
     return flatten_folders(folder_payloads(fx.folder))
 

@@ -171,7 +171,7 @@ def _ts(ts: str):
     return F.lit(ts).cast("timestamp_ntz")
 
 
-@register("daily_engine_share", ops="I26 D3 D4 D10 B11", uses="decision", sql=f"""
+@register("daily_engine_share", ops="I26 D3 D4 D10 B11 B3", uses="decision", sql=f"""
 select cast(decided_at as date) as day,
   count(*) filter (where model_name = 'rule_engine') as rule_classifications,
   count(*) filter (where model_name <> 'rule_engine') as ai_classifications,

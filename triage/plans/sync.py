@@ -82,7 +82,7 @@ SQL_FLAT = ("select * replace (array_to_string(old_categories, '|') as old_categ
             "array_to_string(new_categories, '|') as new_categories) from diff")
 
 
-@register("state_diff", ops="K15 G3 B16 T20 T22 T25", uses="mail desired_state observed_state",
+@register("state_diff", ops="K15 G3 B16 T20 T22 T25 C18", uses="mail desired_state observed_state",
           sql="with " + SQL_DIFF + "\n" + SQL_FLAT)
 def state_diff(fx) -> DataFrame:
     return _flat(state_diff_df(fx))

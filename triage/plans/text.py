@@ -22,7 +22,7 @@ def clean_bodies(body: DataFrame, limit: int = MAX_BODY_CHARS) -> DataFrame:
                              "body_source"), limit)
 
 
-@register("clean_html", ops="K9 2.H T28-T32", uses="body", sql="with src as (select * from body where content_type = 'html'),\n"
+@register("clean_html", ops="K9 2.H T28-T32 B2", uses="body", sql="with src as (select * from body where content_type = 'html'),\n"
           + sql_clean_ctes("src") + "\nselect * from finished")
 def clean_html(fx) -> DataFrame:
     return clean_bodies(fx.body.filter(c("content_type") == "html"))

@@ -29,7 +29,7 @@ def mail_changes(events: DataFrame) -> DataFrame:
         c("ts").alias("last_modified"))
 
 
-@register("delta_merge", ops="J3 J9 A4 (batch twin)", uses="", sql="""
+@register("delta_merge", ops="J3 J9 A4 (batch twin) A16", uses="", sql="""
 select message_id, arg_max(user_upn, last_modified) as user_upn, arg_max(subject, last_modified) as subject,
   arg_max(from_address, last_modified) as from_address, max(last_modified) as last_modified
 from (select 'msg-' || cast(event_id - event_id % 3 as varchar) as message_id,
