@@ -26,17 +26,25 @@ def _row(df: DataFrame, table: str, check: str, cols: str, n) -> DataFrame:
 
 
 def violations(fx) -> DataFrame:
+    """All checks, one aggregate per table for the row-level rules (enum, range, not null),
+    one group-by per unique key and one anti join per foreign key; rows stacked by unpivot."""
     parts = []
-    for (t, col), allowed in ENUMS.items():
-        df = getattr(fx, t)
-        parts.append(_row(df, t, "enum", col, F.count_if(c(col).isNotNull() & ~c(col).isin(list(allowed)))))
-    for (t, col), (lo, hi) in RANGES.items():
+    tables = sorted({t for (t, _) in ENUMS} | {t for (t, _) in RANGES} | set(NOT_NULL))
+    for t in tables:
         df = getattr(fx, t)
-        parts.append(_row(df, t, "range", col, F.count_if((c(col) < lo) | (c(col) > hi))))
-    for t, cols in NOT_NULL.items():
-        df = getattr(fx, t)
-        for col in cols:
-            parts.append(_row(df, t, "not_null", col, F.count_if(c(col).isNull())))
+        checks = []
+        for (tt, col), allowed in ENUMS.items():
+            if tt == t:
+                checks.append((f"enum|{col}", F.count_if(c(col).isNotNull() & ~c(col).isin(list(allowed)))))
+        for (tt, col), (lo, hi) in RANGES.items():
+            if tt == t:
+                checks.append((f"range|{col}", F.count_if((c(col) < lo) | (c(col) > hi))))
+        for col in NOT_NULL.get(t, ()):
+            checks.append((f"not_null|{col}", F.count_if(c(col).isNull())))
+        agg = df.agg(*[e.cast("bigint").alias(name) for name, e in checks])
+        long = agg.unpivot([], [name for name, _ in checks], "check", "violations")
+        parts.append(long.select(F.lit(t).alias("table_name"), F.split_part("check", F.lit("|"), F.lit(1)).alias(
+            "check_name"), F.split_part("check", F.lit("|"), F.lit(2)).alias("columns"), "violations"))
     for t, keys in UNIQUE.items():
         df = getattr(fx, t)
         dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(c("n") > 1)

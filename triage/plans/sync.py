@@ -111,17 +111,23 @@ def feedback_rows(fx) -> DataFrame:
 # --- K17: sender learning --------------------------------------------------------
 
 def sender_learning_df(fx, as_of: str = AS_OF, window_days: int = 30, threshold: int = 5) -> DataFrame:
+    """Corrections per sender key from one aggregate of the diff (address and domain keys as
+    grouping sets), then two equi-joins to the sender table instead of an OR join."""
     diff = state_diff_df(fx, as_of)
-    new_fb = feedback_from_diff(diff, as_of).select("from_domain", "created_at")
-    fb = fx.feedback.select("from_domain", "created_at").unionByName(new_fb)
-    recent = (fb.filter(c("created_at") > _ts(as_of) - F.make_dt_interval(F.lit(window_days)))
-              .groupBy("from_domain").agg(F.count(F.lit(1)).alias("corrections_30d")))
-    hits = diff.select(match_address(c("from_address")).alias("addr_key"), F.lower("from_domain").alias("dom_key"))
+    keys = diff.select(match_address(c("from_address")).alias("addr_key"), F.lower("from_domain").alias("dom_key"))
+    per = keys.groupingSets([["addr_key"], ["dom_key"]], "addr_key", "dom_key").agg(
+        F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"))
+    by_addr_n = per.filter(c("gid") == 1).select(c("addr_key").alias("sender_key"), "n")
+    dom_n = per.filter(c("gid") == 2).select(c("dom_key").alias("from_domain"), "n")
+    # the batch's own feedback rows count in their 30-day window (T23): n per domain at as_of
+    recent = (fx.feedback.filter(c("created_at") > _ts(as_of) - F.make_dt_interval(F.lit(window_days)))
+              .groupBy("from_domain").agg(F.count(F.lit(1)).alias("old"))
+              .join(dom_n.withColumnRenamed("n", "new"), "from_domain", "full")
+              .select("from_domain", (F.coalesce("old", F.lit(0)) + F.coalesce("new", F.lit(0))).alias("corrections_30d")))
     s = fx.sender
-    # OR-join as two equi-joins: address key, or domain key for domain-level rows
-    by_addr = s.join(hits.groupBy(c("addr_key").alias("sender_key")).agg(F.count(F.lit(1)).alias("n")), "sender_key")
-    by_dom = (s.filter(c("sender_address").isNull())
-              .join(hits.groupBy(c("dom_key").alias("sender_key")).agg(F.count(F.lit(1)).alias("n")), "sender_key"))
+    by_addr = s.join(by_addr_n, "sender_key")
+    by_dom = s.filter(c("sender_address").isNull()).join(dom_n.withColumnRenamed("from_domain", "sender_key"),
+                                                          "sender_key")
     n = by_addr.unionByName(by_dom).groupBy("sender_key").agg(F.sum("n").alias("n"))
     upd = (s.join(n, "sender_key").join(recent.withColumnRenamed("from_domain", "sender_domain"), "sender_domain", "left")
            .withColumn("corrections_30d", F.coalesce("corrections_30d", F.lit(0))))
