@@ -5,8 +5,8 @@ Rules of thumb used here:
   they are collected, so a hot key ships each distinct value once, not every row;
 * a "first N" sample uses ``row_number() <= N``, which Spark plans as WindowGroupLimit on
   both sides of the shuffle, so a hot key never sorts more than N rows per task;
-* "share of grand total" joins a one-row total (broadcast, constant key) instead of a window over ``()``, which would
-  pull every row into a single task.
+* "share of grand total" reads the one-row total as a scalar subquery instead of a window
+  over ``()``, which would pull every row into a single task.
 """
 
 from __future__ import annotations
@@ -68,7 +68,6 @@ def mode_per_group(counts: DataFrame, keys: Sequence[str], value: str, count: st
 def with_share_of_total(agg: DataFrame, count_col: str, alias: str, digits: int = 2) -> DataFrame:
     """count / sum(count) over all rows, via a broadcast one-row total."""
     from triage.functions.numeric import ratio
-    # a global aggregate has exactly one row: a proven broadcast bound; joined on a constant key
-    total = agg.agg(F.sum(count_col).alias("_total")).withColumn("_k", F.lit(1))
-    return (agg.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
-            .withColumn(alias, ratio(F.col(count_col), F.col("_total"), digits)).drop("_total", "_k"))
+    # a global aggregate has exactly one row: attached as a scalar subquery (no join)
+    total = agg.agg(F.sum(count_col)).scalar()
+    return agg.withColumn(alias, ratio(F.col(count_col), total, digits))

@@ -65,11 +65,10 @@ def audit_totals(fx) -> DataFrame:
     dec = fx.desired_state.agg(
         F.count(F.lit(1)).alias("decisions"),
         F.count_if(c("synced_at").isNull() | ~c("sync_status").eqNullSafe(F.lit("synced"))).alias("pending_decisions"))
-    # One-row aggregates side by side (each has exactly one row)
-    k = F.lit(1).alias("_k")
-    return (gaps.select("*", k).join(analyses.select("*", k), "_k").join(dec.select("*", k), "_k")
-            .select("total_emails", "analyses", "decisions", "missing_flag_status", "missing_categories",
-                    "pending_decisions"))
+    # Uncorrelated scalar subqueries as columns (each aggregate has exactly one row)
+    d = dec.select(F.struct("decisions", "pending_decisions")).scalar()
+    return gaps.select("total_emails", analyses.scalar().alias("analyses"), d["decisions"].alias("decisions"),
+                       "missing_flag_status", "missing_categories", d["pending_decisions"].alias("pending_decisions"))
 
 
 @register("flag_distribution", ops="I18 D1 B16", uses="mail", sql="""
@@ -144,9 +143,10 @@ def audit_report(fx) -> DataFrame:
     mm = state_mismatch(fx)
     prev = correction_preview(fx).agg(F.collect_list(F.struct("*")).alias("preview"))
     cand = push_candidates(fx, 100).agg(F.collect_list(F.struct("*")).alias("backfill_candidates"))
-    k = F.lit(1).alias("_k")
-    j = (totals.select("*", k).join(mm.select("*", k), "_k").join(prev.select("*", k), "_k")
-         .join(cand.select("*", k), "_k"))
+    m = mm.select(F.struct("flag_mismatch", "categories_mismatch")).scalar()
+    j = totals.select("*", m["flag_mismatch"].alias("flag_mismatch"),
+                      m["categories_mismatch"].alias("categories_mismatch"),
+                      prev.scalar().alias("preview"), cand.scalar().alias("backfill_candidates"))
     return j.select(F.to_json(F.struct(
         F.struct("total_emails", "analyses", "decisions", "missing_flag_status", "missing_categories").alias("audit"),
         F.struct("flag_mismatch", "categories_mismatch").alias("mismatch"),
@@ -265,8 +265,7 @@ def derivation_report(fx) -> DataFrame:
         c("cat").alias("category"), c("rules_count").alias("rules"), "active_rules"))).alias("rules_coverage"))
     sample = (derived_categories(fx).orderBy("message_id").limit(100)
               .agg(F.collect_list(F.struct("*")).alias("derivation_preview")))
-    k = F.lit(1).alias("_k")
-    return cov.select("*", k).join(sample.select("*", k), "_k").select(F.to_json(F.struct(
+    return cov.select("*", sample.scalar().alias("derivation_preview")).select(F.to_json(F.struct(
         F.struct(F.array(*[F.lit(t) for t in TAXONOMY]).alias("expected")).alias("taxonomy"),
         "rules_coverage", F.coalesce("derivation_preview", F.array()).alias("derivation_preview")),
         {"ignoreNullFields": "false"}).alias("report"))

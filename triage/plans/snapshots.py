@@ -69,8 +69,7 @@ select version, false as is_active, created_at, expires_at,
 from snapshot""")
 def snapshot_invalidate(fx, reason: str = "New CDA rules published") -> DataFrame:
     new, affected = invalidate(fx.snapshot, reason)
-    k = F.lit(1).alias("_k")
-    return new.select("*", k).join(F.broadcast(affected.select("*", k)), "_k").drop("_k")
+    return new.withColumn("affected", affected.scalar())
 
 
 @register("snapshot_refresh", ops="J7 B11", uses="snapshot", sql=f"""
