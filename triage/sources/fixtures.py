@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triage.operators.joins import maybe_broadcast
 from triage.sources.tables import read_table
 
 c = F.col
@@ -236,7 +237,7 @@ def folder(region: DataFrame, nation: DataFrame, customer: DataFrame) -> DataFra
         F.lit(0).cast("bigint").alias("total_item_count"), F.lit(0).alias("level"))
     # customers per nation: partial aggregate on the big side, then join two tiny tables
     per_nation = customer.groupBy(c("c_nationkey").alias("n_nationkey")).agg(F.count("c_custkey").alias("n"))
-    kids = (nation.join(F.broadcast(region), c("r_regionkey") == c("n_regionkey"))
+    kids = (nation.join(maybe_broadcast(region), c("r_regionkey") == c("n_regionkey"))
             .join(per_nation, "n_nationkey", "left")
             .select(F.concat(F.lit("n"), s("n_nationkey")).alias("folder_id"), c("n_name").alias("display_name"),
                     F.concat(F.lit("r"), s("n_regionkey")).alias("parent_folder_id"),
