@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from triage.operators.aggregates import prefix_of_joined, sample_joined
 from triage.operators.joins import contains_join, first_by_priority, join_null_safe
-from triage.operators.writes import insert_if_absent, update_from, upsert
+from triage.operators.writes import apply, insert_if_absent, touch, update_from, upsert
 from triage.plans.audit import sorted_or_empty
 from tests.conftest import rows
 
@@ -65,3 +65,16 @@ def test_array_multiset_compare(spark):  # T7
                                "x array<string>, y array<string>")
     got = [r[0] for r in df.select(sorted_or_empty(F.col("x")).eqNullSafe(sorted_or_empty(F.col("y")))).collect()]
     assert got == [True, True, False]
+
+
+def test_apply_writes_a_fresh_version(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    p1, p2 = apply(df, "t_apply"), apply(df, "t_apply")
+    assert p1 != p2 and rows(spark.read.parquet(p1)) == [("a", 1)]
+
+
+def test_touch_sets_updated_at_only_on_change(spark):
+    df = spark.createDataFrame([("a", "x", "x", None), ("b", "y", "z", None)],
+                               "k string, flag string, old_flag string, updated_at timestamp_ntz")
+    out = touch(df, "old_", ["flag"], "2024-01-31 00:00:00").select("k", F.col("updated_at").isNotNull())
+    assert rows(out) == [("a", False), ("b", True)]

@@ -4,8 +4,8 @@ Each operator returns the *new table state* as a lazy DataFrame (the preview, A1
 writes it to a fresh versioned folder under the shared checkpoint location and never reads
 and overwrites the same path. Keys are matched null-safely like a primary key would be.
 
-* ``upsert``            INSERT .. ON CONFLICT DO UPDATE (A4): target rows without an update,
-                        plus updates merged over the old row's untouched columns.
+* ``upsert``            INSERT .. ON CONFLICT DO UPDATE (A4): one full outer join on the key;
+                        updated columns from the update, the rest from the old row.
 * ``insert_if_absent``  INSERT .. ON CONFLICT DO NOTHING (A3).
 * ``update_from``       UPDATE .. FROM (A7): left join + coalesce projection.
 * ``touch``             updated_at = as_of when any tracked column changed (K29).
@@ -53,19 +53,26 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     existing keys (ON CONFLICT DO UPDATE SET only those columns).
     """
     update_cols = list(update_cols or [x for x in updates.columns if x not in keys])
-    upd = updates.dropDuplicates(list(keys))
-    untouched = target.join(upd.select(*keys), _key_cond(target, upd, keys), "left_anti")
-    old = target.select(*keys, *[c(x).alias(f"_old_{x}") for x in target.columns if x not in keys])
-    merged = upd.join(old, _key_cond(upd, old, keys), "left")
+    # one full outer join on the (null-safe) key: each side is shuffled once
+    upd = updates.dropDuplicates(list(keys)).select(
+        *[c(k).alias(f"_u_{k}") for k in keys], *[c(x).alias(f"_u_{x}") for x in updates.columns if x not in keys],
+        F.lit(True).alias("_u_hit"))
+    cond = None
+    for k in keys:
+        e = c(k).eqNullSafe(c(f"_u_{k}"))
+        cond = e if cond is None else cond & e
+    j = target.join(upd, cond, "full")
+    hit = F.coalesce(c("_u_hit"), F.lit(False))
     cols = []
     for col in target.columns:
         if col in keys:
-            cols.append(upd[col])
+            cols.append(F.when(hit, c(f"_u_{col}")).otherwise(c(col)).alias(col))
         elif col in update_cols:
-            cols.append(c(col) if col in upd.columns else F.lit(None).alias(col))
+            new = c(f"_u_{col}") if col in updates.columns else F.lit(None)
+            cols.append(F.when(hit, new).otherwise(c(col)).alias(col))
         else:
-            cols.append(c(f"_old_{col}").alias(col))
-    return untouched.unionByName(merged.select(*cols))
+            cols.append(c(col))
+    return j.select(*cols)
 
 
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str],

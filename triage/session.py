@@ -48,9 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local temporary folder is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
+    if not d:  # tests and local runs only: a cluster names its shared folder
         d = tempfile.mkdtemp(prefix="triage-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
