@@ -58,7 +58,8 @@ def rule_category_features(fx, new_version: str = "v2") -> DataFrame:
 
 
 @register("rule_listing", ops="I15 F3", uses="rule", sql=f"""
-select row_number() over (order by target_category, {_sql_rank('feature', FEATURE_ORDER)} nulls last, key_value) as pos,
+select cast(row_number() over (order by target_category, {_sql_rank('feature', FEATURE_ORDER)} nulls last, key_value)
+  as int) as pos,
   target_category, feature, key_value, recommended_action, priority
 from rule where version = 'v2' and is_active = true""")
 def rule_listing(fx, new_version: str = "v2") -> DataFrame:
@@ -84,8 +85,8 @@ def list_summary(fx) -> DataFrame:
 
 
 @register("list_listing", ops="I16 F3", uses="list_entry", sql=f"""
-select row_number() over (order by {_sql_rank('list_type', LIST_LISTING_ORDER)} nulls last, priority, identifier_value)
-  as pos, list_type, identifier_type, identifier_value, target_category, priority
+select cast(row_number() over (order by {_sql_rank('list_type', LIST_LISTING_ORDER)} nulls last, priority,
+  identifier_value) as int) as pos, list_type, identifier_type, identifier_value, target_category, priority
 from list_entry where is_active = true""")
 def list_listing(fx) -> DataFrame:
     from pyspark.sql import Window
@@ -96,7 +97,7 @@ def list_listing(fx) -> DataFrame:
 
 
 @register("active_lists", ops="I17 F1", uses="list_entry", sql="""
-select row_number() over (order by priority, list_type, identifier_value) as pos, list_type, identifier_type,
+select cast(row_number() over (order by priority, list_type, identifier_value) as int) as pos, list_type, identifier_type,
   identifier_value, target_category, recommended_action, priority
 from list_entry where is_active = true""")
 def active_lists(fx) -> DataFrame:
