@@ -99,3 +99,11 @@ def test_entry_smoke(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
     assert df.count() >= 0 and "feature" in df.columns
+
+
+def test_apply_publish_writes_new_versions(spark, fx001):
+    paths = mining.apply_publish(fx001)
+    assert set(paths) == {"rules", "metrics", "snapshots"}
+    snaps = spark.read.parquet(paths["snapshots"])
+    assert snaps.filter(F.col("is_active")).count() == 0          # every active snapshot invalidated
+    assert spark.read.parquet(paths["rules"]).count() >= fx001.rule.count()
