@@ -47,9 +47,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (tests only) a fresh
     local temporary folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+        sc = None
+    d = d or (sc.getCheckpointDir() if sc else None)
     if not d:  # tests and local runs only: a cluster names its shared folder
         d = tempfile.mkdtemp(prefix="triage-ckpt-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")

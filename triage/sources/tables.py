@@ -40,10 +40,12 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     the default parallelism it is spread (a cheap shuffle of a small input); at scale the scan
     already has far more splits than cores and this is a no-op.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want * factor)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave the scan as is
+        return df
+    return df.repartition(want * factor) if have < want else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
