@@ -30,6 +30,21 @@ def distinct_joined(df: DataFrame, keys: Sequence[str], value: Column | str, sep
     return dist.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("_v")), sep).alias(alias))
 
 
+def distinct_rows(df: DataFrame, keys: Sequence[str], value: Column | str, alias: str,
+                  stats: DataFrame | None = None) -> DataFrame:
+    """The distinct non-null values of each group as rows (a set-valued column, unnested).
+
+    A set grows with its group; as rows it is spread over tasks instead of built in one. With
+    ``stats`` (one row per group) every group is kept, also one without values (null value).
+    """
+    v = F.col(value) if isinstance(value, str) else value
+    dist = df.select(*keys, v.alias(alias)).filter(F.col(alias).isNotNull()).distinct()
+    if stats is None:
+        return dist
+    from triage.operators.joins import join_null_safe
+    return join_null_safe(stats, dist, keys, "left")
+
+
 def first_n_distinct(df: DataFrame, keys: Sequence[str], value: Column | str, n: int) -> DataFrame:
     """keys, _v, _rn: the n smallest distinct non-null values per key."""
     v = F.col(value) if isinstance(value, str) else value
