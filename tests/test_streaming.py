@@ -80,3 +80,32 @@ def test_corrections_window_stream(spark, fx001):
     total = spark.sql("select sum(corrections) from fb_out").first()[0]
     # each correction falls into 30 sliding daily windows
     assert total == 30 * fx001.feedback.count()
+
+
+def test_gate_stream_routes_like_its_twin(spark, fx001):
+    from triage.streaming.batch_twins import gate_routing
+    landing = tempfile.mkdtemp(prefix="triage-gate-")
+    n = fx001.notification.withColumn("received_at", F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"))
+    n.write.mode("overwrite").json(os.path.join(landing, "a"))
+    out = tempfile.mkdtemp(prefix="triage-gate-out-")
+
+    def sink(batch, batch_id):
+        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
+
+    q = jobs.gate_stream(spark, os.path.join(landing, "a"), fx001.decision, sink)
+    q.awaitTermination()
+    got = spark.read.parquet(out).select("message_id", "route")
+    assert rows(got) == rows(gate_routing(fx001))
+
+
+def test_daily_digest_stream_matches_batch(spark, fx001):
+    landing = tempfile.mkdtemp(prefix="triage-dec-")
+    fx001.decision.write.mode("overwrite").parquet(landing)
+    dec = spark.readStream.schema(fx001.decision.schema).parquet(landing)
+    q = (jobs.daily_digest_stream(dec).writeStream.outputMode("complete").format("memory")
+         .queryName("digest_out").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.sql("select to_date(window.start) as day, primary_category, decisions from digest_out")
+    want = fx001.decision.groupBy(F.to_date("decided_at").alias("day"), "primary_category").agg(
+        F.count(F.lit(1)).alias("decisions"))
+    assert rows(got) == rows(want)

@@ -103,23 +103,6 @@ def normalize_whitespace(col: Column) -> Column:
     return js_trim(t)
 
 
-def last_index_of(s: Column, x: str, limit: int) -> Column:
-    """JavaScript s.lastIndexOf(x, limit): 0-based, -1 when absent."""
-    p = F.substring(s, 1, limit + len(x))
-    pos = F.locate(x[::-1], F.reverse(p))
-    return F.when(pos > 0, F.length(p) - pos - F.lit(len(x)) + 1).otherwise(F.lit(-1))
-
-
-def smart_truncate(s: Column, limit: int = MAX_BODY_CHARS) -> Column:
-    par = last_index_of(s, "\n\n", limit)
-    dot = last_index_of(s, ". ", limit)
-    cut = limit * 0.6
-    return (F.when(F.length(s) <= limit, s)
-            .when(par > cut, js_trim(F.substring(s, F.lit(1), par)))
-            .when(dot > cut, js_trim(F.substring(s, F.lit(1), dot + 1)))
-            .otherwise(js_trim(F.substring(s, 1, limit))))
-
-
 def clean_frame(df: DataFrame, content: str = "content", content_type: str = "content_type",
                 limit: int = MAX_BODY_CHARS) -> DataFrame:
     """K9 over a DataFrame, in staged projections.

@@ -1,4 +1,4 @@
-"""Aggregation operators that stay bounded under skew.
+"""Aggregation operators that stay bounded under skew.
 
 Rules of thumb used here:
 * distinct values are de-duplicated with a shuffle (partial aggregation map-side) *before*
@@ -74,12 +74,6 @@ def prefix_of_joined(df: DataFrame, keys: Sequence[str], value: Column | str, se
     return j.select(*keys, F.substring("_joined", 1, width).alias(alias))
 
 
-def mode_per_group(counts: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
-    """Majority value per group with a total tie-break: (count desc, value asc)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(count).desc(), F.col(value).asc())
-    return counts.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
 def with_share_of_total(agg: DataFrame, count_col: str, alias: str, digits: int = 2) -> DataFrame:
     """count / sum(count) over all rows, via a broadcast one-row total."""
     from triage.functions.numeric import ratio

@@ -12,7 +12,6 @@ precedence lists > finance special case > rules > unmatched (C19).
 
 from __future__ import annotations
 
-import hashlib
 import json
 
 from pyspark.sql import Column, DataFrame
@@ -45,10 +44,6 @@ def mail_features(mail: DataFrame) -> DataFrame:
     return select_match_features(mail)
 
 
-MATCH_COLS = ("kind", "list_type", "identifier_type", "identifier_value", "target_category", "recommended_action",
-              "priority", "version", "precision_cat_pct", "support")
-
-
 def matchers(lists: DataFrame, rules: DataFrame) -> DataFrame:
     """One lookup table keyed by (feature, value): equality lists, vip_personal, active rules."""
     active = lists.filter(c("is_active") == F.lit(True))
@@ -359,10 +354,6 @@ def compile_condition_sql(cond: dict) -> str:
     raise ValueError(op)
 
 
-def seed_id(category: str) -> str:
-    return hashlib.sha256(f"seed_v1|{category}".encode()).hexdigest()
-
-
 @register("composite_rules", ops="B13 B9 B8 B16", uses="mail", sql="select message_id, rule_name, target_category "
           "from (" + " union all ".join(
               f"select message_id, 'SEED_{cat}' as rule_name, '{cat}' as target_category from mail "

@@ -501,9 +501,6 @@ group by n_nationkey, n_name, n_regionkey, r_name""",
                 "invalidated_at, rules_count)",
 }
 
-FIXTURE_NAMES = tuple(SQL)
-
-
 def with_fixtures(body_sql: str, uses: str | tuple | list) -> str:
     """Prefix an oracle query with the fixture CTEs it names."""
     names = uses.split() if isinstance(uses, str) else list(uses)
