@@ -77,6 +77,10 @@ def prefix_of_joined(df: DataFrame, keys: Sequence[str], value: Column | str, se
 def with_share_of_total(agg: DataFrame, count_col: str, alias: str, digits: int = 2) -> DataFrame:
     """count / sum(count) over all rows, via a broadcast one-row total."""
     from triage.functions.numeric import ratio
-    # a global aggregate has exactly one row: attached as a scalar subquery (no join)
+    from triage.session import checkpoint_dir
+    # the aggregate (one row per group) is read twice, for its rows and for the total: a
+    # reliable checkpoint computes its lineage once; the one-row total is a scalar subquery
+    checkpoint_dir(agg.sparkSession)
+    agg = agg.checkpoint(eager=True)
     total = agg.agg(F.sum(count_col)).scalar()
     return agg.withColumn(alias, ratio(F.col(count_col), total, digits))
