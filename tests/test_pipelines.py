@@ -107,3 +107,9 @@ def test_apply_publish_writes_new_versions(spark, fx001):
     snaps = spark.read.parquet(paths["snapshots"])
     assert snaps.filter(F.col("is_active")).count() == 0          # every active snapshot invalidated
     assert spark.read.parquet(paths["rules"]).count() >= fx001.rule.count()
+
+
+def test_learned_confidence_edge_rows(spark):  # T24, FIXTURES section 3
+    df = spark.createDataFrame([(20, 5, 1), (80, 5, 2), (80, 4, 1), (31, 9, 3)], "conf int, n30 int, n int")
+    got = [r[0] for r in df.select(sync.learned_confidence(F.col("conf"), F.col("n30"), F.col("n"))).collect()]
+    assert got == [30, 70, 80, 30]

@@ -110,6 +110,12 @@ def feedback_rows(fx) -> DataFrame:
 
 # --- K17: sender learning --------------------------------------------------------
 
+def learned_confidence(conf: Column, corrections_30d: Column, n: Column, threshold: int = 5) -> Column:
+    """At ``threshold`` corrections in the window, greatest(conf - 5, 30) per correction;
+    n sequential updates equal greatest(conf - 5n, 30), which also raises a value under 30 (T24)."""
+    return F.when(corrections_30d >= threshold, F.greatest(conf - 5 * n, F.lit(30))).otherwise(conf)
+
+
 def sender_learning_df(fx, as_of: str = AS_OF, window_days: int = 30, threshold: int = 5) -> DataFrame:
     """Corrections per sender key from one aggregate of the diff (address and domain keys as
     grouping sets), then two equi-joins to the sender table instead of an OR join."""
@@ -131,8 +137,7 @@ def sender_learning_df(fx, as_of: str = AS_OF, window_days: int = 30, threshold:
     n = by_addr.unionByName(by_dom).groupBy("sender_key").agg(F.sum("n").alias("n"))
     upd = (s.join(n, "sender_key").join(recent.withColumnRenamed("from_domain", "sender_domain"), "sender_domain", "left")
            .withColumn("corrections_30d", F.coalesce("corrections_30d", F.lit(0))))
-    conf = F.when(c("corrections_30d") >= threshold,
-                  F.greatest(c("confidence_score") - 5 * c("n"), F.lit(30))).otherwise(c("confidence_score"))
+    conf = learned_confidence(c("confidence_score"), c("corrections_30d"), c("n"), threshold)
     return upd.select("sender_key", conf.cast("int").alias("confidence_score"),
                       (c("user_corrections") + c("n")).cast("int").alias("user_corrections"),
                       c("corrections_30d").cast("bigint").alias("corrections_30d"))
