@@ -1,9 +1,9 @@
 """Constraint checks as a data-driven violations report.
 
 The reference enforces enums, ranges, not-null, unique keys and foreign keys in DDL. Parquet
-has none of that, so the checks run as jobs: one aggregate per (table, rule), unioned into a
-single report; orphans are an anti join against the parent keys (a shuffle join, no broadcast
-of the growing parent).
+has none of that, so the checks run as jobs: one aggregate per table for the row rules, one
+group-by per unique key, and one anti join of all tables' tagged child keys against the
+parent, so the parent is scanned once (a shuffle join; the growing parent is never broadcast).
 """
 
 from __future__ import annotations
@@ -45,14 +45,20 @@ def violations(fx) -> DataFrame:
         long = agg.unpivot([], [name for name, _ in checks], "check", "violations")
         parts.append(long.select(F.lit(t).alias("table_name"), F.split_part("check", F.lit("|"), F.lit(1)).alias(
             "check_name"), F.split_part("check", F.lit("|"), F.lit(2)).alias("columns"), "violations"))
+    # unique keys: one group-by per table on its own key columns (partial aggregation absorbs a hot key)
     for t, keys in UNIQUE.items():
-        df = getattr(fx, t)
-        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(c("n") > 1)
+        dup = getattr(fx, t).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(c("n") > 1)
         parts.append(_row(dup, t, "unique", ",".join(keys), F.coalesce(F.sum(c("n") - 1), F.lit(0))))
-    for t, key in FOREIGN_KEYS.items():
-        child = getattr(fx, t).select(key).filter(c(key).isNotNull())
-        orphan = child.join(fx.mail.select(c("message_id").alias(key)), key, "left_anti")
-        parts.append(_row(orphan, t, "foreign_key", key, F.count(F.lit(1))))
+    # foreign keys: all child keys tagged with their table, one anti join against the parent
+    children = reduce(DataFrame.unionByName, [
+        getattr(fx, t).select(F.lit(t).alias("table_name"), c(key).alias("message_id")).filter(c("message_id").isNotNull())
+        for t, key in FOREIGN_KEYS.items()])
+    orphan = (children.join(fx.mail.select("message_id"), "message_id", "left_anti")
+              .groupBy("table_name").agg(F.count(F.lit(1)).alias("n")))
+    fks = fx.spark.createDataFrame(list(FOREIGN_KEYS.items()), "table_name string, columns string")
+    parts.append(fks.join(orphan, "table_name", "left").select(
+        "table_name", F.lit("foreign_key").alias("check_name"), "columns",
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("violations")))
     return reduce(DataFrame.unionByName, parts)
 
 
