@@ -92,7 +92,8 @@ def test_gate_stream_routes_like_its_twin(spark, fx001):
     def sink(batch, batch_id):
         batch.write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
 
-    q = jobs.gate_stream(spark, os.path.join(landing, "a"), fx001.decision, sink)
+    q = jobs.gate_stream(spark, os.path.join(landing, "a"), fx001.decision, sink,
+                         name=os.path.basename(out))   # a fresh checkpoint per test run
     q.awaitTermination()
     got = spark.read.parquet(out).select("message_id", "route")
     assert rows(got) == rows(gate_routing(fx001))

@@ -109,10 +109,12 @@ def gate_batch(notes: DataFrame, decisions: DataFrame) -> DataFrame:
         "message_id", F.when(c("_seen"), "sync_only").otherwise("classify").alias("route"))
 
 
-def gate_stream(spark: SparkSession, landing: str, decisions: DataFrame, sink) -> object:
+def gate_stream(spark: SparkSession, landing: str, decisions: DataFrame, sink, name: str = "gate") -> object:
+    """J4 as a stream. ``name`` keys its checkpoint (offsets and the once-only state): a rerun
+    under the same name resumes, and repeats already seen stay dropped."""
     notes = notification_stream(spark, landing)
     return (gate_batch(notes, decisions).writeStream.foreachBatch(sink)
-            .option("checkpointLocation", _ckpt(spark, "gate")).trigger(availableNow=True).start())
+            .option("checkpointLocation", _ckpt(spark, name)).trigger(availableNow=True).start())
 
 
 # --- J6 / J10: windowed aggregates --------------------------------------------------
