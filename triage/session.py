@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # 128 MB input splits: at 100 TB this is ~800k tasks, each comfortably in memory
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # lineage-cut data in the shared folder is removed once its DataFrame is unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
