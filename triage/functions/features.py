@@ -13,17 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from triage.functions.text import js_trim  # JavaScript trim(): Unicode white space
+
 FEATURES = ("from_domain", "list_domain", "unsub_domain", "message_id_domain", "precedence",
             "auto_submitted", "from_address", "sender_address", "reply_to_address", "return_path")
 
-# Unicode white space removed by a JavaScript ``trim()``
-_JS_SPACE = "[\\s\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]"
-
-
-def js_trim(col: Column) -> Column:
-    return F.regexp_replace(col, f"^{_JS_SPACE}+|{_JS_SPACE}+$", "")
-
-
 def _first(col: Column, pattern: str) -> Column:
     """First regex capture, null when there is no match."""
     return F.nullif(F.regexp_extract(col, pattern, 1), F.lit(""))

@@ -17,10 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _cols(xs):
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
-
-
 def distinct_joined(df: DataFrame, keys: Sequence[str], value: Column | str, sep: str,
                     alias: str, where: Column | None = None) -> DataFrame:
     """keys -> sorted distinct non-null values joined with ``sep`` (STRING_AGG(DISTINCT ...))."""
