@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from triage.operators.writes import upsert
+from triage.plans.mining import RULES_PUB_USES, SQL_RULES_PUB, published_rules
 from triage.operators.joins import maybe_broadcast
 from triage.registry import register
 from triage.schemas import TAXONOMY
@@ -158,13 +159,14 @@ def audit_report(fx) -> DataFrame:
 
 # --- I22-I25 ---------------------------------------------------------------------
 
-@register("taxonomy_coverage", ops="I22 C16 A2 D3", uses="rule", sql=f"""
-with t as ({SQL_TAX})
+@register("taxonomy_coverage", ops="I22 C16 A2 D3", uses=RULES_PUB_USES, sql=SQL_RULES_PUB + f""",
+t as ({SQL_TAX})
 select t.cat, count(r.target_category) as rules_count,
   count(r.target_category) filter (where r.is_active) as active_rules
-from t left join rule r on r.target_category = t.cat group by t.cat""")
+from t left join rules_pub r on r.target_category = t.cat group by t.cat""")
 def taxonomy_coverage(fx) -> DataFrame:
-    r = fx.rule.groupBy(c("target_category").alias("cat")).agg(
+    """Rules per taxonomy category in the published rule table (configured + mined)."""
+    r = published_rules(fx).groupBy(c("target_category").alias("cat")).agg(
         F.count(F.lit(1)).alias("rules_count"), F.count_if(c("is_active")).alias("active_rules"))
     return (taxonomy_df(fx.spark).join(maybe_broadcast(r), "cat", "left")
             .select("cat", F.coalesce("rules_count", F.lit(0)).alias("rules_count"),

@@ -297,6 +297,14 @@ SEED_CONDITIONS = {
 SEED_PRIORITY = 50
 
 
+def _sql_rules_pub() -> str:
+    from triage.plans.mining import SQL_RULES_PUB
+    return SQL_RULES_PUB
+
+
+_SQL_RULES_PUB = _sql_rules_pub()
+
+
 def _field(name: str) -> Column:
     if name == "has_unsubscribe":
         return c("unsubscribe_link").isNotNull()
@@ -367,9 +375,10 @@ def composite_rules(fx) -> DataFrame:
             .select("message_id", "h.rule_name", "h.target_category"))
 
 
-@register("seed_rules", ops="K26 C3 A2 A3", uses="rule", sql="""
-with taxonomy as (select unnest(['""" + "', '".join(SEED_TAXONOMY) + """']) as cat),
-missing as (select t.cat from taxonomy t left join rule cr on cr.target_category = t.cat where cr.target_category is null)
+@register("seed_rules", ops="K26 C3 A2 A3", uses="mail decision content header rule", sql=_SQL_RULES_PUB + """,
+taxonomy as (select unnest(['""" + "', '".join(SEED_TAXONOMY) + """']) as cat),
+missing as (select t.cat from taxonomy t left join rules_pub cr on cr.target_category = t.cat
+            where cr.target_category is null)
 select sha256('seed_v1|' || cat) as id, 'seed_v1' as version, false as is_active, cat as target_category,
   'SEED_' || cat as notes, 'composite' as rule_type, """ + str(SEED_PRIORITY) + """ as priority,
   case cat """ + " ".join(f"when '{k}' then '{json.dumps(v, sort_keys=True)}'" for k, v in SEED_CONDITIONS.items())
@@ -380,7 +389,8 @@ def seed_rules(fx) -> DataFrame:
     spark = fx.spark
     tax = spark.createDataFrame([(t, json.dumps(SEED_CONDITIONS[t], sort_keys=True)) for t in SEED_TAXONOMY],
                                 "cat string, condition_json string")
-    used = fx.rule.select(c("target_category").alias("cat")).distinct()
+    from triage.plans.mining import published_rules
+    used = published_rules(fx).select(c("target_category").alias("cat")).distinct()
     missing = tax.join(used, "cat", "left_anti")
     return missing.select(
         F.sha2(F.concat(F.lit("seed_v1|"), c("cat")), 256).alias("id"), F.lit("seed_v1").alias("version"),

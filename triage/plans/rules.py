@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from triage import AS_OF
 from triage.functions.numeric import avg_round, ratio, sql_avg_round, sql_ratio
 from triage.operators.aggregates import distinct_joined
-from triage.operators.writes import inserted_rows
-from triage.plans.mining import publish_rows, accepted_rules, rule_metrics
+from triage.operators.writes import insert_if_absent, inserted_rows
+from triage.plans.mining import (RULES_PUB_USES, SQL_RULES_PUB, accepted_rules, publish_rows, published_rules,
+                                 rule_metrics, version_stamp)
 from triage.registry import register
 
 c = F.col
@@ -34,38 +35,69 @@ def _sql_rank(col: str, values) -> str:
     return "case " + col + " " + " ".join(f"when '{v}' then {i}" for i, v in enumerate(values, 1)) + " end"
 
 
+LIST_KEY = ["list_type", "identifier_type", "identifier_value"]
+SQL_LISTS_PUB = """prop as (
+  select distinct 'internal' as list_type, 'from_domain' as identifier_type, lower(e.from_domain) as identifier_value,
+    'internal' as target_category, 'review' as recommended_action, 20 as priority, true as is_active
+  from mail e join decision d on d.message_id = e.message_id
+  where d.primary_category = 'internal' and e.from_domain is not null),
+added as (select p.* from prop p where not exists (select 1 from list_entry l where l.list_type = p.list_type
+  and l.identifier_type = p.identifier_type and l.identifier_value = p.identifier_value)),
+lists_pub as (select * from list_entry union all select * from added)"""
+LISTS_PUB_USES = "mail decision list_entry"
+
+
+def list_proposals(fx) -> DataFrame:
+    """Internal-domain entries proposed from the data: domains of mail decided 'internal'."""
+    return (fx.mail.filter(c("from_domain").isNotNull()).join(
+        fx.decision.filter(c("primary_category") == "internal").select("message_id"), "message_id", "left_semi")
+        .select(F.lit("internal").alias("list_type"), F.lit("from_domain").alias("identifier_type"),
+                F.lower("from_domain").alias("identifier_value"), F.lit("internal").alias("target_category"),
+                F.lit("review").alias("recommended_action"), F.lit(20).alias("priority"),
+                F.lit(True).alias("is_active")).distinct())
+
+
+def published_lists(fx) -> DataFrame:
+    """The curated lists after inserting the data's proposals (existing keys kept)."""
+    return insert_if_absent(fx.list_entry, list_proposals(fx), LIST_KEY)
+
+
 # --- I15 ---------------------------------------------------------------------
 
-@register("rule_version_totals", ops="I15 G1 C8", uses="rule", sql="""
-select 'NEW RULES' as type, count(*) as rules_count from rule where version = 'v2' and is_active = true
-union all select 'EXISTING RULES', count(*) from rule where version <> 'v2' and is_active = true
-union all select 'TOTAL ACTIVE', count(*) from rule where is_active = true""")
-def rule_version_totals(fx, new_version: str = "v2") -> DataFrame:
-    a = fx.rule.filter(c("is_active") == F.lit(True))
+@register("rule_version_totals", ops="I15 G1 C8", uses=RULES_PUB_USES, sql=SQL_RULES_PUB + f"""
+select 'NEW RULES' as type, count(*) as rules_count from rules_pub where version = '{version_stamp()}' and is_active = true
+union all select 'EXISTING RULES', count(*) from rules_pub where version <> '{version_stamp()}' and is_active = true
+union all select 'TOTAL ACTIVE', count(*) from rules_pub where is_active = true""")
+def rule_version_totals(fx, new_version: str | None = None) -> DataFrame:
+    new_version = new_version or version_stamp()
+    a = published_rules(fx).filter(c("is_active") == F.lit(True))
     t = a.agg(F.count_if(c("version") == new_version).alias("NEW RULES"),
               F.count_if(c("version") != new_version).alias("EXISTING RULES"),
               F.count(F.lit(1)).alias("TOTAL ACTIVE"))
     return t.unpivot([], t.columns, "type", "rules_count")
 
 
-@register("rule_category_features", ops="I15 D6", uses="rule", sql="""
+@register("rule_category_features", ops="I15 D6", uses=RULES_PUB_USES, sql=SQL_RULES_PUB + f"""
 select target_category, count(*) as rule_count, string_agg(distinct feature, ', ' order by feature) as features_used
-from rule where version = 'v2' and is_active = true group by target_category""")
-def rule_category_features(fx, new_version: str = "v2") -> DataFrame:
-    r = fx.rule.filter((c("version") == new_version) & (c("is_active") == F.lit(True)))
+from rules_pub where version = '{version_stamp()}' and is_active = true group by target_category""")
+def rule_category_features(fx, new_version: str | None = None) -> DataFrame:
+    new_version = new_version or version_stamp()
+    r = published_rules(fx).filter((c("version") == new_version) & (c("is_active") == F.lit(True)))
     n = r.groupBy("target_category").agg(F.count(F.lit(1)).alias("rule_count"))
     return n.join(distinct_joined(r, ["target_category"], "feature", ", ", "features_used"), "target_category", "left")
 
 
-@register("rule_listing", ops="I15 F3", uses="rule", sql=f"""
+@register("rule_listing", ops="I15 F3", uses=RULES_PUB_USES, sql=SQL_RULES_PUB + f"""
 select cast(row_number() over (order by target_category, {_sql_rank('feature', FEATURE_ORDER)} nulls last, key_value)
   as int) as pos,
   target_category, feature, key_value, recommended_action, priority
-from rule where version = 'v2' and is_active = true""")
-def rule_listing(fx, new_version: str = "v2") -> DataFrame:
-    """Ordered listing; the custom CASE order is materialised as ``pos`` (config-sized window)."""
+from rules_pub where version = '{version_stamp()}' and is_active = true""")
+def rule_listing(fx, new_version: str | None = None) -> DataFrame:
+    """Ordered listing of one published version; the CASE order is materialised as ``pos`` (a
+    window over one version's rules, at most the mining cap)."""
     from pyspark.sql import Window
-    r = fx.rule.filter((c("version") == new_version) & (c("is_active") == F.lit(True)))
+    new_version = new_version or version_stamp()
+    r = published_rules(fx).filter((c("version") == new_version) & (c("is_active") == F.lit(True)))
     w = Window.orderBy("target_category", _rank("feature", FEATURE_ORDER).asc_nulls_last(), "key_value")
     return r.select(F.row_number().over(w).alias("pos"), "target_category", "feature", "key_value",
                     "recommended_action", "priority")
@@ -73,37 +105,37 @@ def rule_listing(fx, new_version: str = "v2") -> DataFrame:
 
 # --- I16 / I17 / I32: contact lists --------------------------------------------------
 
-@register("list_summary", ops="I16 D6 F3", uses="list_entry", sql="""
+@register("list_summary", ops="I16 D6 F3", uses=LISTS_PUB_USES, sql="with " + SQL_LISTS_PUB + """
 select list_type, count(*) as contact_count,
   string_agg(distinct target_category, ', ' order by target_category) as target_categories
-from list_entry where is_active = true group by list_type""")
+from lists_pub where is_active = true group by list_type""")
 def list_summary(fx) -> DataFrame:
-    a = fx.list_entry.filter(c("is_active") == F.lit(True))
+    a = published_lists(fx).filter(c("is_active") == F.lit(True))
     n = a.groupBy("list_type").agg(F.count(F.lit(1)).alias("contact_count"))
     return (n.join(distinct_joined(a, ["list_type"], "target_category", ", ", "target_categories"), "list_type", "left")
             .orderBy(_rank("list_type", LIST_SUMMARY_ORDER).asc_nulls_last()))
 
 
-@register("list_listing", ops="I16 F3", uses="list_entry", sql=f"""
+@register("list_listing", ops="I16 F3", uses=LISTS_PUB_USES, sql="with " + SQL_LISTS_PUB + f"""
 select cast(row_number() over (order by {_sql_rank('list_type', LIST_LISTING_ORDER)} nulls last, priority,
   identifier_value) as int) as pos, list_type, identifier_type, identifier_value, target_category, priority
-from list_entry where is_active = true""")
+from lists_pub where is_active = true""")
 def list_listing(fx) -> DataFrame:
     from pyspark.sql import Window
-    a = fx.list_entry.filter(c("is_active") == F.lit(True))
+    a = published_lists(fx).filter(c("is_active") == F.lit(True))
     w = Window.orderBy(_rank("list_type", LIST_LISTING_ORDER).asc_nulls_last(), "priority", "identifier_value")
     return a.select(F.row_number().over(w).alias("pos"), "list_type", "identifier_type", "identifier_value",
                     "target_category", "priority")
 
 
-@register("active_lists", ops="I17 F1", uses="list_entry", sql="""
+@register("active_lists", ops="I17 F1", uses=LISTS_PUB_USES, sql="with " + SQL_LISTS_PUB + """
 select cast(row_number() over (order by priority, list_type, identifier_value) as int) as pos, list_type, identifier_type,
   identifier_value, target_category, recommended_action, priority
-from list_entry where is_active = true""")
+from lists_pub where is_active = true""")
 def active_lists(fx) -> DataFrame:
     """The matcher's load: active entries in (priority, list_type) order (T16 tie-break added)."""
     from pyspark.sql import Window
-    a = fx.list_entry.filter(c("is_active") == F.lit(True))
+    a = published_lists(fx).filter(c("is_active") == F.lit(True))
     w = Window.orderBy("priority", "list_type", "identifier_value")
     return a.select(F.row_number().over(w).alias("pos"), "list_type", "identifier_type", "identifier_value",
                     "target_category", "recommended_action", "priority")
@@ -129,31 +161,20 @@ def contact_lookup(fx) -> DataFrame:
         "list_type", "identifier_type", "identifier_value", "fragment")
 
 
-@register("list_counts", ops="I32 D1", uses="list_entry", sql="""
-select list_type, count(*) as n from list_entry where is_active = true group by list_type""")
+@register("list_counts", ops="I32 D1", uses=LISTS_PUB_USES, sql="with " + SQL_LISTS_PUB + """
+select list_type, count(*) as n from lists_pub where is_active = true group by list_type""")
 def list_counts(fx) -> DataFrame:
-    return fx.list_entry.filter(c("is_active") == F.lit(True)).groupBy("list_type").agg(F.count(F.lit(1)).alias("n"))
+    return published_lists(fx).filter(c("is_active") == F.lit(True)).groupBy("list_type").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 # --- A3: inserts that keep existing keys --------------------------------------------------
 
-@register("list_insert_if_absent", ops="A3 C3", uses="mail decision list_entry", sql="""
-with prop as (
-  select distinct 'internal' as list_type, 'from_domain' as identifier_type, lower(e.from_domain) as identifier_value,
-    'internal' as target_category, 'review' as recommended_action, 20 as priority, true as is_active
-  from mail e join decision d on d.message_id = e.message_id
-  where d.primary_category = 'internal' and e.from_domain is not null)
-select p.* from prop p where not exists (select 1 from list_entry l where l.list_type = p.list_type
-  and l.identifier_type = p.identifier_type and l.identifier_value = p.identifier_value)""")
+@register("list_insert_if_absent", ops="A3 C3", uses=LISTS_PUB_USES, sql="with " + SQL_LISTS_PUB + """
+select * from added""")
 def list_insert_if_absent(fx) -> DataFrame:
     """Rows a proposal adds to the curated lists; existing (type, identifier) keys are kept."""
-    prop = (fx.mail.filter(c("from_domain").isNotNull()).join(
-        fx.decision.filter(c("primary_category") == "internal").select("message_id"), "message_id", "left_semi")
-        .select(F.lit("internal").alias("list_type"), F.lit("from_domain").alias("identifier_type"),
-                F.lower("from_domain").alias("identifier_value"), F.lit("internal").alias("target_category"),
-                F.lit("review").alias("recommended_action"), F.lit(20).alias("priority"),
-                F.lit(True).alias("is_active")).distinct())
-    return inserted_rows(fx.list_entry, prop, ["list_type", "identifier_type", "identifier_value"])
+    return inserted_rows(fx.list_entry, list_proposals(fx), LIST_KEY)
 
 
 @register("rules_insert_if_absent", ops="A3 K6", uses="mail decision content header rule")

@@ -17,6 +17,32 @@ c = F.col
 TTL_HOURS = 24
 
 
+def _sql_snaps() -> str:
+    from triage.plans.mining import SQL_RULES_PUB
+    return SQL_RULES_PUB + f""",
+snaps as (
+  select version, is_active, created_at, expires_at, invalidated_at, rules_count from snapshot
+  union all
+  select 'hybrid_{AS_OF[:10]}_r' || cast(count(*) as varchar), true, timestamp '{AS_OF}',
+    timestamp '{AS_OF}' + interval '{TTL_HOURS}' hour, cast(null as timestamp), cast(count(*) as int)
+  from rules_pub where is_active = true)"""
+
+
+SNAPS_USES = "mail decision content header rule snapshot"
+
+
+def published_snapshots(fx, as_of: str = AS_OF) -> DataFrame:
+    """Snapshot history plus the snapshot this run builds from the published rules (the
+    rule count of the new snapshot comes from the data)."""
+    from triage.plans.mining import published_rules
+    n = published_rules(fx).filter(c("is_active") == F.lit(True)).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    built = n.select(F.concat(F.lit(f"hybrid_{as_of[:10]}_r"), c("n").cast("string")).alias("version"),
+                     F.lit(True).alias("is_active"), F.lit(as_of).cast("timestamp_ntz").alias("created_at"),
+                     (F.lit(as_of).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(TTL_HOURS))).alias("expires_at"),
+                     F.lit(None).cast("timestamp_ntz").alias("invalidated_at"), c("n").alias("rules_count"))
+    return fx.snapshot.unionByName(built)
+
+
 def _ts(ts: str):
     return F.lit(ts).cast("timestamp_ntz")
 
@@ -27,13 +53,13 @@ def cache_status(snap: DataFrame, as_of: str = AS_OF) -> DataFrame:
     return snap.select("version", "is_active", "created_at", "expires_at", status.alias("status"), "rules_count")
 
 
-@register("snapshot_status", ops="I29 L5 B14 B11", uses="snapshot", sql=f"""
+@register("snapshot_status", ops="I29 L5 B14 B11", uses=SNAPS_USES, sql=_sql_snaps() + f"""
 select version, is_active, created_at, expires_at,
   case when invalidated_at is not null then 'invalidated' when expires_at <= timestamp '{AS_OF}' then 'expired'
        when is_active then 'active' else 'inactive' end as status, rules_count
-from snapshot""")
+from snaps""")
 def snapshot_status(fx) -> DataFrame:
-    return cache_status(fx.snapshot)
+    return cache_status(published_snapshots(fx))
 
 
 def active_snapshot(snap: DataFrame, as_of: str = AS_OF) -> DataFrame:
@@ -42,12 +68,12 @@ def active_snapshot(snap: DataFrame, as_of: str = AS_OF) -> DataFrame:
     return ok.orderBy(c("created_at").desc(), c("version").desc()).limit(1).select("version", "expires_at", "rules_count")
 
 
-@register("snapshot_active", ops="K24 L1 F4", uses="snapshot", sql=f"""
-select version, expires_at, rules_count from snapshot
+@register("snapshot_active", ops="K24 L1 F4", uses=SNAPS_USES, sql=_sql_snaps() + f"""
+select version, expires_at, rules_count from snaps
 where is_active = true and expires_at > timestamp '{AS_OF}' and invalidated_at is null
 order by created_at desc, version desc limit 1""")
 def snapshot_active(fx) -> DataFrame:
-    return active_snapshot(fx.snapshot)
+    return active_snapshot(published_snapshots(fx))
 
 
 def invalidate(snap: DataFrame, reason: str, as_of: str = AS_OF) -> tuple[DataFrame, DataFrame]:
@@ -60,26 +86,26 @@ def invalidate(snap: DataFrame, reason: str, as_of: str = AS_OF) -> tuple[DataFr
     return new, affected
 
 
-@register("snapshot_invalidate", ops="K25 L2 L3 A7", uses="snapshot", sql=f"""
+@register("snapshot_invalidate", ops="K25 L2 L3 A7", uses=SNAPS_USES, sql=_sql_snaps() + f"""
 select version, false as is_active, created_at, expires_at,
   case when is_active = true and invalidated_at is null then timestamp '{AS_OF}' else invalidated_at end
     as invalidated_at,
   case when is_active = true and invalidated_at is null then 'New CDA rules published' end as invalidation_reason,
-  rules_count, (select cast(count(*) as int) from snapshot where is_active = true and invalidated_at is null) as affected
-from snapshot""")
+  rules_count, (select cast(count(*) as int) from snaps where is_active = true and invalidated_at is null) as affected
+from snaps""")
 def snapshot_invalidate(fx, reason: str = "New CDA rules published") -> DataFrame:
-    new, affected = invalidate(fx.snapshot, reason)
+    new, affected = invalidate(published_snapshots(fx), reason)
     return new.withColumn("affected", affected.scalar())
 
 
-@register("snapshot_refresh", ops="J7 B11", uses="snapshot", sql=f"""
+@register("snapshot_refresh", ops="J7 B11", uses=SNAPS_USES, sql=_sql_snaps() + f"""
 select count(*) filter (where is_active = true and expires_at > timestamp '{AS_OF}' and invalidated_at is null) = 0
   as needs_build,
   count(*) filter (where is_active = true and invalidated_at is null and expires_at <= timestamp '{AS_OF}') as expired_active
-from snapshot""")
+from snaps""")
 def snapshot_refresh(fx, as_of: str = AS_OF) -> DataFrame:
     """TTL check: build a new snapshot when no valid one exists at ``as_of``."""
-    s = fx.snapshot
+    s = published_snapshots(fx)
     valid = (c("is_active") == F.lit(True)) & (c("expires_at") > _ts(as_of)) & c("invalidated_at").isNull()
     stale = (c("is_active") == F.lit(True)) & c("invalidated_at").isNull() & (c("expires_at") <= _ts(as_of))
     return s.agg((F.count_if(valid) == 0).alias("needs_build"), F.count_if(stale).alias("expired_active"))
@@ -110,11 +136,11 @@ def build_snapshot(rules: DataFrame, as_of: str = AS_OF) -> DataFrame:
         (_ts(as_of) + F.make_dt_interval(hours=F.lit(TTL_HOURS))).alias("expires_at"))
 
 
-@register("snapshot_build", ops="K23 D6 D1", uses="rule", sql=f"""
-with r as (select *, '- IF ' || feature || '="' || key_value || '" -> ' || target_category || ' ('
+@register("snapshot_build", ops="K23 D6 D1", uses="mail decision content header rule", sql=_sql_snaps() + f""",
+r as (select *, '- IF ' || feature || '="' || key_value || '" -> ' || target_category || ' ('
   || case when coalesce(precision_cat_pct, 0) >= 90 then 'high precision' when coalesce(precision_cat_pct, 0) >= 75
      then 'medium precision' else 'low precision' end || ', ' || cast(coalesce(support, 0) as varchar)
-  || ' hits, action: ' || coalesce(recommended_action, 'review') || ')' as line from rule where is_active = true)
+  || ' hits, action: ' || coalesce(recommended_action, 'review') || ')' as line from rules_pub where is_active = true)
 select target_category, count(*) as rules_count, cast(sum(coalesce(support, 0)) as bigint) as total_support,
   cast(round(avg(cast(precision_cat_pct as decimal(10,2))), 2) as double) as avg_precision,
   '=== ' || upper(target_category) || ' ===' || chr(10)
@@ -122,4 +148,5 @@ select target_category, count(*) as rules_count, cast(sum(coalesce(support, 0))
   timestamp '{AS_OF}' + interval '{TTL_HOURS}' hour as expires_at
 from r group by target_category""")
 def snapshot_build(fx) -> DataFrame:
-    return build_snapshot(fx.rule)
+    from triage.plans.mining import published_rules
+    return build_snapshot(published_rules(fx))
