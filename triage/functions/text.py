@@ -24,6 +24,7 @@ ZERO_WIDTH = r"[\x{034F}\x{200B}\x{200C}\x{200D}\x{2060}\x{FEFF}]"
 # fixed values: named entities and their characters; '&amp;' must stay last
 NAMED_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
                   ("&apos;", "'"), ("&amp;", "&"))
+# fixed value: host of wrapped ("safe") links whose url/target parameter holds the real link
 SAFELINK_HOST = r"(?i)safelinks\.protection\.outlook\.com"
 URL_IN_TEXT = r"(?i)\bhttps?://[^\s)>\]]+"
 WORD_SPLIT = r"[ \t\n\f\r]+"

@@ -213,10 +213,10 @@ def sync_log_rows(fx, as_of: str = AS_OF) -> DataFrame:
     """Append-only log rows of accepted user corrections (JSON columns; rows-only check)."""
     d = state_diff_df(fx, as_of)
     return d.select(
-        "message_id", F.lit("outlook_to_db").alias("sync_direction"), F.lit("user_correction").alias("sync_type"),
+        "message_id", F.lit("mailbox_to_db").alias("sync_direction"), F.lit("user_correction").alias("sync_type"),
         F.lit("synced").alias("sync_status"),
         F.to_json(F.struct(c("new_categories").alias("categories"), c("new_flag").alias("flag"),
-                           c("new_importance").alias("importance"))).alias("outlook_state"),
+                           c("new_importance").alias("importance"))).alias("mailbox_state"),
         F.to_json(F.struct(c("old_categories").alias("categories"), c("old_flag").alias("flag"),
                            c("old_importance").alias("importance"))).alias("db_state"),
         F.to_json(F.struct(
