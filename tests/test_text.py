@@ -71,3 +71,11 @@ def test_truncation_bound(spark, fx01):
 def test_tokens_estimate(spark):
     out = clean(spark, [("abcde", "text"), ("", "text")])
     assert out[0]["tokens_est"] == 2 and out[1]["tokens_est"] == 0
+
+
+def test_wrapped_safe_link_is_decoded(spark):
+    wrapped = ("https://eur01.safelinks.protection.outlook.com/?url=https%3A%2F%2Fexample.org%2Fa%3Fb%3D1"
+               "&data=x&reserved=0")
+    out = clean(spark, [(f"see {wrapped} now", "text"), ("plain https://example.org/x stays", "text")])
+    assert out[0]["body_text"] == "see https://example.org/a?b=1 now"
+    assert out[1]["body_text"] == "plain https://example.org/x stays"
