@@ -113,3 +113,20 @@ def test_learned_confidence_edge_rows(spark):  # T24, FIXTURES section 3
     df = spark.createDataFrame([(20, 5, 1), (80, 5, 2), (80, 4, 1), (31, 9, 3)], "conf int, n30 int, n int")
     got = [r[0] for r in df.select(sync.learned_confidence(F.col("conf"), F.col("n30"), F.col("n"))).collect()]
     assert got == [30, 70, 80, 30]
+
+
+def test_strict_mining_uses_matcher_rules(fx01):
+    """strict=True: a List-ID without <...> is no longer a 'domain' (T1/T2)."""
+    loose = mining.feature_rows(fx01).filter(F.col("feature") == "list_domain")
+    strict = mining.feature_rows(fx01, strict=True).filter(F.col("feature") == "list_domain")
+    assert loose.filter(F.col("key_value").startswith("plain-")).count() > 0
+    assert strict.filter(F.col("key_value").startswith("plain-")).count() == 0
+    assert strict.count() < loose.count()
+
+
+def test_overview_approx_close_to_exact(fx01):
+    from triage.plans import reports
+    exact = {r["primary_category"]: r["n_senders"] for r in reports.category_overview(fx01).collect()}
+    approx = {r["primary_category"]: r["n_senders"] for r in reports.category_overview(fx01, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(2, 0.05 * exact[k]) for k in exact)
