@@ -129,4 +129,5 @@ def test_overview_approx_close_to_exact(fx01):
     exact = {r["primary_category"]: r["n_senders"] for r in reports.category_overview(fx01).collect()}
     approx = {r["primary_category"]: r["n_senders"] for r in reports.category_overview(fx01, approx=True).collect()}
     assert exact.keys() == approx.keys()
-    assert all(abs(approx[k] - exact[k]) <= max(2, 0.05 * exact[k]) for k in exact)
+    # default relative standard deviation is 5%: allow three of them
+    assert all(abs(approx[k] - exact[k]) <= max(2, 0.15 * exact[k]) for k in exact)
