@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triage.llm import quality
 from triage.llm.common import table
 from triage.llm.jaccard import jaccard_join
 from triage.llm.suffix_dedup import remove_repeats
@@ -30,3 +31,17 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = remove_repeats(table(spark, sf_dir, "documents"), min_len=200, keep="none")
     return got.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def fifth() -> Column:
+    """crc32 of the id as text, modulo 5: 0 is held out of training."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, "quality", where=fifth() != 0)
+    return quality.score(docs, model).select(
+        "doc_id", F.coalesce(fifth() == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
