@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.llm import quality
+from triage.llm import pii, quality, secret_scan
 from triage.llm.common import table
 from triage.llm.jaccard import jaccard_join
 from triage.llm.suffix_dedup import remove_repeats
@@ -45,3 +45,20 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select(
         "doc_id", F.coalesce(fifth() == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def _spans(found: DataFrame, kinds) -> DataFrame:
+    """Counts and digests of a span scan."""
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spans(secret_scan.scan(table(spark, sf_dir, "documents")), secret_scan.KINDS)
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spans(pii.scan(table(spark, sf_dir, "documents")), pii.KINDS)
