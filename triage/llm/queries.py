@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.llm import pii, quality, secret_scan
+from triage.llm import pii, quality, quality_rules, secret_scan
 from triage.llm.common import table
 from triage.llm.jaccard import jaccard_join
 from triage.llm.suffix_dedup import remove_repeats
@@ -62,3 +62,52 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spans(pii.scan(table(spark, sf_dir, "documents")), pii.KINDS)
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _op5_sql() -> str:
+    grid = [(r, v, c) for r, (v, cs) in quality_rules.RULES.items() for c in cs]
+    values = ", ".join(f"({r!r}, {c})" for r, _, c in grid)
+    measure = " ".join(f"when {r!r} then {v.split(' / ')[0]}::double / nullif({v.split(' / ')[1]}, 0)" for r, (v, _) in quality_rules.RULES.items())
+    each, alpha = quality_rules.RISK / len(quality_rules.RULES), quality_rules.ALPHA
+    return rf"""
+with d as (
+  select doc_id, coalesce(lang, '') stratum, coalesce(text, '') t,
+         [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] w,
+         [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] ls
+  from documents),
+win as (select doc_id, p, array_to_string(w[p:p + 7], ' ') x from (select doc_id, w, unnest(range(1, len(w) - 6)) p from d)),
+rep as (select doc_id, p from win qualify count(*) over (partition by doc_id, x) > 1),
+cov as (select doc_id, count(distinct q) n from (select doc_id, unnest(range(p, p + 8)) q from rep) group by 1),
+m as (
+  select d.doc_id, stratum, len(w)::bigint n_words, length(array_to_string(w, ''))::bigint word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint n_symbols, len(ls)::bigint n_lines,
+         (len(ls) - len(list_distinct(ls)))::bigint n_dup_lines, coalesce(cov.n, 0)::bigint n_repeat_words
+  from d left join cov on cov.doc_id = d.doc_id),
+b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words base_failed from m),
+grid(rule, cutoff) as (values {values}),
+v as (select doc_id, stratum, base_failed, rule, case rule {measure} end val from b, (select distinct rule from grid) r),
+good as (select doc_id from labels where quality is not null group by 1 having min(quality) = 1),
+counts as (
+  select v.stratum, g.rule, g.cutoff, count(*) n, count(*) filter (v.val > g.cutoff) k
+  from v join good using (doc_id) join grid g on g.rule = v.rule where not base_failed group by all),
+tests as (select count(*) t from counts),
+terms as (
+  select stratum, rule, cutoff, unnest(range(0, k + 1)) i, n from counts where k < {each!r} * n),
+sure as (
+  select stratum, rule, cutoff from (
+    select stratum, rule, cutoff, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({each!r}) + (n - i) * ln(1 - {each!r}))) p
+    from terms group by all) where p <= {alpha!r} / (select t from tests)),
+best as (select stratum, rule, min(cutoff) cutoff from sure group by all),
+bad as (select distinct doc_id from v join best using (stratum, rule) where val > cutoff)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and doc_id not in (select doc_id from bad) kept
+from b"""
+
+
+SQL["op5_quality_rules"] = _op5_sql()
