@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.llm import pii, quality, quality_rules, secret_scan
+from triage.llm import decontam, pii, quality, quality_rules, secret_scan
 from triage.llm.common import table
 from triage.llm.jaccard import jaccard_join
 from triage.llm.suffix_dedup import remove_repeats
@@ -111,3 +111,28 @@ from b"""
 
 
 SQL["op5_quality_rules"] = _op5_sql()
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# every window aligned with an item by a shared shingle, compared exactly; no fingerprints
+SQL["op1_decontamination"] = r"""
+with d as (select doc_id, [x for x in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if x <> ''] w from documents),
+b as (select item_id, [x for x in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if x <> ''] w from benchmark),
+ds as (select doc_id, greatest(len(w) - 4, 1) m, unnest(range(0, greatest(len(w) - 4, 1))) i, w from d where len(w) > 0),
+dg as (select doc_id, m, i, array_to_string(w[i + 1:i + 5], ' ') x from ds),
+bs as (select item_id, greatest(len(w) - 4, 1) k, unnest(range(0, greatest(len(w) - 4, 1))) p, w from b where len(w) > 0),
+bg as (select item_id, k, p, array_to_string(w[p + 1:p + 5], ' ') x from bs),
+at as (select distinct doc_id, item_id, k, m, greatest(0, least(i - p, m - k)) s from dg join bg using (x)),
+win as (select at.doc_id, item_id, k, m, s, x, count(*) n from at join dg on dg.doc_id = at.doc_id and dg.i >= s and dg.i < s + k group by all),
+item as (select item_id, x, count(*) n from bg group by all),
+sim as (
+  select win.doc_id, win.item_id, s, least(any_value(k), any_value(m)) + any_value(k) total, sum(least(win.n, item.n)) "both"
+  from win join item on item.item_id = win.item_id and item.x = win.x group by all),
+ok as (select doc_id, item_id, s, "both" / (total - "both") similarity from sim where "both" * 100 >= (total - "both") * 80)
+select doc_id, item_id, min(s)::bigint "at", any_value(similarity) similarity
+from ok o where similarity = (select max(similarity) from ok i where i.doc_id = o.doc_id and i.item_id = o.item_id)
+group by doc_id, item_id"""
