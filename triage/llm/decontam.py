@@ -90,9 +90,9 @@ def windows_of(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, num: int = 80, den: int = 100, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, item_id, at, similarity) of the best window of each text and item it leaks.
+    """(doc_id, item_id, first_word, similarity) of the best window of each text and item it leaks.
 
-    ``at``: first word of the window, after normalisation; of equals the first.
+    ``first_word``: the window's, after normalisation; of equally good windows the first one's.
     """
     items = cut(items_of(bench))
     wins = cut(windows_of(docs, items))
@@ -104,4 +104,4 @@ def find_leaks(docs: DataFrame, bench: DataFrame, num: int = 80, den: int = 100,
     sure = near.filter(F.col("both") * den >= F.col("total") * num).select("k", "win", "item_id", (F.col("both") / F.col("total")).alias("similarity"))
     rows = wins.join(sure, ["k", "win"])
     return rows.groupBy("doc_id", "item_id").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "at")).alias("b")).select(
-        "doc_id", "item_id", F.col("b.at").cast("long").alias("at"), (-F.col("b.s")).alias("similarity"))
+        "doc_id", "item_id", F.col("b.at").cast("long").alias("first_word"), (-F.col("b.s")).alias("similarity"))
