@@ -127,7 +127,7 @@ dg as (select doc_id, m, i, array_to_string(w[i + 1:i + 5], ' ') x from ds),
 bs as (select item_id, greatest(len(w) - 4, 1) k, unnest(range(0, greatest(len(w) - 4, 1))) p, w from b where len(w) > 0),
 bg as (select item_id, k, p, array_to_string(w[p + 1:p + 5], ' ') x from bs),
 al as (select distinct doc_id, item_id, k, m, greatest(0, least(i - p, m - k)) s from dg join bg using (x)),
-win as (select al.doc_id, item_id, k, m, s, x, count(*) n from al join dg on dg.doc_id = al.doc_id and dg.i >= s and dg.i < s + k group by all),
+win as (select al.doc_id, item_id, k, al.m, s, x, count(*) n from al join dg on dg.doc_id = al.doc_id and dg.i >= s and dg.i < s + k group by all),
 item as (select item_id, x, count(*) n from bg group by all),
 sim as (
   select win.doc_id, win.item_id, s, least(any_value(k), any_value(m)) + any_value(k) total, sum(least(win.n, item.n)) "both"
