@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.llm import decontam, pii, quality, quality_rules, secret_scan
+from triage.llm import decontam, licenses, pii, quality, quality_rules, secret_scan
 from triage.llm.common import table
 from triage.llm.jaccard import jaccard_join
 from triage.llm.suffix_dedup import remove_repeats
@@ -136,3 +136,53 @@ ok as (select doc_id, item_id, s, "both" / (total - "both") similarity from sim
 select doc_id, item_id, min(s)::bigint first_word, any_value(similarity) similarity
 from ok o where similarity = (select max(similarity) from ok i where i.doc_id = o.doc_id and i.item_id = o.item_id)
 group by doc_id, item_id"""
+
+
+def _doc_path() -> Column:
+    """A layout for documents: source, language, a folder of 1000 ids, a file."""
+    return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("und")),
+                       F.floor(F.col("doc_id") / 1000).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document that opens with a licence line is taken as its folder's licence file."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", _doc_path().alias("path"))
+    return licenses.scan(docs, speaks=F.col("_first") == 0).select("doc_id", "path", "license", "origin", "score", "from_dir")
+
+
+def _op2_sql() -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    values = ", ".join(f"({i}, {quote(n)}, {quote(x)})" for i, (n, x) in enumerate(licenses.TEMPLATES))
+    words = lambda c: f"[x for x in regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+') if x <> '']"
+    return f"""
+with t(t, license, txt) as (values {values}),
+tw as (select t, license, unnest({words('txt')}) term from t),
+voc as (select distinct term from tw),
+d as (select doc_id, coalesce(source, 'unknown') || '/' || coalesce(lang, 'und') || '/' || (doc_id // 1000)::varchar dir, coalesce(text, '') txt from documents),
+df as (select term, count(*) df from (select unnest(list_distinct({words('txt')})) term from d) where term in (select term from voc) group by 1),
+n as (select count(*) n from d),
+idf as (select term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 idf from voc left join df using (term) cross join n),
+tv as (select t, license, term, w / sqrt(sum(w * w) over (partition by t)) w from (
+  select t, license, term, count(*) * any_value(idf) w from tw join idf using (term) group by all)),
+ln as (select doc_id, unnest(string_split(txt, chr(10))) line, generate_subscripts(string_split(txt, chr(10)), 1) - 1 line_no from d),
+lw as (select doc_id, line_no, unnest({words('line')}) term from ln),
+lv as (select doc_id, line_no, term, idf, w / sqrt(sum(w * w) over (partition by doc_id, line_no)) w from (
+  select doc_id, line_no, term, any_value(idf) idf, count(*) * coalesce(any_value(idf), ln((select n from n) + 1.0) + 1) w
+  from lw left join idf using (term) group by all)),
+sc as (select doc_id, line_no, license, t, round(sum(lv.w * tv.w), 6) score from lv join tv using (term) group by all),
+hit as (select * from sc where score >= {licenses.LEAST}),
+line as (select doc_id, line_no, license, score from hit qualify row_number() over (partition by doc_id, line_no order by score desc, license) = 1),
+own as (select doc_id, license, score, min(line_no) over (partition by doc_id) first from line
+        qualify row_number() over (partition by doc_id order by score desc, line_no, license) = 1),
+voice as (select dir, license, count(*) n from own join d using (doc_id) where first = 0 group by all),
+heads as (select dir, license from voice qualify row_number() over (partition by dir order by n desc, license) = 1),
+up as (select doc_id, unnest([dir, regexp_extract(dir, '^(.*)/[^/]*$', 1), regexp_extract(dir, '^([^/]*)/', 1), '']) anc, unnest([1, 2, 3, 4]) far from d),
+near as (select doc_id, anc, license from up join heads on heads.dir = anc qualify row_number() over (partition by doc_id order by far) = 1)
+select doc_id, dir || '/' || doc_id::varchar || '.txt' path, coalesce(own.license, near.license) license,
+       case when own.license is not null then 'own' when near.license is not null then 'inherited' else 'none' end origin,
+       own.score score, case when own.license is null then near.anc end from_dir
+from d left join own using (doc_id) left join near using (doc_id)"""
+
+
+SQL["op2_license_scan"] = _op2_sql()
