@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.llm import decontam, licenses, pii, quality, quality_rules, secret_scan
+from triage.llm import decontam, licenses, pieces, pii, quality, quality_rules, secret_scan
 from triage.llm.common import table
 from triage.llm.jaccard import jaccard_join
 from triage.llm.suffix_dedup import remove_repeats
@@ -186,3 +186,9 @@ from d left join own using (doc_id) left join near using (doc_id)"""
 
 
 SQL["op2_license_scan"] = _op2_sql()
+
+
+@query
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = pieces.encoded(table(spark, sf_dir, "documents"), dropout=0.1, seed=1)
+    return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless")
