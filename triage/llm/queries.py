@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.llm import decontam, licenses, pieces, pii, quality, quality_rules, secret_scan
+from triage.llm import decontam, licenses, pieces, pii, quality, quality_rules, secret_scan, url_filter
 from triage.llm.common import table
 from triage.llm.jaccard import jaccard_join
 from triage.llm.suffix_dedup import remove_repeats
@@ -192,3 +192,59 @@ SQL["op2_license_scan"] = _op2_sql()
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = pieces.encoded(table(spark, sf_dir, "documents"), dropout=0.1, seed=1)
     return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless")
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages with a fetch time from their number: one every 97 minutes over a year, round and round."""
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod(F.col("page_id") * 97 * 60, F.lit(365 * 86400)))
+    return pages.select("page_id", "url", at.alias("fetched"))
+
+
+def list_log(pages: DataFrame) -> DataFrame:
+    """A dated list from the hosts in ``pages``: each host enters, changes or leaves by its letters.
+
+    Hosts whose length is a multiple of 3 are blocked on day 30 + 7 * (length mod 20), removed
+    100 days later and blocked again 60 days after that; of a length 1 above that their first
+    language folder is blocked from day 60 on, and the host's parent domain allowed from day 90 on.
+    """
+    h = pages.select(url_filter.host_of(F.col("url")).alias("host"), F.regexp_extract("url", "^[^/]*//[^/]*/([^/?#]+)/", 1).alias("folder")) \
+        .filter("host is not null").distinct()
+    n = F.length("host")
+    day = lambda d: F.timestamp_seconds(F.lit(1_704_067_200) + d * 86400)
+    entry = lambda key, action, d: F.struct(key.alias("key"), F.lit(action).alias("action"), day(d).alias("since"))
+    start = 30 + 7 * (n % 20)
+    log = F.when(n % 3 == 0, F.array(entry(F.col("host"), "block", start), entry(F.col("host"), "remove", start + 100),
+                                     entry(F.col("host"), "block", start + 160))) \
+        .when((n % 3 == 1) & (F.col("folder") != ""), F.array(
+            entry(F.concat("host", F.lit("/"), "folder", F.lit("/")), "block", F.lit(60)),
+            entry(F.regexp_replace("host", "^[^.]*[.]", ""), "allow", F.lit(90))))
+    return h.select(F.explode(log).alias("e")).select("e.*").distinct()
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(captures(pages), list_log(pages)).select(
+        "page_id", "host", F.unix_timestamp("fetched").alias("fetched_s"), "verdict", "key", F.unix_timestamp("since").alias("since_s"))
+
+
+SQL["op10_url_filter"] = r"""
+with p as (select page_id, url, timestamp '2024-01-01 00:00:00' + to_seconds((page_id * 97 * 60) % (365 * 86400)) fetched from pages),
+u as (select *, nullif(regexp_replace(regexp_replace(lower(regexp_extract(url, '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.+$', ''), '^www\.', ''), '') host,
+      regexp_extract(url, '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1) path,
+      regexp_extract(url, '^[^/]*//[^/]*/([^/?#]+)/', 1) folder from p),
+h as (select distinct host, folder, length(host) n from u where host is not null),
+log as (
+  select host key, 'block' action, 30 + 7 * (n % 20) d from h where n % 3 = 0
+  union select host, 'remove', 130 + 7 * (n % 20) from h where n % 3 = 0
+  union select host, 'block', 190 + 7 * (n % 20) from h where n % 3 = 0
+  union select host || '/' || folder || '/', 'block', 60 from h where n % 3 = 1 and folder <> ''
+  union select regexp_replace(host, '^[^.]*[.]', ''), 'allow', 90 from h where n % 3 = 1 and folder <> ''),
+e as (select key, min(action) action, timestamp '2024-01-01 00:00:00' + to_days(d::int) since from log group by key, d),
+latest as (
+  select page_id, fetched, e.key, arg_max(action, since) action, max(since) since,
+         case when contains(e.key, '/') then 100 + length(e.key) else length(e.key) end depth
+  from u join e on since <= fetched and (host = e.key or ends_with(host, '.' || e.key) or starts_with(host || path, e.key) and contains(e.key, '/'))
+  group by all),
+best as (select * from latest where action <> 'remove' qualify row_number() over (partition by page_id order by depth desc) = 1)
+select u.page_id, host, epoch(u.fetched)::bigint fetched_s, coalesce(action, 'none') verdict, key, epoch(since)::bigint since_s from u left join best using (page_id)"""
