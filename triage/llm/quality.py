@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from triage.llm.common import mix, text_bytes
 from triage.llm.shingles import PIECE, powers, prefix_sums
@@ -204,4 +205,4 @@ def with_score(docs: DataFrame, model) -> DataFrame:
             z = logits(*text_bytes(b.column(at)), scalars, bias)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], name)
 
-    return docs.mapInArrow(run, docs.schema.add("score", "double"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
