@@ -80,7 +80,7 @@ def parse(pad: np.ndarray, first: np.ndarray, texts: np.ndarray, seen: dict | No
     flat = np.where(space, np.uint8(32), pad)
     s = prefix_sums(flat)
     _, down = powers(max(PIECE, 1 << len(pad).bit_length()))
-    ids = [(mix((s[n:] - s[:-n]) * down[:len(pad) - n + 1]) % np.uint64(BUCKETS - 1)).astype(np.int64) + 1 for n in SIZES]
+    ids = [(mix((s[n:] - s[:-n]) * down[:max(0, len(pad) - n + 1)]) % np.uint64(BUCKETS - 1)).astype(np.int64) + 1 for n in SIZES]
     word = mix((s[end] - s[start]) * down[start])
     own = (mix(word + np.uint64(7)) % np.uint64(BUCKETS - 1)).astype(np.int64) + 1
     size = end - start

@@ -2,7 +2,7 @@
 
 A string of ``min_len`` bytes that also starts elsewhere (in any text, its own included) is
 repeated. ``keep="none"`` removes every byte of every such string; ``keep="first"`` leaves the
-first copy in (doc_id, position) order and removes the later ones.
+first copy in (doc_id, position) order and removes the later ones, where they overlap it too.
 
 A suffix array of a whole corpus fits no machine, so the suffixes are dealt out first. Every
 window of ``min_len`` bytes belongs to the smallest hash among the ``gram``-byte strings in it:
