@@ -31,13 +31,19 @@ def test_update_from(spark):
     assert rows(out) == [("a", "x"), ("b", "z")]
 
 
-def test_contains_join_paths_agree(spark, fx01):
+def test_contains_join_against_brute_force(spark, fx01):
     texts = fx01.mail.select("message_id", F.lower("from_address").alias("a"))
-    pats = spark.createDataFrame([("ann1",), ("u7.p",), ("news1",), ("",)], "p string")
-    b = contains_join(texts, "a", pats, "p")
-    s = contains_join(texts, "a", pats, "p", force_shuffle=True)
-    assert b.count() > 0
-    assert rows(b.select("message_id", "p")) == rows(s.select("message_id", "p"))
+    pats = spark.createDataFrame([("ann1",), ("u7.p",), ("news1",), ("",), (None,), ("n" * 500,)], "p string")
+    got = rows(contains_join(texts, "a", pats, "p").select("message_id", "p"))
+    want = rows(texts.crossJoin(pats.filter("p <> ''")).filter("instr(a, p) > 0").select("message_id", "p"))
+    assert got == want and got
+
+
+def test_contains_join_keeps_equal_rows_and_many_patterns(spark):
+    texts = spark.createDataFrame([("aXbXa",), ("aXbXa",), (None,), ("",)], "t string")
+    assert rows(contains_join(texts, "t", spark.createDataFrame([("X",)], "p string"), "p")) == [("aXbXa", "X")] * 2
+    pats = spark.createDataFrame([(str(i),) for i in range(3000)] + [("X",)], "p string")
+    assert rows(contains_join(texts, "t", pats, "p")) == [("aXbXa", "X")] * 2
 
 
 def test_first_by_priority_total_order(spark):

@@ -79,3 +79,33 @@ def test_wrapped_safe_link_is_decoded(spark):
     out = clean(spark, [(f"see {wrapped} now", "text"), ("plain https://example.org/x stays", "text")])
     assert out[0]["body_text"] == "see https://example.org/a?b=1 now"
     assert out[1]["body_text"] == "plain https://example.org/x stays"
+
+
+def test_entities_that_used_to_raise(spark):
+    out = clean(spark, [("<p>&#55357;&#56832; &#99999999999999999999999999; x&#55357;y</p>", "html"),
+                        ("<p>&#38;#39; &#39;</p>", "html"), (f"<p>&#{'9' * 400};z</p>", "html")])
+    assert out[0]["body_text"].startswith("\U0001f600") and out[0]["body_text"].endswith("x\ufffdy")
+    assert out[1]["body_text"] == "&#39; '"
+    assert out[2]["body_text"].endswith("z")
+
+
+def test_wrapped_link_that_is_a_prefix_of_another(spark):
+    host = "https://a.safelinks.protection.outlook.com/?url=https%3A%2F%2Fx.org"
+    out = clean(spark, [(f"{host} and {host}%2Fy&data=1", "text")])
+    assert out[0]["body_text"] == "https://x.org and https://x.org/y"
+
+
+def test_empty_body_has_no_hash(spark):
+    assert clean(spark, [("", "text")])[0]["body_hash"] is None
+
+
+def test_bodies_that_differ_late_are_no_duplicates(spark):
+    from types import SimpleNamespace
+
+    from triage.plans.text import content_duplicates, text_metrics
+    long = "word " * 4000
+    body = spark.createDataFrame([("a", long + "one", "text"), ("b", long + "two", "text"), ("c", long + "one", "text")],
+                                 "message_id string, content string, content_type string")
+    fx = SimpleNamespace(spark=spark, body=body)
+    assert [(r.message_id, r.duplicate_of) for r in content_duplicates(fx).orderBy("message_id").collect()] == [("a", "a"), ("c", "a")]
+    assert {r.word_count for r in text_metrics(fx).collect()} == {4001}

@@ -34,10 +34,26 @@ def js_trim(col: Column) -> Column:
     return F.regexp_replace(col, f"^{JS_SPACE}+|{JS_SPACE}+$", "")
 
 
-def _utf16_unit(hex_col: Column) -> Column:
-    """String.fromCharCode for a code unit given in hex (low 16 bits)."""
-    h4 = F.right(F.concat(F.lit("0000"), F.upper(hex_col)), F.lit(4))
-    return F.decode(F.unhex(h4), "UTF-16BE")
+def replace_each(col: Column, pattern: str, decode) -> Column:
+    """``col`` with every match of ``pattern`` (no groups) replaced by ``decode(match)``, in one pass:
+    what a replacement yields is not looked at again."""
+    between = F.split(col, pattern, -1)
+    hits = F.transform(F.regexp_extract_all(col, F.lit(f"({pattern})"), 1), decode)
+    return F.array_join(F.zip_with(between, F.concat(hits, F.array(F.lit(""))), lambda x, y: F.concat(x, y)), "")
+
+
+def _from_units(units: Column) -> Column:
+    """Text of an array of UTF-16 code units in 4 hex digits; unpaired surrogates become U+FFFD."""
+    u = F.concat(F.array_join(units, ","), F.lit(","))
+    u = F.regexp_replace(u, r"(?:D[89AB][0-9A-F]{2}),(?!D[C-F])", "FFFD,")
+    u = F.regexp_replace(u, r"(?<!D[89AB][0-9A-F]{2},)D[C-F][0-9A-F]{2},", "FFFD,")
+    return F.decode(F.unhex(F.replace(u, F.lit(","))), "UTF-16BE")
+
+
+def _unit(n: Column) -> Column:
+    """String.fromCharCode of decimal digits: a double modulo 65536; what is no number is 0."""
+    m = F.pmod(n.cast("double"), F.lit(65536.0))
+    return F.lpad(F.hex(F.when(F.isnan(m), 0).otherwise(m).cast("int")), 4, "0")
 
 
 def decode_named(col: Column) -> Column:
@@ -48,14 +64,14 @@ def decode_named(col: Column) -> Column:
 
 
 def decode_numeric(col: Column) -> Column:
-    dec = F.array_distinct(F.regexp_extract_all(col, F.lit(r"&#(\d+);"), 1))
-    return F.aggregate(dec, col, lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
-                                                         _utf16_unit(F.conv(n, 10, 16))))
+    return replace_each(col, r"(?:&#\d+;)+", lambda run: _from_units(
+        F.transform(F.regexp_extract_all(run, F.lit(r"&#(\d+);"), 1), _unit)))
 
 
 def decode_hex(col: Column) -> Column:
-    hexes = F.array_distinct(F.regexp_extract_all(col, F.lit(r"&#x([0-9a-fA-F]+);"), 1))
-    return F.aggregate(hexes, col, lambda acc, h: F.replace(acc, F.concat(F.lit("&#x"), h, F.lit(";")), _utf16_unit(h)))
+    return replace_each(col, r"(?:&#x[0-9a-fA-F]+;)+", lambda run: _from_units(
+        F.transform(F.regexp_extract_all(run, F.lit(r"&#x([0-9a-fA-F]+);"), 1),
+                    lambda h: F.right(F.concat(F.lit("0000"), F.upper(h)), F.lit(4)))))
 
 
 def decode_entities(col: Column) -> Column:
@@ -81,9 +97,6 @@ def unwrap_links(col: Column) -> Column:
 
 
 def decode_safelinks(col: Column) -> Column:
-    urls = F.array_distinct(F.filter(F.regexp_extract_all(col, F.lit(URL_IN_TEXT), 0),
-                                     lambda u: u.rlike(SAFELINK_HOST)))
-
     def orig(u):
         q = F.coalesce(F.try_parse_url(u, F.lit("QUERY"), F.lit("url")),
                        F.try_parse_url(u, F.lit("QUERY"), F.lit("target")))
@@ -91,7 +104,7 @@ def decode_safelinks(col: Column) -> Column:
         twice = F.try_url_decode(F.replace(once, F.lit("+"), F.lit("%2B")))  # decodeURIComponent
         return F.coalesce(F.nullif(twice, F.lit("")), u)
 
-    return F.aggregate(urls, col, lambda acc, u: F.replace(acc, u, orig(u)))
+    return replace_each(col, URL_IN_TEXT, lambda u: F.when(u.rlike(SAFELINK_HOST), orig(u)).otherwise(u))
 
 
 def normalize_whitespace(col: Column) -> Column:
@@ -104,9 +117,13 @@ def normalize_whitespace(col: Column) -> Column:
     return js_trim(t)
 
 
+STAGES = ("_plain", "_html", "_plain_ok", "_tags", "_named", "_dec", "_stripped", "_unwrapped", "_safe", "_norm", "_n",
+          "_rp", "_par", "_dot")
+
+
 def clean_frame(df: DataFrame, content: str = "content", content_type: str = "content_type",
-                limit: int = MAX_BODY_CHARS) -> DataFrame:
-    """K9 over a DataFrame, in staged projections.
+                limit: int | None = MAX_BODY_CHARS) -> DataFrame:
+    """K9 over a DataFrame, in staged projections; ``limit`` None: the whole normalised text.
 
     Each expensive intermediate (stripped HTML, normalised text, its prefix and reversal) is
     a named column of its own projection. Catalyst does not inline a non-trivial expression
@@ -124,10 +141,14 @@ def clean_frame(df: DataFrame, content: str = "content", content_type: str = "co
     s5 = s4.select("*", decode_hex(F.col("_dec")).alias("_stripped"))
     base = F.when(F.col("_plain_ok"), F.col("_plain")).otherwise(F.coalesce(F.col("_stripped"), F.lit("")))
     label = (F.when(F.coalesce(F.col("_plain") != "", F.lit(False)), "text")
-             .when(F.coalesce(F.col("_html") != "", F.lit(False)), "html->text").otherwise("none"))
+             .when(F.coalesce(F.col("_html") != "", F.lit(False)), "html→text").otherwise("none"))
     s6 = s5.select("*", unwrap_links(base).alias("_unwrapped"), label.alias("body_source"))
     s7 = s6.select("*", decode_safelinks(F.col("_unwrapped")).alias("_safe"))
     s8 = s7.select("*", normalize_whitespace(F.col("_safe")).alias("_norm"))
+    if limit is None:
+        return s8.select("*", F.coalesce(F.length(raw), F.lit(0)).cast("int").alias("content_len"),
+                         F.sha2(raw, 256).alias("content_hash"), F.col("_norm").alias("body_text"),
+                         F.lit(False).alias("body_truncated")).drop(*STAGES)
     s9 = s8.select("*", F.length("_norm").alias("_n"), F.reverse(F.substring("_norm", 1, limit + 2)).alias("_rp"))
     s10 = s9.select("*", _last_index_rev(F.col("_rp"), "\n\n").alias("_par"),
                     _last_index_rev(F.col("_rp"), ". ").alias("_dot"))
@@ -139,19 +160,23 @@ def clean_frame(df: DataFrame, content: str = "content", content_type: str = "co
             .otherwise(js_trim(F.substring(norm, 1, limit))))
     out = s10.select("*", F.coalesce(F.length(raw), F.lit(0)).cast("int").alias("content_len"),
                      F.sha2(raw, 256).alias("content_hash"), body.alias("body_text"), (n > limit).alias("body_truncated"))
-    return out.drop("_plain", "_html", "_plain_ok", "_tags", "_named", "_dec", "_stripped", "_unwrapped", "_safe",
-                    "_norm", "_n", "_rp", "_par", "_dot")
+    return out.drop(*STAGES)
 
 
 def _last_index_rev(rev_prefix: Column, x: str) -> Column:
-    """lastIndexOf from the reversed prefix (see ``last_index_of``)."""
+    """Last position of ``x``, from the reversed prefix (-1: none)."""
     pos = F.locate(x[::-1], rev_prefix)
     return F.when(pos > 0, F.length(rev_prefix) - pos - F.lit(len(x)) + 1).otherwise(F.lit(-1))
 
 
+def body_hash(b: Column) -> Column:
+    """SHA-256 of a cleaned body; an empty one has none."""
+    return F.sha2(F.nullif(b, F.lit("")), 256)
+
+
 def finish(df, limit: int = MAX_BODY_CHARS):
     b = F.col("body_text")
-    return df.select("*", F.sha2(b, 256).alias("body_hash"), F.ceil(F.length(b) / 4).cast("int").alias("tokens_est"),
+    return df.select("*", body_hash(b).alias("body_hash"), F.ceil(F.length(b) / 4).cast("int").alias("tokens_est"),
                      F.length(b).cast("int").alias("body_chars"), F.lit(limit).alias("max_body_chars"))
 
 
@@ -165,10 +190,25 @@ def sql_decode_entities(x: str) -> str:
     s = x
     for ent, ch in NAMED_ENTITIES:
         s = f"replace({s}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
-    s = (f"list_reduce(list_distinct(regexp_extract_all({s}, '&#(\\d+);', 1)), lambda acc, n: replace(acc, '&#' || n "
-         f"|| ';', chr(cast(cast(n as hugeint) % 65536 as integer))), {s})")
-    return (f"list_reduce(list_distinct(regexp_extract_all({s}, '&#x([0-9a-fA-F]+);', 1)), lambda acc, h: replace(acc, "
-            f"'&#x' || h || ';', chr(cast(('0x' || right('0000' || h, 4))::integer as integer))), {s})")
+    s = _sql_replace_each(s, r"(?:&#\d+;)+", lambda r: _sql_units(
+        f"[cast(cast(x as double) % 65536 as int) for x in regexp_extract_all({r}, '&#(\\d+);', 1)]"))
+    return _sql_replace_each(s, "(?:&#x[0-9a-fA-F]+;)+", lambda r: _sql_units(
+        f"[cast('0x' || right('0000' || x, 4) as int) for x in regexp_extract_all({r}, '&#x([0-9a-fA-F]+);', 1)]"))
+
+
+def _sql_replace_each(x: str, pattern: str, decode) -> str:
+    return (f"array_to_string(list_transform(list_zip(regexp_split_to_array({x}, '{pattern}'), "
+            f"list_append(regexp_extract_all({x}, '{pattern}'), '')), lambda p: p[1] || case when p[2] = '' then '' else "
+            f"{decode('p[2]')} end), '')")
+
+
+def _sql_units(u: str) -> str:
+    """Characters of a list of UTF-16 units, pair by pair (neighbours are zipped to each unit)."""
+    return (f"array_to_string(list_transform(list_zip({u}, list_prepend(0, {u}), list_append(({u})[2:], 0)), lambda t: "
+            "case when t[1] between 55296 and 56319 then case when t[3] between 56320 and 57343 "
+            "then chr(65536 + (t[1] - 55296) * 1024 + t[3] - 56320) else chr(65533) end "
+            "when t[1] between 56320 and 57343 then case when t[2] between 55296 and 56319 then '' else chr(65533) end "
+            "when t[1] is null then '' else chr(t[1]) end), '')")
 
 
 def sql_strip_html(x: str) -> str:
@@ -191,18 +231,31 @@ def sql_normalize(x: str) -> str:
     return sql_js_trim(t)
 
 
-def sql_clean_ctes(src: str, limit: int = MAX_BODY_CHARS) -> str:
-    """CTE chain over ``src`` (message_id, content, content_type) ending in ``cleaned``."""
+def sql_decode_links(x: str) -> str:
+    url = r"(?i)\bhttps?://[^\s)>\]]+"
+    real = ("url_decode(url_decode(coalesce(nullif(regexp_extract(p[2], '[?&]url=([^&#]*)', 1), ''), "
+            "nullif(regexp_extract(p[2], '[?&]target=([^&#]*)', 1), ''))))")
+    return (f"array_to_string(list_transform(list_zip(regexp_split_to_array({x}, '{url}'), "
+            f"list_append(regexp_extract_all({x}, '{url}'), '')), lambda p: p[1] || case when regexp_matches(p[2], "
+            f"'{SAFELINK_HOST}') then coalesce({real}, p[2]) else p[2] end), '')")
+
+
+def sql_clean_ctes(src: str, limit: int | None = MAX_BODY_CHARS) -> str:
+    """CTE chain over ``src`` (message_id, content, content_type) ending in ``finished``."""
+    if limit is None:
+        limit = 1 << 31  # nothing is that long: the whole text
     cut = limit * 0.6
     return f"""picked as (
   select *, case when content_type = 'text' then content end as plain,
     case when content_type = 'html' then content end as html from {src}),
 based as (
   select *, case when coalesce(length({sql_js_trim('plain')}) > 0, false) then plain else {sql_strip_html('html')} end as base,
-    case when coalesce(plain <> '', false) then 'text' when coalesce(html <> '', false) then 'html->text' else 'none' end
+    case when coalesce(plain <> '', false) then 'text' when coalesce(html <> '', false) then 'html→text' else 'none' end
       as body_source
   from picked),
-normed as (select *, {sql_normalize("regexp_replace(base, '<(https?://[^>]+)>', '\\1', 'gi')")} as norm from based),
+unwrapped as (select *, regexp_replace(base, '<(https?://[^>]+)>', '\\1', 'gi') as unw from based),
+linked as (select *, {sql_decode_links('unw')} as lnk from unwrapped),
+normed as (select *, {sql_normalize('lnk')} as norm from linked),
 idx as (
   select *, substring(norm, 1, {limit + 2}) as p2 from normed),
 idx2 as (
@@ -219,5 +272,5 @@ cleaned as (
     length(norm) > {limit} as body_truncated, body_source
   from idx2),
 finished as (
-  select *, sha256(body_text) as body_hash, cast(ceil(length(body_text) / 4) as int) as tokens_est,
+  select *, sha256(nullif(body_text, '')) as body_hash, cast(ceil(length(body_text) / 4) as int) as tokens_est,
     cast(length(body_text) as int) as body_chars, {limit} as max_body_chars from cleaned)"""

@@ -1,12 +1,8 @@
-"""Join operators (C3-C5, C13-C15, C19) with size-checked broadcasts.
+"""Join operators (C3-C5, C13-C15, C19). Which side is broadcast is left to adaptive execution.
 
 * ``join_null_safe``: SQL ``GROUP BY`` treats null as a key; re-joining two aggregates on such
   keys must use ``<=>`` or the null group is lost.
-* ``small_enough``: a bounded action (``limit(n+1).count()``) proves a side is small before
-  it is broadcast; beyond the bound the caller takes a shuffle-based plan.
-* ``contains_join``: theta join "text contains pattern" (C13). Broadcast nested loop while the
-  pattern list is proven small; beyond that an exact equi-join on exploded substrings of each
-  pattern length, which shuffles instead of comparing all pairs.
+* ``contains_join``: theta join "text contains pattern" (C13) as an equi-join on substrings.
 * ``first_by_priority``: argmin after a join (C15) as ``min_by`` over a total order.
 """
 
@@ -19,8 +15,6 @@ from pyspark.sql import functions as F
 
 c = F.col
 
-BROADCAST_MAX_ROWS = 100_000
-
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     r = right.select(*[c(k).alias(f"_r_{k}") for k in keys], *[x for x in right.columns if x not in keys])
@@ -31,34 +25,21 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when df has at most max_rows rows; reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if small_enough(df, max_rows) else df
-
+def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str) -> DataFrame:
+    """Rows of ``texts`` x ``patterns`` where text contains pattern (non-empty patterns).
 
-def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str,
-                  max_broadcast_rows: int = BROADCAST_MAX_ROWS, force_shuffle: bool = False) -> DataFrame:
-    """Rows of ``texts`` x ``patterns`` where text contains pattern (non-empty patterns)."""
+    An equi-join at every size: each text gives its distinct substrings of the lengths that
+    patterns have, and those meet the patterns by hash. Equal text rows stay apart, as each row
+    explodes its own substrings. The lengths are one aggregate row, bounded by the longest pattern.
+    """
     pats = patterns.filter(c(pattern_col).isNotNull() & (F.length(pattern_col) > 0))
-    if not force_shuffle and small_enough(pats, max_broadcast_rows):
-        return texts.join(F.broadcast(pats), F.instr(texts[text_col], pats[pattern_col]) > 0)
-    # Exact shuffle plan: for every distinct pattern length L, explode the text into its
-    # substrings of length L and equi-join on (L, substring). The distinct lengths are bounded
-    # by the longest pattern, so that short list is the only thing brought to the driver.
-    lengths = sorted(r[0] for r in pats.select(F.length(pattern_col)).distinct().collect())
-    t = texts.withColumn("_t", c(text_col))
-    grams = (t.withColumn("_len", F.explode(F.array(*[F.lit(n) for n in lengths])))
-             .filter(F.length("_t") >= c("_len"))
-             .withColumn("_pos", F.explode(F.sequence(F.lit(1), F.length("_t") - c("_len") + 1)))
-             .withColumn("_gram", F.expr("substring(_t, _pos, _len)"))
-             .drop("_pos").dropDuplicates([*texts.columns, "_len", "_gram"]))
-    p = pats.withColumn("_len", F.length(pattern_col)).withColumnRenamed(pattern_col, "_gram_p")
-    out = grams.join(p, (grams["_len"] == p["_len"]) & (grams["_gram"] == p["_gram_p"]))
-    return out.drop("_t", "_gram", "_len").withColumnRenamed("_gram_p", pattern_col)
+    lengths = pats.agg(F.collect_set(F.length(pattern_col)).alias("_lens"))  # one row
+    grams = F.expr(f"""array_distinct(flatten(transform(filter(_lens, n -> n <= length({text_col})),
+        n -> transform(sequence(1, length({text_col}) - n + 1), i -> substring({text_col}, i, n)))))""")
+    t = texts.filter(c(text_col).isNotNull()).join(F.broadcast(lengths))
+    t = t.select(*texts.columns, F.explode_outer(grams).alias("_gram"))  # outer: else the filter would build grams twice
+    return t.join(pats.withColumnRenamed(pattern_col, "_gram"), "_gram").select(
+        *texts.columns, c("_gram").alias(pattern_col), *[x for x in patterns.columns if x != pattern_col])
 
 
 def first_by_priority(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from triage.operators.writes import upsert
 from triage.plans.mining import RULES_PUB_USES, SQL_RULES_PUB, published_rules
-from triage.operators.joins import maybe_broadcast
 from triage.registry import register
 from triage.schemas import TAXONOMY
 
@@ -168,7 +167,7 @@ def taxonomy_coverage(fx) -> DataFrame:
     """Rules per taxonomy category in the published rule table (configured + mined)."""
     r = published_rules(fx).groupBy(c("target_category").alias("cat")).agg(
         F.count(F.lit(1)).alias("rules_count"), F.count_if(c("is_active")).alias("active_rules"))
-    return (taxonomy_df(fx.spark).join(maybe_broadcast(r), "cat", "left")
+    return (taxonomy_df(fx.spark).join(r, "cat", "left")
             .select("cat", F.coalesce("rules_count", F.lit(0)).alias("rules_count"),
                     F.coalesce("active_rules", F.lit(0)).alias("active_rules")))
 
@@ -207,7 +206,7 @@ def signal_distribution(fx) -> DataFrame:
            .groupBy("cat").agg(F.count(F.lit(1)).alias("sample_emails")))
     r = fx.rule.groupBy(c("target_category").alias("cat")).agg(
         F.count(F.lit(1)).alias("rules_total"), F.count_if(c("is_active")).alias("rules_active"))
-    return (taxonomy_df(fx.spark).join(maybe_broadcast(r), "cat", "left").join(sig, "cat", "left")
+    return (taxonomy_df(fx.spark).join(r, "cat", "left").join(sig, "cat", "left")
             .select("cat", F.coalesce("rules_total", F.lit(0)).alias("rules_total"),
                     F.coalesce("rules_active", F.lit(0)).alias("rules_active"),
                     F.coalesce("sample_emails", F.lit(0)).alias("sample_emails")))

@@ -1,13 +1,12 @@
 """Gateway: curated lists first, then mined rules, else unmatched (K8, C13-C15, C19, T11-T16),
 plus coverage (I34), composite seed rules (B13, K26) and folder routing (K30).
 
-Plan (one scan, one shuffle): match features are computed once per mail, exploded to
-(message_id, feature, value) rows, left-joined to one matcher table (equality lists,
-vip_personal, rules) on (feature, value) and to the fragment list on ``contains``. Both tables
-are config-sized and broadcast only behind ``small_enough``; beyond the bound the matcher join
-shuffles and fragments use the exact n-gram equi-join. One aggregate on ``message_id`` picks
-the winners with ``min_by`` over a total order (C15) and a final projection applies the
-precedence lists > finance special case > rules > unmatched (C19).
+Plan: match features are computed once per mail and exploded to non-empty (feature, value) rows,
+which meet one matcher table (equality lists, vip_personal, rules) by an inner equi-join, and the
+fragment list by an equi-join on substrings. Only hits reach the aggregate on ``message_id``, which
+picks the winners with ``min_by`` over a total order (C15); a final projection applies the
+precedence lists > finance special case > rules > unmatched (C19). Which side is broadcast is left
+to adaptive execution.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from triage.functions.features import select_match_features, sql_match_features
 from triage.functions.numeric import ratio, sql_ratio
-from triage.operators.joins import contains_join, maybe_broadcast, small_enough
+from triage.operators.joins import contains_join
 from triage.registry import register
 
 c = F.col
@@ -66,58 +65,38 @@ def matchers(lists: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def gateway_hits(mail: DataFrame, lists: DataFrame, rules: DataFrame) -> DataFrame:
-    """Per message: best list hit, best rule hit, vip flag, normalised sender. One shuffle.
+    """Per message: best list hit, best rule hit, vip flag, normalised sender.
 
-    Features are computed once per mail and exploded to (feature, value) rows. A left
-    broadcast hash join against the matcher table (size-checked; shuffle join beyond the
-    bound) and a left nested-loop join against the fragment list (size-checked) attach every
-    hit; a single aggregate on ``message_id`` picks the winners with ``min_by``.
+    Features become (feature, value) rows, without the empty ones; an inner equi-join with the
+    matcher table and the substring equi-join with the fragments leave hits only. One aggregate
+    per message picks the winners, and messages without a hit come back by a left join that
+    carries two narrow columns.
     """
     feats = mail_features(mail)
     kv = feats.select("message_id", F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), c(f).alias("value")) for f in RULE_FEATURES])).alias("kv")
-    ).select("message_id", c("kv.feature").alias("feature"), c("kv.value").alias("value"))
-    m = matchers(lists, rules)
-    m = maybe_broadcast(m)
-    j = kv.join(m.withColumnRenamed("feature", "m_feature").withColumnRenamed("value", "m_value"),
-                (c("feature") == c("m_feature")) & (c("value") == c("m_value")) & (c("value") != ""), "left")
-    frag = (lists.filter((c("is_active") == F.lit(True)) & (c("identifier_type") == "from_address_contains")
-                         & (F.length("identifier_value") > 0))
-            .select(*[c(x).alias("f_" + x) for x in ("list_type", "identifier_type", "identifier_value",
-                                                       "target_category", "recommended_action", "priority")]))
-    if small_enough(frag):
-        j = j.join(F.broadcast(frag), (c("feature") == "from_address") & (F.instr(c("value"), c("f_identifier_value")) > 0),
-                   "left")
-    else:  # exact shuffle plan for very large fragment lists
-        addr = feats.select("message_id", c("from_address").alias("value")).filter(c("value").isNotNull())
-        hits = contains_join(addr, "value", frag.withColumnRenamed("f_identifier_value", "identifier_value"),
-                             "identifier_value", force_shuffle=True).withColumnRenamed("identifier_value",
-                                                                                      "f_identifier_value")
-        j = j.join(hits.drop("value").withColumn("feature", F.lit("from_address")), ["message_id", "feature"], "left")
-
-    def best(cond, cols, order):
-        return F.min_by(F.when(cond, F.struct(*cols)), F.when(cond, F.struct(*order)))
-
-    is_list, is_rule, is_frag = c("kind") == "list", c("kind") == "rule", c("f_list_type").isNotNull()
-    lcols = ["list_type", "identifier_type", "identifier_value", "target_category", "recommended_action", "priority"]
-    agg = j.groupBy("message_id").agg(
-        F.max(F.when(c("feature") == "from_address", c("value"))).alias("from_address"),
-        best(is_list, [c(x).alias(x) for x in lcols], [c("priority"), c("list_type"), c("identifier_value"),
-                                                       c("identifier_type")]).alias("eq_list"),
-        best(is_frag, [c("f_" + x).alias(x) for x in lcols],
-             [c("f_priority"), c("f_list_type"), c("f_identifier_value"), c("f_identifier_type")]).alias("frag_list"),
-        best(is_rule, [c(x).alias(x) for x in ("version", "identifier_type", "identifier_value", "target_category",
-                                                 "recommended_action", "priority", "precision_cat_pct", "support")],
-             [c("priority"), c("identifier_type"), c("identifier_value"), c("version")]).alias("r"),
+    ).select("message_id", c("kv.feature").alias("feature"), c("kv.value").alias("value")).filter("value <> ''")
+    cols = ["message_id", "kind", "list_type", "identifier_type", "identifier_value", "target_category",
+            "recommended_action", "priority", "version", "precision_cat_pct", "support"]
+    hits = kv.join(matchers(lists, rules), ["feature", "value"]).select(cols)
+    frag = lists.filter((c("is_active") == F.lit(True)) & (c("identifier_type") == "from_address_contains")).select(
+        "identifier_value", F.lit("list").alias("kind"), "list_type", "identifier_type", "target_category",
+        "recommended_action", "priority", F.lit(None).cast("string").alias("version"),
+        F.lit(None).cast("int").alias("precision_cat_pct"), F.lit(None).cast("int").alias("support"))
+    inside = contains_join(feats.select("message_id", "from_address"), "from_address", frag, "identifier_value")
+    hits = hits.unionByName(inside.select(cols))
+
+    def best(kind, values, order):
+        return F.min_by(F.when(c("kind") == kind, F.struct(*values)), F.when(c("kind") == kind, F.struct(*order)))
+
+    agg = hits.groupBy("message_id").agg(
+        best("list", ["list_type", "identifier_type", "identifier_value", "target_category", "recommended_action",
+                      "priority"], ["priority", "list_type", "identifier_value", "identifier_type"]).alias("l"),
+        best("rule", ["version", "identifier_type", "identifier_value", "target_category", "recommended_action",
+                      "priority", "precision_cat_pct", "support"],
+             ["priority", "identifier_type", "identifier_value", "version"]).alias("r"),
         F.bool_or(c("kind") == "vip").alias("is_vip_personal"))
-    # the better of the equality hit and the fragment hit, same total order
-    ek = F.struct(c("eq_list.priority"), c("eq_list.list_type"), c("eq_list.identifier_value"),
-                  c("eq_list.identifier_type"))
-    fk = F.struct(c("frag_list.priority"), c("frag_list.list_type"), c("frag_list.identifier_value"),
-                  c("frag_list.identifier_type"))
-    lst = (F.when(c("frag_list").isNull(), c("eq_list")).when(c("eq_list").isNull(), c("frag_list"))
-           .when(ek <= fk, c("eq_list")).otherwise(c("frag_list")))
-    return agg.select("message_id", "from_address", lst.alias("l"), "r", "is_vip_personal")
+    return feats.select("message_id", "from_address").join(agg, "message_id", "left")
 
 
 def gateway(mail: DataFrame, lists: DataFrame, rules: DataFrame) -> DataFrame:

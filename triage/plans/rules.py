@@ -143,18 +143,17 @@ def active_lists(fx) -> DataFrame:
 
 @register("contact_lookup", ops="I32 B9", uses="list_entry mail", sql="""
 with frag as (select distinct lower(split_part(from_address, '@', 1)) as f from mail
-              where from_address like 'Ann%' and position('@' in from_address) > 0)
+              where position('@' in from_address) > 0)
 select l.list_type, l.identifier_type, l.identifier_value, f.f as fragment
 from list_entry l join frag f on l.identifier_value ilike '%' || f.f || '%' where l.is_active = true""")
-def contact_lookup(fx) -> DataFrame:
-    """Which list entries a searched fragment hits (ILIKE '%x%'); fragments are mail local parts.
-
-    The searched fragments come from the mail table; entries are config-sized, so the theta
-    join runs as a broadcast nested loop over the entries (size-checked in ``contains_join``).
-    """
+def contact_lookup(fx, fragment: str | None = None) -> DataFrame:
+    """Which list entries a searched ``fragment`` hits (ILIKE '%x%'); without one, those of every
+    local part in the mail table, by the substring equi-join."""
     from triage.operators.joins import contains_join
-    frag = (fx.mail.filter(c("from_address").like("Ann%") & (F.instr("from_address", "@") > 0))
+    frag = (fx.mail.filter(F.instr("from_address", "@") > 0)
             .select(F.lower(F.split_part("from_address", F.lit("@"), F.lit(1))).alias("fragment")).distinct())
+    if fragment is not None:
+        frag = fx.spark.range(1).select(F.lower(F.lit(fragment)).alias("fragment"))
     lists = fx.list_entry.filter(c("is_active") == F.lit(True)).select(
         "list_type", "identifier_type", "identifier_value", F.lower("identifier_value").alias("_v"))
     return contains_join(lists, "_v", frag, "fragment").select(

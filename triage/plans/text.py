@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triage.functions.text import MAX_BODY_CHARS, WORD_SPLIT, clean_frame, finish, sql_clean_ctes, sql_js_trim
+from triage.functions.text import (MAX_BODY_CHARS, WORD_SPLIT, body_hash, clean_frame, finish, js_trim, sql_clean_ctes,
+                                   sql_js_trim)
 from triage.registry import register
 from triage.session import checkpoint_dir
 
@@ -63,7 +64,7 @@ IMG = r"(?i)<img\b"
 SENTENCE = r"[.!?]+(\s|$)"
 
 
-@register("text_metrics", ops="K31", uses="body", sql="with src as (select * from body),\n" + sql_clean_ctes("src") + f"""
+@register("text_metrics", ops="K31", uses="body", sql="with src as (select * from body),\n" + sql_clean_ctes("src", None) + f"""
 select f.message_id,
   cast(len(list_filter(regexp_split_to_array(f.body_text, '{WORD_SPLIT}'), lambda x: x <> '')) as int) as word_count,
   cast(len(regexp_extract_all(f.body_text, '[.!?]+(\\s|$)')) as int) as sentence_count,
@@ -75,12 +76,11 @@ select f.message_id,
     .list_sort(), ' ') as links_extracted
 from finished f join body b on b.message_id = f.message_id""")
 def text_metrics(fx) -> DataFrame:
-    from triage.functions.text import js_trim
-    cleaned = clean_bodies(fx.body).select("message_id", "body_text")
-    raw = fx.body.select("message_id", "content", F.regexp_extract_all(c("content"), F.lit(LINK), 1).alias("_links"))
-    t = c("body_text")
-    links = c("_links")
-    return cleaned.join(raw, "message_id").select(
+    """Counts over the whole normalised text and the raw body, in one projection without a join."""
+    d = clean_frame(fx.body.select("message_id", "content", "content_type"), limit=None).select(
+        "message_id", "content", "body_text", F.regexp_extract_all(c("content"), F.lit(LINK), 1).alias("_links"))
+    t, links = c("body_text"), c("_links")
+    return d.select(
         "message_id",
         F.size(F.filter(F.split(t, WORD_SPLIT), lambda x: x != "")).cast("int").alias("word_count"),
         F.size(F.regexp_extract_all(t, F.lit(SENTENCE), 0)).cast("int").alias("sentence_count"),
@@ -91,17 +91,20 @@ def text_metrics(fx) -> DataFrame:
 
 
 @register("content_duplicates", ops="K32 D1 D9", uses="body", sql="with src as (select * from body),\n"
-          + sql_clean_ctes("src") + """,
-g as (select body_hash, min(message_id) as keep_id, count(*) as copies from finished group by body_hash)
+          + sql_clean_ctes("src", None) + """,
+g as (select body_hash, min(message_id) as keep_id, count(*) as copies from finished where body_hash is not null
+      group by body_hash)
 select f.message_id, f.body_hash, g.keep_id as duplicate_of, cast(g.copies as bigint) as copies
 from finished f join g on g.body_hash = f.body_hash
 where g.copies > 1""")
 def content_duplicates(fx) -> DataFrame:
-    """Bodies whose cleaned text hashes equal; each points at the smallest id of its group."""
+    """Bodies whose whole cleaned text hashes equal; each points at the smallest id of its group.
+    Empty bodies have no hash and no duplicates."""
     # the cleaned hashes are consumed twice (group, join back): cut lineage with a reliable
     # checkpoint in the shared folder instead of cleaning every body twice
     checkpoint_dir(fx.spark)
-    f = clean_bodies(fx.body).select("message_id", "body_hash").checkpoint(eager=True)
+    f = clean_frame(fx.body.select("message_id", "content", "content_type"), limit=None).select(
+        "message_id", body_hash(c("body_text")).alias("body_hash")).filter("body_hash is not null").checkpoint(eager=True)
     g = (f.groupBy("body_hash").agg(F.min("message_id").alias("duplicate_of"), F.count(F.lit(1)).alias("copies"))
          .filter(c("copies") > 1))
     return f.join(g, "body_hash").select("message_id", "body_hash", "duplicate_of", c("copies").cast("bigint"))

@@ -8,8 +8,10 @@ a local one when the session has none (tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -29,11 +31,13 @@ DEFAULT_CONF = {
 
 def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = None,
               app: str = "triage", extra: dict | None = None) -> SparkSession:
-    cpus = cpus or os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    builder = SparkSession.builder.appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf["spark.driver.memory"] = os.environ.get("TRIAGE_DRIVER_MEMORY", "16g")
+    if not SparkConf().contains("spark.master"):  # spark-submit names the cluster, its sizes and memory
+        cpus = cpus or os.environ.get("BENCH_CPUS", "8")
+        builder = builder.master(f"local[{cpus}]")
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
+        conf["spark.driver.memory"] = os.environ.get("TRIAGE_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -46,8 +50,8 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and versioned outputs.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (tests only) a fresh
-    local temporary folder is created and registered.
+    Uses ``spark.checkpoint.dir`` when the cluster sets it. Where it is unset, a local session
+    (tests, bench) gets a fresh temporary folder; a cluster, whose machines share none, an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -55,7 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
         sc = None
     d = d or (sc.getCheckpointDir() if sc else None)
-    if not d:  # tests and local runs only: a cluster names its shared folder
+    if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="triage-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

@@ -14,7 +14,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.operators.joins import maybe_broadcast
 from triage.sources.tables import read_table
 
 c = F.col
@@ -140,11 +139,19 @@ def header(events: DataFrame) -> DataFrame:
         F.concat(F.lit("msg-"), s("event_id")).alias("message_id"), rp.alias("return_path"))
 
 
+# fixed values: synthetic body endings (FIXTURES.md): emoji as two entities, an unpaired one, overlong and
+# twice-coded entities; wrapped links of which one is a prefix of the other
+ODD_HTML = "<p>&#55357;&#56832;&#55357; &#38;#39; &#39; &#x1F;&#x41; &#99999999999999999999999999;.</p>"
+ODD_TEXT = (" see https://a.safelinks.protection.outlook.com/?url=https%3A%2F%2Fx.org and "
+            "https://a.safelinks.protection.outlook.com/?url=https%3A%2F%2Fx.org%2Fy&data=1 end")
+
+
 def body(pages: DataFrame, documents: DataFrame) -> DataFrame:
+    odd = lambda key, end: F.when(c(key) % 10 == 3, F.lit(end)).otherwise(F.lit(""))
     html = pages.select(F.concat(F.lit("msg-"), s("page_id")).alias("message_id"),
-                        c("html").alias("content"), F.lit("html").alias("content_type"))
+                        F.concat("html", odd("page_id", ODD_HTML)).alias("content"), F.lit("html").alias("content_type"))
     text = documents.select(F.concat(F.lit("doc-"), s("doc_id")).alias("message_id"),
-                            c("text").alias("content"), F.lit("text").alias("content_type"))
+                            F.concat("text", odd("doc_id", ODD_TEXT)).alias("content"), F.lit("text").alias("content_type"))
     return html.unionByName(text)
 
 
@@ -237,7 +244,7 @@ def folder(region: DataFrame, nation: DataFrame, customer: DataFrame) -> DataFra
         F.lit(0).cast("bigint").alias("total_item_count"), F.lit(0).alias("level"))
     # customers per nation: partial aggregate on the big side, then join two tiny tables
     per_nation = customer.groupBy(c("c_nationkey").alias("n_nationkey")).agg(F.count("c_custkey").alias("n"))
-    kids = (nation.join(maybe_broadcast(region), c("r_regionkey") == c("n_regionkey"))
+    kids = (nation.join(region, c("r_regionkey") == c("n_regionkey"))
             .join(per_nation, "n_nationkey", "left")
             .select(F.concat(F.lit("n"), s("n_nationkey")).alias("folder_id"), c("n_name").alias("display_name"),
                     F.concat(F.lit("r"), s("n_regionkey")).alias("parent_folder_id"),
@@ -447,9 +454,11 @@ from events where event_id % 4 <> 3""",
   case event_id % 4 when 0 then '<Bounce+' || cast(event_id as varchar) || '@R' || cast(user_id % 8 as varchar) || '.example.com>'
     when 1 then 'Bounce@R' || cast(user_id % 8 as varchar) || '.example.com' when 2 then 'msprvs1=abc' else null end as return_path
 from events where event_id % 5 <> 4""",
-    "body": """select 'msg-' || cast(page_id as varchar) as message_id, html as content, 'html' as content_type from pages
+    "body": f"""select 'msg-' || cast(page_id as varchar) as message_id,
+  html || case when page_id % 10 = 3 then '{ODD_HTML}' else '' end as content, 'html' as content_type from pages
 union all
-select 'doc-' || cast(doc_id as varchar), text, 'text' from documents""",
+select 'doc-' || cast(doc_id as varchar), text || case when doc_id % 10 = 3 then '{ODD_TEXT}' else '' end, 'text'
+from documents""",
     "desired_state": """select 'msg-' || cast(event_id as varchar) as message_id,
   case when event_id % 2 = 0 then 'A' else 'B' end as attention_tier,
   string_split(case event_id % 4 when 0 then 'Finance|Review' when 1 then 'Review' when 2 then null else 'A|A' end, '|') as categories,
