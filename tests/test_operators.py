@@ -84,3 +84,45 @@ def test_touch_sets_updated_at_only_on_change(spark):
                                "k string, flag string, old_flag string, updated_at timestamp_ntz")
     out = touch(df, "old_", ["flag"], "2024-01-31 00:00:00").select("k", F.col("updated_at").isNotNull())
     assert rows(out) == [("a", False), ("b", True)]
+
+
+def test_written_table_overwrite_append_and_read_back(spark):
+    import uuid
+
+    from triage.operators.writes import apply, current
+    name = f"t{uuid.uuid4().hex}"
+    df = lambda *v: spark.createDataFrame([(x,) for x in v], "v int")
+    apply(df(1, 2), name)
+    apply(df(3), name, mode="append")
+    assert rows(current(spark, name)) == [(1,), (2,), (3,)]
+    apply(df(9), name)
+    assert rows(current(spark, name)) == [(9,)]
+    apply(df(10), name, mode="append")
+    assert rows(current(spark, name)) == [(10,), (9,)]
+
+
+def test_duplicate_keys_resolve_the_same_way_each_time(spark):
+    from triage.operators.writes import insert_if_absent, upsert
+    target = spark.createDataFrame([("k", "old", 0)], "k string, v string, o int")
+    new = spark.createDataFrame([("k", "b", 2), ("k", "a", 3), ("n", "y", 5), ("n", "x", 4)], "k string, v string, o int")
+    for shuffled in (new, new.orderBy(F.desc("v"))):
+        assert rows(upsert(target, shuffled, ["k"])) == [("k", "a", 3), ("n", "x", 4)]
+        assert rows(upsert(target, shuffled, ["k"], order=["o"])) == [("k", "b", 2), ("n", "x", 4)]
+        assert rows(insert_if_absent(target, shuffled, ["k"])) == [("k", "old", 0), ("n", "x", 4)]
+
+
+def test_cluster_without_a_shared_folder_is_an_error():
+    import pytest
+
+    from triage.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("C", (), {"getCheckpointDir": lambda self: None})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())

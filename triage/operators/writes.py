@@ -14,6 +14,7 @@ and overwrites the same path. Keys are matched null-safely like a primary key wo
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -33,28 +34,40 @@ def _key_cond(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def insert_if_absent(target: DataFrame, new_rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    fresh = new_rows.dropDuplicates(list(keys))
+def first_of_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """One row per key: the least by ``order`` and then by all other columns, so a rerun picks the same."""
+    rest = [x for x in df.columns if x not in keys]
+    if not rest:
+        return df.distinct()
+    least = F.min(F.struct(*[c(x) for x in order or ()], F.struct(*rest).alias("_row"))).alias("_m")
+    return df.groupBy(*keys).agg(least).select(*keys, "_m._row.*").select(df.columns)
+
+
+def insert_if_absent(target: DataFrame, new_rows: DataFrame, keys: Sequence[str],
+                     order: Sequence[str] | None = None) -> DataFrame:
+    fresh = first_of_key(new_rows, keys, order)
     add = fresh.join(target.select(*keys), _key_cond(fresh, target, keys), "left_anti")
     return target.unionByName(add.select(*target.columns))
 
 
-def inserted_rows(target: DataFrame, new_rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def inserted_rows(target: DataFrame, new_rows: DataFrame, keys: Sequence[str],
+                  order: Sequence[str] | None = None) -> DataFrame:
     """The rows an insert-if-absent would add (what RETURNING would give)."""
-    fresh = new_rows.dropDuplicates(list(keys))
+    fresh = first_of_key(new_rows, keys, order)
     return fresh.join(target.select(*keys), _key_cond(fresh, target, keys), "left_anti")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-           update_cols: Sequence[str] | None = None) -> DataFrame:
-    """New state of ``target`` after upserting ``updates`` on ``keys``.
+           update_cols: Sequence[str] | None = None, order: Sequence[str] | None = None) -> DataFrame:
+    """New state of ``target`` after upserting ``updates`` on ``keys``; of updates with one key the
+    first by ``order`` counts.
 
     ``update_cols`` are taken from the update; the target's other columns survive for
     existing keys (ON CONFLICT DO UPDATE SET only those columns).
     """
     update_cols = list(update_cols or [x for x in updates.columns if x not in keys])
     # one full outer join on the (null-safe) key: each side is shuffled once
-    upd = updates.dropDuplicates(list(keys)).select(
+    upd = first_of_key(updates, keys, order).select(
         *[c(k).alias(f"_u_{k}") for k in keys], *[c(x).alias(f"_u_{x}") for x in updates.columns if x not in keys],
         F.lit(True).alias("_u_hit"))
     cond = None
@@ -100,12 +113,29 @@ def new_version_path(spark: SparkSession, table: str) -> str:
     return os.path.join(checkpoint_dir(spark), "tables", table, f"v-{uuid.uuid4().hex}")
 
 
+def _log_path(spark: SparkSession, table: str) -> str:
+    return os.path.join(checkpoint_dir(spark), "tables", table, "_log")
+
+
 def apply(df: DataFrame, table: str, mode: str = "overwrite") -> str:
-    """Write the previewed state to a fresh folder (A5: truncate-and-reload = new version).
+    """Write the previewed state to a fresh folder and point the table at it.
 
-    Append (A8) writes a new part folder too; readers take the union of a table's folders.
-    Returns the path written.
+    ``overwrite`` (A5: truncate and reload) makes the folder the whole table, ``append`` (A8) adds
+    it. The log row that says so is written after the data, so a reader of ``current`` sees the
+    state before or after, never a part. Returns the path written.
     """
-    path = new_version_path(df.sparkSession, table)
-    df.write.mode("errorifexists" if mode == "overwrite" else "append").parquet(path)
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode {mode!r}")
+    spark = df.sparkSession
+    path = new_version_path(spark, table)
+    df.write.mode("errorifexists").parquet(path)
+    row = spark.range(1).select(F.lit(time.time_ns()).alias("at"), F.lit(mode).alias("mode"), F.lit(path).alias("path"))
+    row.write.mode("append").parquet(_log_path(spark, table))
     return path
+
+
+def current(spark: SparkSession, table: str) -> DataFrame:
+    """The table as of its log: the folder of the last overwrite and those appended since."""
+    log = spark.read.parquet(_log_path(spark, table)).orderBy("at").collect()  # a row for each write
+    last = max((i for i, r in enumerate(log) if r["mode"] == "overwrite"), default=0)
+    return spark.read.parquet(*[r["path"] for r in log[last:]])

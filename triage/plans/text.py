@@ -48,13 +48,13 @@ where coalesce(e.is_deleted, false) = false""")
 def body_source(fx) -> DataFrame:
     """Presence flags and the three-way route (the reference silently drops the third, T21)."""
     m = fx.mail.filter(~F.coalesce(c("is_deleted"), F.lit(False))).select("message_id", "analyzed_at", "needs_body")
-    b = fx.body.select("message_id", "content")
-    has = F.nullif(c("content"), F.lit("")).isNotNull()
+    # lengths, not bodies, enter the join
+    b = fx.body.select("message_id", F.length("content").alias("size"))
+    size = F.coalesce("size", F.lit(0))
+    has = size > 0
     return m.join(b, "message_id", "left").select(
-        "message_id", has.alias("has_body"),
-        F.when(c("content").isNotNull(), F.lit("html")).alias("body_content_type"),
-        F.coalesce(F.length("content"), F.lit(0)).cast("int").alias("body_size_bytes"),
-        (F.coalesce(F.length("content"), F.lit(0)) > 100).alias("body_over_100"),
+        "message_id", has.alias("has_body"), F.when(c("size").isNotNull(), F.lit("html")).alias("body_content_type"),
+        size.cast("int").alias("body_size_bytes"), (size > 100).alias("body_over_100"),
         F.when(has & c("analyzed_at").isNull(), "pre_ai_guard").when(c("needs_body"), "fetch_body")
         .otherwise("no_body").alias("route"))
 

@@ -8,7 +8,7 @@ a mailbox holding a third of all mail is spread over ``salts`` tasks, never one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triage import AS_OF
@@ -23,17 +23,33 @@ def _as_of(ts: str = AS_OF):
 
 # --- K11 / K12 / K13 -----------------------------------------------------------
 
-def candidate_page(fx, limit: int = 500, offset: int = 0) -> DataFrame:
-    """Unanalysed, live, not yet started mail; newest first; one page; body presence joined."""
+def queue_page(fx, limit: int = 500, offset: int = 0) -> DataFrame:
+    """Unanalysed, live, not yet started mail; newest first; one page."""
     m = fx.mail.filter(c("analyzed_at").isNull() & ~F.coalesce(c("is_deleted"), F.lit(False))
                        & ~F.coalesce(c("auto_processed"), F.lit(False)))
-    page = m.orderBy(c("received_datetime").desc(), c("message_id")).offset(offset).limit(limit)
-    b = fx.body.select("message_id", "content")
-    has = F.nullif(c("content"), F.lit("")).isNotNull()
-    return page.join(b, "message_id", "left").select(
+    return m.orderBy(c("received_datetime").desc(), c("message_id")).offset(offset).limit(limit)
+
+
+def candidate_page(fx, limit: int = 500, offset: int = 0) -> DataFrame:
+    """One page of the queue with the presence and size of each body."""
+    page = queue_page(fx, limit, offset)
+    return page.join(body_facts(fx, page), "message_id", "left").select(
         "user_upn", "message_id", "subject", "from_domain", "from_address", "received_datetime", "needs_body",
-        "analyzed_at", has.alias("has_body"), F.when(c("content").isNotNull(), F.lit("html")).alias("body_content_type"),
-        F.coalesce(F.length("content"), F.lit(0)).cast("int").alias("body_size_bytes"))
+        "analyzed_at", F.coalesce("has_body", F.lit(False)).alias("has_body"),
+        F.when(c("is_there"), F.lit("html")).alias("body_content_type"),
+        F.coalesce("body_size", F.lit(0)).cast("int").alias("body_size_bytes"))
+
+
+def body_facts(fx, page: DataFrame, *more: Column) -> DataFrame:
+    """Presence and length of the bodies of a page, taken at the scan: no body enters a shuffle.
+
+    The page is bounded by its limit, so its ids are broadcast and the body table is filtered
+    where it is read.
+    """
+    b = fx.body.join(F.broadcast(page.select("message_id").distinct()), "message_id", "left_semi")
+    return b.select("message_id", c("content").isNotNull().alias("is_there"),
+                    F.nullif(c("content"), F.lit("")).isNotNull().alias("has_body"),
+                    F.length("content").alias("body_size"), *more)
 
 
 SQL_PAGE = """page as (
@@ -49,8 +65,8 @@ cand as (
 
 
 @register("candidates", ops="K11 B7 F6 C2 T27 T28", uses="mail body", sql="with " + SQL_PAGE + " select * from cand")
-def candidates(fx) -> DataFrame:
-    return candidate_page(fx)
+def candidates(fx, limit: int = 500, offset: int = 0) -> DataFrame:
+    return candidate_page(fx, limit, offset)
 
 
 def split_batches(page: DataFrame, n_batches: int, order: list) -> DataFrame:
@@ -68,8 +84,8 @@ numbered as (select message_id, user_upn, row_number() over (order by received_d
 b as (select *, cast(least(i // (n // least(4, n)), least(4, n) - 1) + 1 as int) as batch_number from numbered)
 select batch_number, count(*) as n_items, string_agg(message_id, ',' order by i) as message_ids
 from b group by batch_number""")
-def work_batches(fx, n_batches: int = 4) -> DataFrame:
-    page = candidate_page(fx)
+def work_batches(fx, n_batches: int = 4, limit: int = 500, offset: int = 0) -> DataFrame:
+    page = candidate_page(fx, limit, offset)
     b = split_batches(page, n_batches, [c("received_datetime").desc(), c("message_id")])
     w = Window.orderBy(c("received_datetime").desc(), c("message_id"))
     b = b.withColumn("_i", F.row_number().over(w))
@@ -87,9 +103,12 @@ def fetch_outcome_df(fx, as_of: str = AS_OF) -> DataFrame:
     status = c("status_code")
     is_ok = (status >= 200) & (status < 300)
     retryable = (status == 429) | (status >= 500)
-    # parseInt of the header value, at least 1 second (the reference's date form is not modelled)
-    ra = F.when(F.coalesce(c("retry_after"), F.lit("")) != "",
-                F.greatest(F.regexp_extract("retry_after", r"^\s*(-?\d+)", 1).try_cast("int"), F.lit(1)))
+    # seconds, at least 1; a date counts from now; anything else is as if there were no header
+    secs = F.regexp_extract(F.coalesce("retry_after", F.lit("")), r"^\s*(-?\d+)\s*$", 1).try_cast("long")
+    until = F.try_to_timestamp(F.regexp_extract(F.coalesce("retry_after", F.lit("")), r"(\d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2})", 1),
+                               F.lit("d MMM yyyy HH:mm:ss"))
+    left = F.unix_timestamp(until) - F.unix_timestamp(_as_of(as_of).cast("timestamp"))
+    ra = F.coalesce(F.when(secs.isNotNull(), F.greatest(secs, F.lit(1))), F.when(left.isNotNull(), F.greatest(left, F.lit(1))))
     label = F.when(is_ok, "ok").when(retryable, F.concat(F.lit("retryable:"), status.cast("string"))) \
         .otherwise(F.concat(F.lit("fatal:"), status.cast("string")))
     has_content = F.coalesce(c("has_content"), F.lit(False))

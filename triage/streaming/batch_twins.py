@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from triage.functions.numeric import avg_round, sql_avg_round
 from triage.plans.ingest import notification_rows
-from triage.plans.work import candidate_page
+from triage.operators.writes import update_from
+from triage.plans.work import body_facts, queue_page
 from triage.registry import register
 from triage.streaming.jobs import gate_batch
 
@@ -56,26 +57,39 @@ def gate_routing(fx) -> DataFrame:
     return gate_batch(notes, fx.decision)
 
 
-@register("claim_once", ops="J5 A6 K11 (batch twin)", uses="mail body", sql="""
-with page as (
+SQL_CLAIM = """with page as (
   select * from mail where analyzed_at is null and coalesce(is_deleted, false) = false
     and coalesce(auto_processed, false) = false
-  order by received_datetime desc, message_id limit 500)
-select p.message_id, p.subject, p.from_domain, p.from_address, b.content is not null as has_content,
-  p.received_datetime, 'signal' as analysis_level, 'v1' as model_version, 'ca-1' as analyzer_version
+  order by received_datetime desc, message_id limit 500)"""
+
+
+@register("claim_once", ops="J5 A6 K11 (batch twin)", uses="mail body", sql=SQL_CLAIM + """
+select p.message_id, p.subject, p.from_domain, p.from_address, b.content is not null as has_content, b.content,
+  p.received_datetime, true as auto_processed, 'signal' as analysis_level, 'v1' as model_version,
+  'ca-1' as analyzer_version
 from page p left join body b on b.message_id = p.message_id""")
-def claim_once(fx) -> DataFrame:
-    """Rows claimed by a run (the UPDATE .. RETURNING of the work queue).
+def claim_once(fx, limit: int = 500, offset: int = 0) -> DataFrame:
+    """Rows claimed by a run (the UPDATE .. RETURNING of the work queue), with their new state.
 
     The claimed set is a pure function of the queue state, so re-running the same batch
-    returns the same rows and flips nothing twice (idempotent by batch).
+    returns the same rows and flips nothing twice (idempotent by batch). Bodies are filtered at
+    their scan by the page's ids; ``claimed_state`` is the table after the claim.
     """
-    page = candidate_page(fx)
-    b = fx.body.select("message_id", F.lit(True).alias("_b"))
-    return page.join(b, "message_id", "left").select(
-        "message_id", "subject", "from_domain", "from_address", F.coalesce("_b", F.lit(False)).alias("has_content"),
-        "received_datetime", F.lit("signal").alias("analysis_level"), F.lit("v1").alias("model_version"),
-        F.lit("ca-1").alias("analyzer_version"))
+    page = queue_page(fx, limit, offset)
+    return page.join(body_facts(fx, page, c("content")), "message_id", "left").select(
+        "message_id", "subject", "from_domain", "from_address", F.coalesce("is_there", F.lit(False)).alias("has_content"),
+        "content", "received_datetime", F.lit(True).alias("auto_processed"), F.lit("signal").alias("analysis_level"),
+        F.lit("v1").alias("model_version"), F.lit("ca-1").alias("analyzer_version"))
+
+
+@register("claimed_state", ops="A6 A7 J5", uses="mail", sql=SQL_CLAIM + """
+select m.message_id, coalesce(m.auto_processed, false) or m.message_id in (select message_id from page) as auto_processed
+from mail m""")
+def claimed_state(fx, limit: int = 500, offset: int = 0) -> DataFrame:
+    """The queue after a claim: UPDATE mail SET auto_processed FROM the claimed page."""
+    mail = fx.mail.select("message_id", F.coalesce("auto_processed", F.lit(False)).alias("auto_processed"))
+    page = queue_page(fx, limit, offset).select("message_id", F.lit(True).alias("auto_processed"))
+    return update_from(mail, F.broadcast(page), ["message_id"], {"auto_processed": c("src_auto_processed")})
 
 
 @register("daily_digest", ops="J10 D1 D10 (batch twin)", uses="decision", sql=f"""

@@ -17,7 +17,9 @@ session zone); wall-clock ``TIMESTAMP_NTZ`` inputs are cast on the way in.
 from __future__ import annotations
 
 import os
+import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,15 +50,16 @@ def notification_stream(spark: SparkSession, landing: str, client_state: str = "
                         dedupe_window: str = "1 hour") -> DataFrame:
     """J1 + J2: landed webhook payloads -> one row per (message, change) within the window.
 
-    Wrong ``clientState`` is dropped (the documented validation); repeats of the same
-    message inside the watermark are dropped once-only with bounded state.
+    Wrong ``clientState`` is dropped (the documented validation); repeats of the same change of
+    a message inside the watermark are dropped once-only with bounded state. A message that is
+    created and then updated within the window gives both.
     """
     raw = spark.readStream.schema(NOTIFICATION_FILE).json(landing)
     rows = (raw.select("received_at", F.inline(F.from_json("payload", NOTIFICATION)["value"]))
             .filter(c("clientState") == client_state)
             .select(c("resourceData.id").alias("message_id"), "changeType", "received_at"))
     return (rows.withWatermark("received_at", dedupe_window)
-            .dropDuplicatesWithinWatermark(["message_id"]))
+            .dropDuplicatesWithinWatermark(["message_id", "changeType"]))
 
 
 # --- J3 / J9: incremental pull with upsert -------------------------------------------
@@ -64,38 +67,76 @@ def notification_stream(spark: SparkSession, landing: str, client_state: str = "
 class KeyedUpsert:
     """foreachBatch sink with merge-on-read: newest ``order_col`` per key wins.
 
-    Each micro-batch writes only its own rows (deduplicated per key) to ``batch=<id>``; the
-    write is an overwrite of that folder, so a batch re-delivered after a failure replaces
-    itself and changes nothing (idempotent without a ledger). No batch rewrites the table:
-    readers resolve the newest version per key (``read_current``) and ``compact`` folds the
-    folders into one base version when convenient.
+    Each micro-batch writes only its own rows (deduplicated per key) to
+    ``source=<query id>/batch=<id>``; a batch re-delivered after a failure replaces itself and
+    changes nothing. Batch ids start again after a bookmark is lost, but then the query has a new
+    id and so a folder of its own: nothing is overwritten, and readers resolve the newest version
+    per key. ``compact`` folds all folders into a base version that readers take instead.
     """
 
     def __init__(self, table_dir: str, keys: list[str], order_col: str):
-        self.table_dir, self.keys, self.order_col = table_dir, keys, order_col
+        self.table_dir, self.keys, self.order_col = table_dir.rstrip("/"), keys, order_col
 
-    def _newest(self, df: DataFrame, tie: str | None = None) -> DataFrame:
-        order = F.struct(c(self.order_col), c(tie)) if tie else c(self.order_col)
-        vals = [x for x in df.columns if x not in self.keys and x != tie]
+    def _newest(self, df: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
+        order = F.struct(c(self.order_col), *[c(t) for t in ties]) if ties else c(self.order_col)
+        vals = [x for x in df.columns if x not in self.keys and x not in ties]
         return df.groupBy(*self.keys).agg(F.max_by(F.struct(*vals), order).alias("_v")).select(*self.keys, "_v.*")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self._newest(batch).write.mode("overwrite").parquet(os.path.join(self.table_dir, f"batch={batch_id:012d}"))
-
-    def read_current(self, spark: SparkSession) -> DataFrame:
-        """Current table: newest version per key over all batch folders (late rows lose, J9)."""
-        allv = spark.read.parquet(self.table_dir)          # partition column ``batch`` discovered
-        return self._newest(allv, tie="batch")
-
-    def compact(self, spark: SparkSession, base_dir: str) -> str:
-        """Fold all batches into one base version at ``base_dir`` (a separate maintenance job)."""
-        self.read_current(spark).write.mode("errorifexists").parquet(base_dir)
-        return base_dir
+        source = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+        self._newest(batch).write.mode("overwrite").parquet(f"{self.table_dir}/source={source}/batch={batch_id:012d}")
 
+    def _bases(self, spark: SparkSession) -> DataFrame | None:
+        """Log of compactions: (at, base, source, batch) with a row for each folder folded."""
+        try:
+            return spark.read.parquet(f"{self.table_dir}/_log")
+        except AnalysisException:  # never compacted
+            return None
 
-def incremental_pull(spark: SparkSession, landing: str, table_dir: str, name: str = "mail_delta"):
-    """Process everything landed since the last run, then stop (bookmark = checkpoint)."""
+    def read_current(self, spark: SparkSession) -> DataFrame:
+        """Current table: newest version per key over the base and the folders it lacks (late rows lose, J9)."""
+        rows = spark.read.option("basePath", self.table_dir).parquet(self.table_dir) \
+            .withColumns({"source": c("source").cast("string"), "batch": c("batch").cast("long")})
+        log = self._bases(spark)
+        if log is not None:
+            last = log.orderBy(F.desc("at")).first()
+            folded = log.filter(c("at") == last.at).select("source", "batch")
+            rows = rows.join(folded, ["source", "batch"], "left_anti")
+            base = spark.read.parquet(last.base).withColumns({"source": F.lit(""), "batch": F.lit(-1).cast("long")})
+            rows = rows.unionByName(base.select(rows.columns))
+        return self._newest(rows, ties=("batch", "source"))
+
+    def compact(self, spark: SparkSession) -> str:
+        """Fold the base and all folders into a new base (a separate maintenance job).
+
+        The log entry is written after the data: readers see the old state or the new one.
+        Folded folders can be removed once no reader of an older base is left.
+        """
+        at = time.time_ns()
+        base = f"{self.table_dir}/_base/v-{at}"
+        parts = spark.read.option("basePath", self.table_dir).parquet(self.table_dir).select(
+            c("source").cast("string"), c("batch").cast("long")).distinct()
+        parts = parts.withColumns({"at": F.lit(at), "base": F.lit(base)}).checkpoint()
+        self.read_current(spark).write.mode("errorifexists").parquet(base)
+        parts.write.mode("append").parquet(f"{self.table_dir}/_log")
+        return base
+
+    def watermark(self, spark: SparkSession):
+        """Newest ``order_col`` of the table: where a pull without a bookmark can begin."""
+        return self.read_current(spark).agg(F.max(self.order_col)).first()[0]
+
+
+def incremental_pull(spark: SparkSession, landing: str, table_dir: str, name: str = "mail_delta",
+                     since: object | None = None, overlap: str = "1 day"):
+    """Process everything landed since the last run, then stop (bookmark = checkpoint).
+
+    When a bookmark has expired (A16), call it under a new ``name`` with ``since`` = the table's
+    ``watermark``: rows older than that, less ``overlap`` for late ones, are not pulled again, and
+    those pulled twice resolve by key.
+    """
     stream = spark.readStream.schema(MAIL_CHANGE).parquet(landing)
+    if since is not None:
+        stream = stream.filter(c("last_modified") >= F.lit(since) - F.expr(f"interval {overlap}"))
     return (stream.writeStream.foreachBatch(KeyedUpsert(table_dir, ["message_id"], "last_modified"))
             .option("checkpointLocation", _ckpt(spark, name)).trigger(availableNow=True).start())
 
