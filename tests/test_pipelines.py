@@ -17,32 +17,27 @@ def test_unpivot_rows_equal_non_empty_features(fx01):
     assert f.count() == expected
 
 
-def test_mining_lean_equals_literal_join(spark, fx01):
-    """The literal three-way join of the reference, run as Spark SQL, against the lean plan."""
-    mining.feature_rows(fx01).createOrReplaceTempView("features_t")
-    literal = spark.sql("""
-      with cat_counts as (select feature, key_value, primary_category, count(*) cnt from features_t group by 1, 2, 3),
-      cat_ranked as (select *, row_number() over (partition by feature, key_value order by cnt desc, primary_category) rn,
-                       sum(cnt) over (partition by feature, key_value) support from cat_counts),
-      act_counts as (select feature, key_value, coalesce(recommended_action, '') recommended_action, count(*) cnt
-                     from features_t group by 1, 2, 3),
-      act_ranked as (select *, row_number() over (partition by feature, key_value order by cnt desc, recommended_action) rn
-                     from act_counts)
-      select c.feature, c.key_value, cast(c.support as int) support, count(*) as joined_rows,
-        max(c.cnt) filter (where c.rn = 1) as majority_cat_count,
-        max(c.primary_category) filter (where c.rn = 1) as majority_category,
-        max(a.recommended_action) filter (where a.rn = 1) as majority_action,
-        max(a.cnt) filter (where a.rn = 1) as majority_action_count,
-        min(d.decided_at) first_seen, max(d.decided_at) last_seen
-      from cat_ranked c join features_t d on d.feature = c.feature and d.key_value = c.key_value
-      left join act_ranked a on a.feature = c.feature and a.key_value = c.key_value
-      group by c.feature, c.key_value, c.support""")
+def test_mining_against_counting_by_hand(spark, fx01):
+    """Each key's rows, winners and dates counted row by row in plain Python."""
+    from collections import Counter, defaultdict
+    seen = defaultdict(list)
+    for r in mining.feature_rows(fx01).collect():
+        seen[r.feature, r.key_value].append((r.primary_category, r.recommended_action or "", r.decided_at))
+    want = []
+    for (feature, key), got in seen.items():
+        cats, acts = Counter(x[0] for x in got), Counter(x[1] for x in got)
+        top = lambda n: min(n.items(), key=lambda kv: (-kv[1], kv[0]))
+        want.append((feature, key, len(got), len(cats) * len(got) * len(acts), top(cats)[1], top(cats)[0], top(acts)[0],
+                     top(acts)[1], min(x[2] for x in got), max(x[2] for x in got)))
     lean = mining.rule_metrics(fx01).select(
         "feature", "key_value", "support", "joined_rows", "majority_cat_count", "majority_category",
         "majority_action", "majority_action_count", "first_seen", "last_seen")
-    cast = [F.col(x).cast("bigint").alias(x) if x in ("joined_rows", "majority_cat_count", "majority_action_count")
-            else F.col(x) for x in lean.columns]
-    assert rows(literal.select(*cast)) == rows(lean.select(*cast))
+    assert rows(lean) == sorted(want, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_counts_are_long(fx01):
+    kinds = dict(mining.rule_metrics(fx01).dtypes)
+    assert {kinds[x] for x in ("support", "majority_cat_count", "majority_action_count", "total_messages")} == {"bigint"}
 
 
 def test_accepted_and_borderline_disjoint(fx01):

@@ -6,9 +6,8 @@ import pytest
 
 from tests.conftest import SF001
 
-# nested-loop joins are allowed only where the size-checked contains join is the operator
-NLJ_ALLOWED = {"gateway_decisions", "match_coverage", "folder_routing", "gateway_daily_share", "process_log_tail",
-               "contact_lookup"}
+# a nested-loop join is allowed only against a single row
+NLJ_ALLOWED = {"process_log_tail"}
 
 
 def _names():
@@ -41,8 +40,15 @@ def test_scans_prune_columns(plans):
             assert "props" not in schema, name
 
 
-def test_mining_consumers_read_the_checkpoint(plans):
-    """Cells, subjects and the grand total read the checkpointed grouping-sets result: the scan,
-    base join and unpivot ran once (eagerly, into the shared folder), not once per consumer."""
-    p = plans["rule_mining"]
-    assert "FileScan parquet" not in p and "Scan parquet" not in p
+def test_queries_that_return_no_subjects_read_none(plans):
+    for name in ("rules_payload", "rule_listing", "rule_category_features", "rules_after_publish"):
+        assert "subject#" not in plans[name], name
+
+
+def test_no_round_robin_exchange(plans):
+    assert not [name for name, p in plans.items() if "RoundRobinPartitioning" in p]
+
+
+def test_gateway_filters_empty_values_before_its_join(plans):
+    p = plans["gateway_decisions"]
+    assert "NestedLoop" not in p

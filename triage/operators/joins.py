@@ -36,7 +36,7 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
     lengths = pats.agg(F.collect_set(F.length(pattern_col)).alias("_lens"))  # one row
     grams = F.expr(f"""array_distinct(flatten(transform(filter(_lens, n -> n <= length({text_col})),
         n -> transform(sequence(1, length({text_col}) - n + 1), i -> substring({text_col}, i, n)))))""")
-    t = texts.filter(c(text_col).isNotNull()).join(F.broadcast(lengths))
+    t = texts.filter(c(text_col).isNotNull()).withColumn("_lens", lengths.scalar())
     t = t.select(*texts.columns, F.explode_outer(grams).alias("_gram"))  # outer: else the filter would build grams twice
     return t.join(pats.withColumnRenamed(pattern_col, "_gram"), "_gram").select(
         *texts.columns, c("_gram").alias(pattern_col), *[x for x in patterns.columns if x != pattern_col])
