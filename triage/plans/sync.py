@@ -26,9 +26,8 @@ def _ts(ts: str = AS_OF) -> Column:
 
 def polled(fx, as_of: str = AS_OF) -> DataFrame:
     """Synced decisions older than 5 minutes on live mail (T25: only 'synced' qualifies)."""
-    d = fx.desired_state.filter(c("sync_status").isin("synced", "user_modified")
-                                & (c("synced_at") < _ts(as_of) - F.make_dt_interval(mins=F.lit(5)))
-                                & (c("sync_status") == "synced"))
+    d = fx.desired_state.filter((c("sync_status") == "synced")
+                                & (c("synced_at") < _ts(as_of) - F.make_dt_interval(mins=F.lit(5))))
     m = fx.mail.filter(c("is_deleted") == F.lit(False)).select(
         "message_id", "user_upn", "from_address", "from_domain", "subject")
     return m.join(d.select("message_id", c("categories").alias("db_categories"), c("flag_status").alias("db_flag"),
@@ -53,24 +52,23 @@ def state_diff_df(fx, as_of: str = AS_OF) -> DataFrame:
             .filter(c("categories_changed") | c("flag_changed") | c("importance_changed")))
 
 
-SQL_DIFF = """polled as (
-  select e.message_id, e.user_upn, e.from_address, e.from_domain, e.subject, d.categories as db_categories,
-    d.flag_status as db_flag, d.importance as db_importance, d.synced_at, d.attention_tier
-  from mail e join desired_state d on e.message_id = d.message_id
-  where d.sync_status in ('synced', 'user_modified') and d.synced_at < timestamp '2024-01-31 00:00:00' - interval '5' minute
-    and e.is_deleted = false and d.sync_status = 'synced'),
-j as (
-  select p.*, list_sort(coalesce(p.db_categories, []::varchar[])) as old_categories,
-    list_sort(coalesce(o.categories, []::varchar[])) as new_categories,
-    coalesce(nullif(p.db_flag, ''), 'notFlagged') as old_flag, coalesce(nullif(o.flag_status, ''), 'notFlagged') as new_flag,
-    coalesce(nullif(p.db_importance, ''), 'normal') as old_importance,
-    coalesce(nullif(o.importance, ''), 'normal') as new_importance
-  from polled p join observed_state o on o.message_id = p.message_id),
+def _sql_facts(table: str) -> str:
+    return f"""select message_id, list_sort(coalesce(categories, []::varchar[])) as cats,
+    if(coalesce(flag_status, '') = '', 'notFlagged', flag_status) as flag,
+    if(coalesce(importance, '') = '', 'normal', importance) as imp from {table}"""
+
+
+# oracle: both states in one form, then the messages whose forms differ
+SQL_DIFF = f"""wanted as ({_sql_facts('desired_state')}
+  where sync_status = 'synced' and synced_at + interval '5' minute < timestamp '2024-01-31 00:00:00'),
+seen as ({_sql_facts('observed_state')}),
 diff as (
-  select message_id, user_upn, from_address, from_domain, subject, attention_tier, old_categories, new_categories,
-    old_flag, new_flag, old_importance, new_importance, old_categories <> new_categories as categories_changed,
-    old_flag <> new_flag as flag_changed, old_importance <> new_importance as importance_changed
-  from j where old_categories <> new_categories or old_flag <> new_flag or old_importance <> new_importance)"""
+  select m.message_id, m.user_upn, m.from_address, m.from_domain, m.subject, t.attention_tier,
+    w.cats as old_categories, s.cats as new_categories, w.flag as old_flag, s.flag as new_flag,
+    w.imp as old_importance, s.imp as new_importance, w.cats <> s.cats as categories_changed,
+    w.flag <> s.flag as flag_changed, w.imp <> s.imp as importance_changed
+  from mail m join wanted w using (message_id) join seen s using (message_id) join desired_state t using (message_id)
+  where not m.is_deleted and row(w.cats, w.flag, w.imp) <> row(s.cats, s.flag, s.imp))"""
 
 
 def _flat(df: DataFrame) -> DataFrame:
