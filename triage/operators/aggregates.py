@@ -80,3 +80,19 @@ def with_share_of_total(agg: DataFrame, count_col: str, alias: str, digits: int
     agg = agg.checkpoint(eager=True)
     total = agg.agg(F.sum(count_col)).scalar()
     return agg.withColumn(alias, ratio(F.col(count_col), total, digits))
+
+
+def row_numbers(df: DataFrame, groups: dict[str, Column], order: Sequence[Column | str], alias: str = "pos") -> DataFrame:
+    """ROW_NUMBER over the whole table, without one task that holds it.
+
+    ``groups`` are leading expressions of the order (not null, ascending, coarse to fine). Rows are
+    numbered inside their group, and each group starts after the rows of all groups before it:
+    only one count per group is ordered in one place.
+    """
+    d = df.withColumns(groups)
+    names = list(groups)
+    before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    start = d.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).select(
+        *names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
+    return d.join(start, names).withColumn(alias, (F.col("_start") + inside).cast("int")).drop("_start", *names)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from triage import AS_OF
 from triage.functions.numeric import avg_round, ratio, sql_avg_round, sql_ratio
-from triage.operators.aggregates import distinct_joined
+from triage.operators.aggregates import distinct_joined, row_numbers
 from triage.operators.writes import insert_if_absent, inserted_rows
 from triage.plans.mining import (RULES_PUB_USES, SQL_RULES_PUB, accepted_rules, publish_rows, published_rules,
                                  rule_metrics, version_stamp)
@@ -121,11 +121,11 @@ select cast(row_number() over (order by {_sql_rank('list_type', LIST_LISTING_ORD
   identifier_value) as int) as pos, list_type, identifier_type, identifier_value, target_category, priority
 from lists_pub where is_active = true""")
 def list_listing(fx) -> DataFrame:
-    from pyspark.sql import Window
     a = published_lists(fx).filter(c("is_active") == F.lit(True))
-    w = Window.orderBy(_rank("list_type", LIST_LISTING_ORDER).asc_nulls_last(), "priority", "identifier_value")
-    return a.select(F.row_number().over(w).alias("pos"), "list_type", "identifier_type", "identifier_value",
-                    "target_category", "priority")
+    groups = {"_g1": F.coalesce(_rank("list_type", LIST_LISTING_ORDER), F.lit(1 << 30)), "_g2": c("priority"),
+              "_g3": F.left("identifier_value", F.lit(2))}
+    return row_numbers(a, groups, ["identifier_value"]).select(
+        "pos", "list_type", "identifier_type", "identifier_value", "target_category", "priority")
 
 
 @register("active_lists", ops="I17 F1", uses=LISTS_PUB_USES, sql="with " + SQL_LISTS_PUB + """
@@ -134,11 +134,10 @@ select cast(row_number() over (order by priority, list_type, identifier_value) a
 from lists_pub where is_active = true""")
 def active_lists(fx) -> DataFrame:
     """The matcher's load: active entries in (priority, list_type) order (T16 tie-break added)."""
-    from pyspark.sql import Window
     a = published_lists(fx).filter(c("is_active") == F.lit(True))
-    w = Window.orderBy("priority", "list_type", "identifier_value")
-    return a.select(F.row_number().over(w).alias("pos"), "list_type", "identifier_type", "identifier_value",
-                    "target_category", "recommended_action", "priority")
+    groups = {"_g1": c("priority"), "_g2": c("list_type"), "_g3": F.left("identifier_value", F.lit(2))}
+    return row_numbers(a, groups, ["identifier_value"]).select(
+        "pos", "list_type", "identifier_type", "identifier_value", "target_category", "recommended_action", "priority")
 
 
 @register("contact_lookup", ops="I32 B9", uses="list_entry mail", sql="""
