@@ -206,17 +206,17 @@ def batch_items(fx) -> DataFrame:
                     F.explode("d.batch_items").alias("it")).select("user_upn", "batch_number", "it.*")
 
 
-def id_list_documents(fx, per_doc: int = 500, salts: int = 16) -> DataFrame:
+def id_list_documents(fx, per_doc: int = 500, rows_per_salt: int = 1000) -> DataFrame:
     """Ids of messages that need a body, as JSON arrays of at most ``per_doc`` ids.
 
     Documents are cut inside (user, salt) groups, so no list grows with a hot mailbox.
     """
     from pyspark.sql import Window
-    from triage.plans.work import salt_of
+    from triage.plans.work import salted
     todo = fx.mail.filter(c("analyzed_at").isNull() & ~F.coalesce(c("is_deleted"), F.lit(False))
                           & ~F.coalesce(c("auto_processed"), F.lit(False)) & c("needs_body")
                           & c("message_id").isNotNull())
-    todo = todo.select("user_upn", "message_id", salt_of(c("message_id"), salts).alias("salt"))
+    todo = salted(todo.select("user_upn", "message_id"), "user_upn", "message_id", rows_per_salt)
     i = F.row_number().over(Window.partitionBy("user_upn", "salt").orderBy("message_id")) - 1
     return (todo.withColumn("doc", (i / per_doc).cast("int")).groupBy("user_upn", "salt", "doc")
             .agg(F.to_json(F.collect_list("message_id")).alias("ids")))

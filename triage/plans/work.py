@@ -3,7 +3,7 @@
 ``candidates`` is a page of the work queue (LIMIT/OFFSET is the feature: a claim of N items),
 so the batch split over that page (a single ordered window) is bounded by the page size.
 ``batch_requests`` covers *all* eligible rows: it numbers items inside (user, salt) groups, so
-a mailbox holding a third of all mail is spread over ``salts`` tasks, never one.
+a mailbox holding a third of all mail is spread over salts that follow its size, never one task.
 """
 
 from __future__ import annotations
@@ -159,15 +159,19 @@ def retry_due(fx, check_at: str = "2024-01-31 01:00:00") -> DataFrame:
 
 # --- K21: batch request rows ------------------------------------------------------
 
-def salt_of(key, salts: int):
-    """Deterministic salt from the key's md5 (reproducible outside Spark)."""
-    return (F.conv(F.substring(F.md5(key), 1, 4), 16, 10).cast("int") % salts).cast("int")
+def salted(df: DataFrame, group: str, key: str, rows_per_salt: int = 1000) -> DataFrame:
+    """``df`` with a ``salt`` from the key's md5 (reproducible outside Spark), as many per group as
+    its size asks for: a group of any size falls into parts of about ``rows_per_salt`` rows."""
+    sizes = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / rows_per_salt).alias("_salts"))
+    h = F.conv(F.substring(F.md5(c(key)), 1, 8), 16, 10).cast("bigint")
+    return df.join(sizes, group).withColumn("salt", (h % c("_salts")).cast("int")).drop("_salts")
 
 
 @register("batch_requests", ops="K21 E5", uses="mail desired_state", sql="""
 with x as (
   select e.user_upn, e.message_id,
-    cast(('0x' || substr(md5(e.message_id), 1, 4))::integer % 16 as int) as salt
+    cast(('0x' || substr(md5(e.message_id), 1, 8))::bigint
+      % cast(ceil(count(*) over (partition by e.user_upn) / 1000.0) as bigint) as int) as salt
   from mail e join desired_state d on d.message_id = e.message_id
   where d.sync_status = 'synced' and d.synced_at < timestamp '2024-01-31 00:00:00' - interval '5' minute
     and e.is_deleted = false),
@@ -176,12 +180,12 @@ select user_upn, salt, cast(i // 20 as int) as request_batch, cast(i % 20 as var
   '/users/' || user_upn || '/messages/' || message_id || '?$select=id,categories,importance,flag,isRead' as url,
   message_id
 from n""")
-def batch_requests(fx, per_request: int = 20, salts: int = 16, as_of: str = AS_OF) -> DataFrame:
+def batch_requests(fx, per_request: int = 20, rows_per_salt: int = 1000, as_of: str = AS_OF) -> DataFrame:
     """Rows {id, method, url} grouped into requests of at most ``per_request`` (DECISIONS: 20)."""
     d = fx.desired_state.filter((c("sync_status") == "synced")
                                 & (c("synced_at") < _as_of(as_of) - F.make_dt_interval(mins=F.lit(5))))
     m = fx.mail.filter(c("is_deleted") == F.lit(False)).select("user_upn", "message_id")
-    x = m.join(d.select("message_id"), "message_id").withColumn("salt", salt_of(c("message_id"), salts))
+    x = salted(m.join(d.select("message_id"), "message_id"), "user_upn", "message_id", rows_per_salt)
     i = F.row_number().over(Window.partitionBy("user_upn", "salt").orderBy("message_id")) - 1
     return x.withColumn("_i", i).select(
         "user_upn", "salt", (c("_i") / per_request).cast("int").alias("request_batch"),
