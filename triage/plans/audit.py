@@ -106,6 +106,11 @@ def state_mismatch(fx) -> DataFrame:
                                     F.count_if(cats).alias("categories_mismatch"))
 
 
+def first_n(df: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` messages in key order; None: all of them, unordered."""
+    return df if n is None else df.orderBy("message_id").limit(n)
+
+
 @register("correction_preview", ops="I19 G3 F5 A15", uses="mail desired_state", sql="""
 select e.message_id, e.flag_status as db_flag_old, d.flag_status as db_flag_new,
   array_to_string(e.categories, '|') as db_cats_old, array_to_string(d.categories, '|') as db_cats_new
@@ -113,10 +118,10 @@ from mail e join desired_state d on d.message_id = e.message_id
 where e.flag_status is distinct from d.flag_status
    or list_sort(coalesce(e.categories, []::varchar[])) is distinct from list_sort(coalesce(d.categories, []::varchar[]))
 order by e.message_id limit 100""")
-def correction_preview(fx, n: int = 100) -> DataFrame:
+def correction_preview(fx, n: int | None = 100) -> DataFrame:
     """The dry-run page of corrections; the reference's unordered LIMIT gets a key order."""
     flag, cats = _mismatch()
-    return (_mail_vs_desired(fx).filter(flag | cats).orderBy("message_id").limit(n)
+    return (first_n(_mail_vs_desired(fx).filter(flag | cats), n)
             .select("message_id", c("db_flag").alias("db_flag_old"), c("dec_flag").alias("db_flag_new"),
                     F.array_join("db_cats", "|").alias("db_cats_old"),
                     F.array_join("dec_cats", "|").alias("db_cats_new")))
@@ -128,32 +133,31 @@ from mail e join desired_state d on d.message_id = e.message_id
 where (d.synced_at is null or d.sync_status is distinct from 'synced')
   and (d.categories is not null or d.flag_status is not null)
 order by e.message_id limit 500""")
-def push_candidates(fx, n: int = 500) -> DataFrame:
+def push_candidates(fx, n: int | None = 500) -> DataFrame:
     j = _mail_vs_desired(fx)
-    return (j.filter((c("synced_at").isNull() | ~c("sync_status").eqNullSafe(F.lit("synced")))
-                     & (c("dec_cats").isNotNull() | c("dec_flag").isNotNull()))
-            .orderBy("message_id").limit(n)
+    return (first_n(j.filter((c("synced_at").isNull() | ~c("sync_status").eqNullSafe(F.lit("synced")))
+                             & (c("dec_cats").isNotNull() | c("dec_flag").isNotNull())), n)
             .select("message_id", "user_upn", F.array_join("dec_cats", "|").alias("categories_to_set"),
                     c("dec_flag").alias("flag_to_set")))
 
 
 @register("audit_report", ops="I21 A14 D12 T19")
 def audit_report(fx) -> DataFrame:
-    """One-row JSON report; the preview/candidate arrays are limited *before* aggregation."""
-    totals = audit_totals(fx)
-    mm = state_mismatch(fx)
-    prev = correction_preview(fx).agg(F.collect_list(F.struct("*")).alias("preview"))
-    cand = push_candidates(fx, 100).agg(F.collect_list(F.struct("*")).alias("backfill_candidates"))
-    m = mm.select(F.struct("flag_mismatch", "categories_mismatch")).scalar()
-    j = totals.select("*", m["flag_mismatch"].alias("flag_mismatch"),
-                      m["categories_mismatch"].alias("categories_mismatch"),
-                      prev.scalar().alias("preview"), cand.scalar().alias("backfill_candidates"))
-    return j.select(F.to_json(F.struct(
-        F.struct("total_emails", "analyses", "decisions", "missing_flag_status", "missing_categories").alias("audit"),
-        F.struct("flag_mismatch", "categories_mismatch").alias("mismatch"),
-        F.coalesce("preview", F.array()).alias("preview"),
-        F.coalesce("backfill_candidates", F.array()).alias("backfill_candidates")),
-        {"ignoreNullFields": "false"}).alias("report"))
+    """The combined report as rows (section, item): totals and mismatches, then every correction and
+    every candidate as a JSON object of its own, so no array grows with the data."""
+    return report_rows([("audit", audit_totals(fx)), ("mismatch", state_mismatch(fx)),
+                        ("preview", correction_preview(fx, None)),
+                        ("backfill_candidates", push_candidates(fx, None))])
+
+
+def report_rows(sections: list[tuple[str, DataFrame]]) -> DataFrame:
+    """(section, item) rows; an item is a row of its section as a JSON object with nulls."""
+    parts = [df.select(F.lit(name).alias("section"),
+                       F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("item")) for name, df in sections]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # --- I22-I25 ---------------------------------------------------------------------
@@ -263,11 +267,8 @@ def decision_upsert(fx) -> DataFrame:
 
 @register("derivation_report", ops="I25 A14 T19 T33")
 def derivation_report(fx) -> DataFrame:
-    cov = taxonomy_coverage(fx).agg(F.sort_array(F.collect_list(F.struct(
-        c("cat").alias("category"), c("rules_count").alias("rules"), "active_rules"))).alias("rules_coverage"))
-    sample = (derived_categories(fx).orderBy("message_id").limit(100)
-              .agg(F.collect_list(F.struct("*")).alias("derivation_preview")))
-    return cov.select("*", sample.scalar().alias("derivation_preview")).select(F.to_json(F.struct(
-        F.struct(F.array(*[F.lit(t) for t in TAXONOMY]).alias("expected")).alias("taxonomy"),
-        "rules_coverage", F.coalesce("derivation_preview", F.array()).alias("derivation_preview")),
-        {"ignoreNullFields": "false"}).alias("report"))
+    """The combined report as rows (section, item): the expected categories, rules of each, and the
+    derived category of every message."""
+    coverage = taxonomy_coverage(fx).select(c("cat").alias("category"), c("rules_count").alias("rules"), "active_rules")
+    return report_rows([("taxonomy", taxonomy_df(fx.spark)), ("rules_coverage", coverage),
+                        ("derivation_preview", derived_categories(fx))])
