@@ -50,7 +50,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _spans(found: DataFrame, kinds) -> DataFrame:
     """Counts and digests of a span scan."""
     joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long) as n_{k}") for k in kinds]
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
