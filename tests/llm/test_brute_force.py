@@ -1,5 +1,6 @@
 """Each operator against a plain brute-force version, an exact round trip or held-out accuracy."""
 
+import hashlib
 import math
 import random
 import re
@@ -175,6 +176,21 @@ def test_base_spans():
         assert set(brute_pii(t)) <= set(pii.find(t)[1]) and set(brute_secrets(t)) <= set(secret_scan.find(t)[1])
 
 
+@pytest.mark.parametrize(("name", "module"), [("op4_secret_scan", secret_scan), ("op7_pii", pii)])
+def test_span_queries(spark, name, module):
+    """The registered query's counts and digests against the brute-force base spans."""
+    brute = brute_secrets if module is secret_scan else brute_pii
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()}
+    joined = lambda x: ",".join(f"{k}:{a}:{b}" for k, a, b in x)
+    rows = QUERIES[name](spark, SF01).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = brute(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(joined(base).encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in module.KINDS] == [sum(x[0] == k for x in base) for k in module.KINDS]
+        assert r.spans == joined(module.find(texts[r.doc_id])[1])
+
+
 def test_entropy_windows():
     rnd = random.Random(4)
     for _ in range(200):
@@ -295,7 +311,7 @@ def test_pieces_against_library_and_heap():
     assert len(forms) > 3  # segmentations vary with the seed
     units = [" international", "unbelievable", " x", "\n", " 你", "12.5%"]
     pieces.encode("load", voc)
-    many = pieces.segment_many(units, voc, pieces.process_cache()["merges"][voc.tag], 0.3, 11)
+    many = pieces.segment_many(units, voc, pieces.process_cache("pieces")["merges"], 0.3, 11)
     assert [np.frombuffer(m, dtype=np.int32).tolist() for m in many] == [pieces.segment(u, voc, 0.3, 11) for u in units]
     mark = "a▁x ▁"
     assert pieces.decode(pieces.encode(mark, voc, 0.2, 1).tolist(), voc) == mark

@@ -29,9 +29,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def process_cache() -> dict:
-    """Values kept for the life of a worker process; never part of what a task ships."""
-    return sys.modules.setdefault("_triage_llm_cache", types.ModuleType("_triage_llm_cache")).__dict__
+def process_cache(owner: str) -> dict:
+    """Values that a worker process keeps between tasks; never part of what a task ships.
+
+    A worker that goes on with another owner's tasks drops what the last one kept.
+    """
+    kept = sys.modules.setdefault("_triage_llm_cache", types.ModuleType("_triage_llm_cache")).__dict__.setdefault("kept", {})
+    if kept.get("owner") != owner:
+        kept.clear()
+        kept["owner"] = owner
+    return kept
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -59,15 +66,15 @@ def bloom_fit(keys: DataFrame, col: str, max_bits: int = 1 << 27) -> tuple[np.nd
     keys = keys.select(F.col(col).cast("long").alias("k"))
     bits = 1 << 20
     n = keys.count()
-    while bits < min(max_bits, 24 * n):
+    while bits < min(max_bits, 12 * n):
         bits <<= 1
 
     def local(batches):
-        bitmap = np.zeros(bits, dtype=bool)
-        for b in batches:
+        packed = np.zeros(bits // 8, dtype=np.uint8)
+        for b in thin(batches, 1 << 16):
             for p in _probes(b.column(0).to_numpy(zero_copy_only=False), bits):
-                bitmap[p] = True
-        yield from _blocks(np.packbits(bitmap), bits)
+                np.bitwise_or.at(packed, (p >> np.uint64(3)).astype(np.int64), np.uint8(128) >> (p & np.uint64(7)).astype(np.uint8))
+        yield from _blocks(packed)
 
     def either(key, t):
         all_of = np.zeros(BLOCK_BITS // 8, dtype=np.uint8)
@@ -85,12 +92,13 @@ def bloom_fit(keys: DataFrame, col: str, max_bits: int = 1 << 27) -> tuple[np.nd
     return out, bits
 
 
-def _blocks(packed: np.ndarray, bits: int):
+def _blocks(packed: np.ndarray):
     rows = packed.reshape(-1, BLOCK_BITS // 8)
     full = np.flatnonzero(rows.any(axis=1))
-    if len(full):
+    for at in range(0, len(full), 64):
+        some = full[at:at + 64]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(full, pa.int64()), pa.array([rows[i].tobytes() for i in full], pa.binary())], ["block", "bitmap"])
+            [pa.array(some, pa.int64()), pa.array([rows[i].tobytes() for i in some], pa.binary())], ["block", "bitmap"])
 
 
 def bloom_has(bloom: tuple[np.ndarray, int], keys: np.ndarray) -> np.ndarray:
@@ -130,6 +138,13 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
 # ---------------------------------------------------------------- Arrow helpers
 
+def thin(batches, rows: int = 512):
+    """Arrow batches in slices of so many rows: what a task holds beside a batch stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def text_bytes(col) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, offsets) of a string column; null reads as empty."""
     arr = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col

@@ -38,7 +38,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triage.llm.common import bloom_fit, bloom_has, components, cut, lists, mix, text_bytes
+from triage.llm.common import bloom_fit, bloom_has, components, cut, lists, mix, text_bytes, thin
 from triage.llm.shingles import shingle_sets
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -63,7 +63,7 @@ def class_key(s: np.ndarray) -> bytes:
 def bases(docs: DataFrame, size: int, num: int, den: int, stretch: float) -> DataFrame:
     """(doc_id, n, cls, pool): set size, set key and lengthened hash-order prefix of each text."""
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             n, keys, pools = [], [], []
             for s in shingle_sets(*text_bytes(b.column(1)), size):
                 n.append(len(s))
@@ -81,7 +81,7 @@ def bases(docs: DataFrame, size: int, num: int, den: int, stretch: float) -> Dat
 def survivors(base: DataFrame, bloom, num: int, den: int, stretch: float) -> DataFrame:
     """Texts with enough shared shingles in their lengthened prefix."""
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             n = b.column(1).to_numpy()
             pool = b.column(3)
             flat = pool.flatten().to_numpy()
@@ -98,7 +98,7 @@ def survivors(base: DataFrame, bloom, num: int, den: int, stretch: float) -> Dat
 def whole_sets(docs: DataFrame, wanted, size: int) -> DataFrame:
     """(doc_id, cls, n, toks) of the documents that the Bloom filter ``wanted`` lets through."""
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             keep = bloom_has(wanted, b.column(0).fill_null(-1).to_numpy())
             b = b.filter(pa.array(keep))
             if not b.num_rows:
@@ -116,7 +116,7 @@ def whole_sets(docs: DataFrame, wanted, size: int) -> DataFrame:
 def slim_sets(sets: DataFrame, bloom, num: int, den: int) -> DataFrame:
     """Sets without the shingles that no other set has; texts with too few shared ones go."""
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             n = b.column(1).to_numpy()
             flat = b.column(2).flatten().to_numpy()
             lens = b.column(2).value_lengths().to_numpy(zero_copy_only=False)
@@ -135,7 +135,7 @@ def slim_sets(sets: DataFrame, bloom, num: int, den: int) -> DataFrame:
 def prefixes(slim: DataFrame, freq: DataFrame, num: int, den: int) -> DataFrame:
     """(cls, ell, prefix): rarest-first prefix of each text, at the length of least cost."""
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             n, s, df = b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3)
             ells, out = [], []
             for i in range(b.num_rows):

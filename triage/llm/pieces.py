@@ -38,7 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 VARIANTS = 2
-KNOWN = 300_000  # units that a worker keeps
+KNOWN = 160_000  # units that a worker keeps
 ROWS = 1024      # rows in a batch that goes back to Spark
 UNIT = re.compile(" *[^ \n▁]+| +|\n|▁")
 SPACE = "▁"
@@ -128,7 +128,7 @@ def segment(unit: str, voc: Vocabulary, dropout: float, key: int) -> list[int]:
 class Merges:
     """Vectorised form of a vocabulary, built once a worker: symbols are piece numbers."""
 
-    BITS = 21
+    BITS = 19
 
     def __init__(self, voc: Vocabulary):
         symbol = dict(voc.id)
@@ -136,7 +136,7 @@ class Merges:
             for c in p:  # a character that is no piece itself can still be merged
                 symbol.setdefault(c, len(symbol) + voc.pieces)
         self.many = max(symbol.values()) + 2  # the last one stands for any other character
-        self.char = np.full(0x110000, self.many - 1, dtype=np.int64)
+        self.char = np.full(0x110000, self.many - 1, dtype=np.int32)
         for p, i in symbol.items():
             if len(p) == 1:
                 self.char[ord(p)] = i
@@ -145,7 +145,7 @@ class Merges:
         pairs = [(symbol[p[:k]] * self.many + symbol[p[k:]], rank[p], voc.id[p]) for p in voc.id for k in range(1, len(p))
                  if p[:k] in symbol and p[k:] in symbol]
         size = 1 << self.BITS
-        self.keys, self.at = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.int64)
+        self.keys, self.at = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.int32)
         self.rank, self.into = (np.array([x[i] for x in pairs], dtype=np.int64) for i in (1, 2))
         keys = np.array([x[0] for x in pairs], dtype=np.int64)
         slot, left = self._slot(keys), np.arange(len(pairs))
@@ -185,7 +185,7 @@ def segment_many(units: list[str], voc: Vocabulary, merges: Merges, dropout: flo
     from the start comes to the same as skipping them when they are taken.
     """
     text = "".join(units).replace(" ", SPACE)
-    sym = merges.char[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)]
+    sym = merges.char[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)].astype(np.int64)
     lens = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
     unit = np.repeat(np.arange(len(units)), lens)
     pos = np.arange(len(sym)) - np.repeat(np.cumsum(lens) - lens, lens)
@@ -267,11 +267,10 @@ def encode_many(texts: list[str], voc: Vocabulary, dropout: float = 0.0, seed: i
     here = {u: np.array(segment(u, voc, dropout, key), dtype=np.int32).tobytes() for u in new if len(u) > LONG or u == SPACE}
     short = [u for u in new if u not in here]
     if short:
-        kept = process_cache().setdefault("merges", {})
-        if voc.tag not in kept:
-            kept.clear()
-            kept[voc.tag] = Merges(voc)
-        known.update(zip(short, segment_many(short, voc, kept[voc.tag], dropout, key), strict=True))
+        kept = process_cache("pieces")
+        if kept.get("vocabulary") != voc.tag:
+            kept.update({"vocabulary": voc.tag, "merges": Merges(voc)})
+        known.update(zip(short, segment_many(short, voc, kept["merges"], dropout, key), strict=True))
     get = (lambda u: known[u] if u in known else here[u]) if here else known.__getitem__
     return [np.frombuffer(b"".join(map(get, units)), dtype=np.int32) for units in cut]
 
@@ -286,9 +285,8 @@ def decode(ids, voc: Vocabulary) -> str:
 
 
 def _units(voc: Vocabulary, what) -> dict:
-    kept = process_cache().setdefault("pieces", {})
+    kept = process_cache("pieces")
     if kept.get("for") != (voc.tag, what):
-        kept.clear()
         kept.update({"for": (voc.tag, what), "units": {}})
     return kept["units"]
 

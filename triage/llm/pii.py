@@ -25,6 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triage.llm.common import thin
 from triage.llm.secret_scan import scan_with
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -191,7 +192,7 @@ def masked(docs: DataFrame) -> DataFrame:
     at, name = docs.columns.index("text"), docs.columns
 
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             cols = list(b.columns)
             cols[at] = pa.array([mask(t.as_py()) for t in cols[at]], pa.string())
             yield pa.RecordBatch.from_arrays(cols, name)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from triage.llm.common import mix, text_bytes
+from triage.llm.common import mix, text_bytes, thin
 from triage.llm.shingles import PIECE, powers, prefix_sums
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -122,7 +122,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if not total:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.float32)
     ids, back = np.unique(np.concatenate(ids), return_inverse=True)
-    return ids, (np.bincount(back, np.concatenate(weights)) / total).astype(np.float32)
+    return ids.astype(np.int32), (np.bincount(back, np.concatenate(weights)) / total).astype(np.float32)
 
 
 def logits(data: np.ndarray, offsets: np.ndarray, scalars: np.ndarray, bias: float) -> np.ndarray:
@@ -174,7 +174,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 3, rate: float = 0.
     return table @ (out[1] - out[0]), float(bias[1] - bias[0])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, where=None, per_class: int = 1500, **how):
+def fit(docs: DataFrame, labels: DataFrame, label: str, where=None, per_class: int = 1200, **how):
     """Train on at most ``per_class`` labelled documents of each class, picked by a hash of the id."""
     known = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
     if where is not None:
@@ -201,7 +201,7 @@ def with_score(docs: DataFrame, model) -> DataFrame:
     name = [*docs.columns, "score"]
 
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             z = logits(*text_bytes(b.column(at)), scalars, bias)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], name)
 

@@ -26,6 +26,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triage.llm.common import thin
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # fixed values: the base kinds, in order, and their patterns
@@ -125,7 +127,7 @@ def scan_with(docs: DataFrame, finder) -> DataFrame:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             base, spans = [], []
             for t in b.column(1):
                 one, two = finder(t.as_py())

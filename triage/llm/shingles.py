@@ -11,7 +11,7 @@ from triage.llm.common import mix, process_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PIECE = 1 << 20  # bytes hashed at a time: bounds memory whatever a text's length
+PIECE = 1 << 18  # bytes hashed at a time: bounds memory whatever a text's length
 BASE = 0x9E3779B97F4A7C15 | 1
 ORDERS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
           0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x2127599BF4325C37)
@@ -19,13 +19,13 @@ ORDERS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF0
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i modulo 2**64."""
-    kept = process_cache().setdefault("powers", {})
+    kept = process_cache("hashing")
     if n in kept:
         return kept[n]
     up, down = np.full(n, BASE, dtype=np.uint64), np.full(n, pow(BASE, -1, 1 << 64), dtype=np.uint64)
     up[0] = down[0] = 1
     out = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-    if n == PIECE:
+    if n <= 2 * PIECE:
         kept[n] = out
     return out
 

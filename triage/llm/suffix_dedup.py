@@ -38,7 +38,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triage.llm.common import bloom_fit, bloom_has, cut, mix, text_bytes
+from triage.llm.common import bloom_fit, bloom_has, cut, mix, text_bytes, thin
 from triage.llm.shingles import PIECE, powers, prefix_sums
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -88,7 +88,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, min_len: int, gram: int):
 
 def smallest_hashes(docs: DataFrame, min_len: int, gram: int) -> DataFrame:
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             yield pa.RecordBatch.from_arrays([pa.array(runs(*text_bytes(b.column(0)), min_len, gram)[3].view(np.int64))], ["m"])
 
     return docs.select("text").mapInArrow(run, "m long")
@@ -96,7 +96,7 @@ def smallest_hashes(docs: DataFrame, min_len: int, gram: int) -> DataFrame:
 
 def shared_runs(docs: DataFrame, bloom, min_len: int, gram: int) -> DataFrame:
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             text, at, n, m, h = runs(*text_bytes(b.column(2)), min_len, gram)
             k = bloom_has(bloom, m.view(np.int64))
             text = pa.array(text[k])
@@ -268,13 +268,13 @@ def remove_repeats(docs: DataFrame, min_len: int = 200, keep: str = "first", gro
     bloom = bloom_fit(marks, "rid")
 
     def plain(batches):
-        for b in batches:
+        for b in thin(batches):
             b = b.filter(pa.array(~bloom_has(bloom, b.column(1).to_numpy())))
             if b.num_rows:
                 yield _results(b.column(0), b.column(2).to_pylist(), [()] * b.num_rows, min_len)
 
     def marked(batches):
-        for b in batches:
+        for b in thin(batches):
             m = [[(x["at"], x["n"]) for x in row or ()] for row in b.column(2).to_pylist()]
             yield _results(b.column(0), b.column(1).to_pylist(), m, min_len)
 
@@ -294,7 +294,7 @@ def _only(docs: DataFrame, bloom) -> DataFrame:
 def _with_bytes(docs: DataFrame, per_text: DataFrame, bloom, min_len: int) -> DataFrame:
     """(m, nc, doc_id, rid, at, bytes) of each representative run."""
     def run(batches):
-        for b in batches:
+        for b in thin(batches):
             out = []
             for d, r, t, rs in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 out += [(x["m"], x["nc"], d, r, x["at"], t[x["at"]:x["at"] + x["n"] - 1 + min_len]) for x in rs]
