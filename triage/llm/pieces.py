@@ -2,19 +2,20 @@
 
 Merge-type segmentation by an agenda: the pair of neighbouring symbols whose joint piece scores
 best is merged first (ties: the leftmost). Each candidate taken from the agenda is skipped if a
-hash keyed by (seed, variant, unit, place, length) falls below ``dropout``; a skipped pair may come
-back as part of a longer one. So segmentations vary with the seed and with the document (its
-variant is a hash of doc_id), and the same call always gives the same ids, on any executor.
-With ``dropout=0`` the ids are those of the sentencepiece library.
+hash keyed by (seed, doc_id, number of the unit in the text, place, length) falls below ``dropout``;
+a skipped pair may come back as part of a longer one. So segmentations vary with the seed, with the
+document and from one occurrence of a word to the next, and the same call always gives the same
+ids, on any executor. With ``dropout=0`` the ids are those of the sentencepiece library.
 
 A space becomes U+2581, one stands before the text, and characters without a piece fall back to
 byte pieces. No piece holds a newline or goes on with U+2581 after another character, so units
-(spaces and the word after them, newlines) are segmented apart, and a worker keeps a bounded table
-of them. Decoding returns every text as it was; a U+2581 of the text itself is written in bytes for
+(spaces and the word after them, newlines) are segmented apart. A worker keeps a bounded table of
+units with the ids and the merges they have without dropout: an occurrence that skips none of those
+merges has those ids, any other is segmented by itself. Decoding returns every text as it was; a U+2581 of the text itself is written in bytes for
 that. The vocabulary is read on the driver from ``model_path`` and travels with the tasks.
 
 Edge cases: a null or empty text has no ids, and no ids decode to an empty text; a null doc_id
-has variant 0; unpaired surrogates can't stand in a Spark string; repeated rows get equal ids; other
+counts as one id; unpaired surrogates can't stand in a Spark string; repeated rows get equal ids; other
 columns are not read; an empty table gives no rows. Long texts are read whole, unit by unit.
 """
 
@@ -32,14 +33,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triage.llm.common import lists, process_cache
+from triage.llm.common import lists, mix, process_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-VARIANTS = 2
-KNOWN = 160_000  # units that a worker keeps
-ROWS = 1024      # rows in a batch that goes back to Spark
+KNOWN = 80_000   # units that a worker keeps
+OCCURRENCES = 1 << 17  # units whose merges are tested at once
+ROWS = 256       # rows in a batch that goes back to Spark
 UNIT = re.compile(" *[^ \n▁]+| +|\n|▁")
 SPACE = "▁"
 
@@ -73,8 +74,22 @@ def load(model_path: str = MODEL) -> Vocabulary:
     return Vocabulary([m.id_to_piece(i) for i in range(n)], [m.get_score(i) for i in range(n)], [kind(i) for i in range(n)])
 
 
-def segment(unit: str, voc: Vocabulary, dropout: float, key: int) -> list[int]:
-    """Ids of one unit."""
+def skipped(base, place, length, least):
+    """Whether the candidates of units with hash ``base`` are skipped, as arrays of uint32."""
+    h = base ^ (place * np.uint32(MIX[0])) ^ (length * np.uint32(MIX[1]))
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(MIX[2])
+    h = (h ^ (h >> np.uint32(12))) * np.uint32(MIX[3])
+    return (h ^ (h >> np.uint32(15))) < least
+
+
+def occurrence(keys: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Hashes of units by the key of their document and their number in the text."""
+    x = mix((keys.astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64))
+    return (x >> np.uint64(32)).astype(np.uint32)
+
+
+def segment(unit: str, voc: Vocabulary, dropout: float, key: int, base: int | None = None) -> list[int]:
+    """Ids of one unit; ``base``: hash of its occurrence (default: of key and unit)."""
     if unit == SPACE:
         return [voc.byte[b] for b in SPACE.encode()]
     s = unit.replace(" ", SPACE)
@@ -93,7 +108,7 @@ def segment(unit: str, voc: Vocabulary, dropout: float, key: int) -> list[int]:
         offer(i, i + 1)
     heapq.heapify(agenda)
     started = True
-    base = zlib.crc32(unit.encode(), key) if dropout else 0
+    base = 0 if not dropout else zlib.crc32(unit.encode(), key) if base is None else base
     least = int(dropout * ((1 << 32) - 1))
     while agenda:
         _, i, length = heapq.heappop(agenda)
@@ -178,9 +193,13 @@ class Merges:
 NONE = np.int64(1) << np.int64(62)
 
 
-def segment_many(units: list[str], voc: Vocabulary, merges: Merges, dropout: float, key: int) -> list[bytes]:
+def segment_many(units: list[str], voc: Vocabulary, merges: Merges, dropout: float, key: int,
+                 base: np.ndarray | None = None, trace: list | None = None) -> list[bytes]:
     """Ids (int32 bytes) of many units at once: each round takes every unit's best candidate.
 
+    ``base``: hashes of the units' occurrences (default: of key and unit); ``trace`` gets each unit's
+    merges as (place, length) pairs of bytes, for units of at most ``LONG`` characters.
+
     The skip of a candidate depends on its key alone, so leaving skipped ones out of the agenda
     from the start comes to the same as skipping them when they are taken.
     """
@@ -191,7 +210,11 @@ def segment_many(units: list[str], voc: Vocabulary, merges: Merges, dropout: flo
     pos = np.arange(len(sym)) - np.repeat(np.cumsum(lens) - lens, lens)
     size = np.ones(len(sym), dtype=np.int64)
     least = np.uint32(int(dropout * ((1 << 32) - 1)))
-    base = np.fromiter((zlib.crc32(u.encode(), key) for u in units), dtype=np.uint32, count=len(units)) if dropout else None
+    if not dropout:
+        base = None
+    elif base is None:
+        base = np.fromiter((zlib.crc32(u.encode(), key) for u in units), dtype=np.uint32, count=len(units))
+    made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def offers(i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merge) of the pairs that start at symbols ``i``; NONE: no candidate."""
@@ -201,10 +224,7 @@ def segment_many(units: list[str], voc: Vocabulary, merges: Merges, dropout: flo
         found = np.full(len(i), -1, dtype=np.int64)
         found[ok] = merges.find(sym[i[ok]], sym[i2[ok]])
         if base is not None:
-            h = base[unit[i]] ^ (pos[i].astype(np.uint32) * np.uint32(MIX[0])) ^ ((size[i] + size[i2]).astype(np.uint32) * np.uint32(MIX[1]))
-            h = (h ^ (h >> np.uint32(15))) * np.uint32(MIX[2])
-            h = (h ^ (h >> np.uint32(12))) * np.uint32(MIX[3])
-            found[(h ^ (h >> np.uint32(15))) < least] = -1
+            found[skipped(base[unit[i]], pos[i].astype(np.uint32), (size[i] + size[i2]).astype(np.uint32), least)] = -1
         return np.where(found >= 0, merges.rank[found], NONE), found
 
     rank, merge = offers(np.arange(len(sym)))
@@ -227,12 +247,20 @@ def segment_many(units: list[str], voc: Vocabulary, merges: Merges, dropout: flo
         hit = hit[np.concatenate([[True], unit[hit][1:] != unit[hit][:-1]])]  # the leftmost of each unit
         sym[hit] = merges.into[merge[hit]]
         size[hit] += size[hit + 1]
+        if trace is not None:
+            made.append((unit[hit], pos[hit].astype(np.uint8), size[hit].astype(np.uint8)))
         keep = np.ones(len(sym), dtype=bool)
         keep[hit + 1] = False
         sym, unit, pos, size, rank, merge = (x[keep] for x in (sym, unit, pos, size, rank, merge))
         now = hit - np.arange(len(hit))
         near = np.concatenate([now, now[now > 0] - 1])
         rank[near], merge[near] = offers(near)
+    if trace is not None:
+        of, place, length = (np.concatenate(c) for c in zip(*made, strict=True)) if made else (np.empty(0, dtype=np.int64),) * 3
+        order = np.argsort(of, kind="stable")
+        pairs = np.stack([place[order], length[order]], axis=1).astype(np.uint8).tobytes()
+        ends = (2 * np.cumsum(np.bincount(of, minlength=len(units)))).tolist()
+        trace += [pairs[a:b] for a, b in zip([0, *ends], ends, strict=False)]
     units_of, places, syms = (np.concatenate(c) for c in zip(*done, strict=True))
     order = np.lexsort((places, units_of))
     units_of, places, syms = units_of[order], places[order], syms[order]
@@ -255,28 +283,63 @@ def segment_many(units: list[str], voc: Vocabulary, merges: Merges, dropout: flo
 LONG = 64  # longer units go by the heap
 
 
-def encode_many(texts: list[str], voc: Vocabulary, dropout: float = 0.0, seed: int = 0, variant: int = 0, known: dict | None = None) -> list[np.ndarray]:
-    """Ids of texts that share a variant; ``known``: units seen before with the same seed and variant."""
+def encode_many(texts: list[str], voc: Vocabulary, dropout: float = 0.0, seed: int = 0, doc_ids: list | None = None, known: dict | None = None) -> list[np.ndarray]:
+    """Ids of texts; ``known``: (ids, merges) without dropout of units seen before."""
     known = {} if known is None else known
-    key = zlib.crc32(f"{seed}:{variant}".encode())
+    doc_ids = [0] * len(texts) if doc_ids is None else doc_ids
     cut = [UNIT.findall(" " + t) if t else [] for t in texts]
-    new = {u for units in cut for u in units}.difference(known)
-    if len(known) + len(new) > KNOWN // VARIANTS:
+    flat = [u for units in cut for u in units]
+    here = {u: k for k, u in enumerate(dict.fromkeys(flat))}
+    number = np.fromiter(map(here.__getitem__, flat), dtype=np.int64, count=len(flat))
+    by_heap = {u for u in here if len(u) > LONG or u == SPACE}
+    rare = by_heap
+    if dropout:  # what stands here once is segmented with its dropout alone
+        rare = by_heap.union(u for u, n in zip(here, np.bincount(number, minlength=len(here)).tolist(), strict=True) if n == 1)
+        rare -= known.keys()
+    new = here.keys() - known.keys() - rare
+    if len(known) + len(new) > KNOWN:
         known.clear()
-        new = {u for units in cut for u in units}
-    here = {u: np.array(segment(u, voc, dropout, key), dtype=np.int32).tobytes() for u in new if len(u) > LONG or u == SPACE}
-    short = [u for u in new if u not in here]
-    if short:
-        kept = process_cache("pieces")
-        if kept.get("vocabulary") != voc.tag:
-            kept.update({"vocabulary": voc.tag, "merges": Merges(voc)})
-        known.update(zip(short, segment_many(short, voc, kept["merges"], dropout, key), strict=True))
-    get = (lambda u: known[u] if u in known else here[u]) if here else known.__getitem__
-    return [np.frombuffer(b"".join(map(get, units)), dtype=np.int32) for units in cut]
-
-
-def encode(text: str | None, voc: Vocabulary, dropout: float = 0.0, seed: int = 0, variant: int = 0) -> np.ndarray:
-    return encode_many([text or ""], voc, dropout, seed, variant)[0]
+        new = here.keys() - rare
+    kept = process_cache("pieces")
+    if kept.get("vocabulary") != voc.tag:
+        kept.update({"vocabulary": voc.tag, "merges": Merges(voc)})
+    if new:
+        short, trace = list(new), []
+        ids = segment_many(short, voc, kept["merges"], 0, 0, trace=trace)
+        known.update(zip(short, zip(ids, trace, strict=True), strict=True))
+    plain = [known.get(u, (b"", b"")) for u in here]
+    out = list(map([x[0] for x in plain].__getitem__, number.tolist()))
+    counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+    ends = np.cumsum(counts)
+    if dropout:
+        keys = np.array([zlib.crc32(f"{seed}:{d}".encode()) for d in doc_ids], dtype=np.uint64)
+        base = occurrence(np.repeat(keys, counts), np.arange(len(flat)) - np.repeat(ends - counts, counts))
+        least = np.uint32(int(dropout * ((1 << 32) - 1)))
+        pairs = np.frombuffer(b"".join(x[1] for x in plain), dtype=np.uint8).reshape(-1, 2).astype(np.uint32)
+        direct = np.fromiter((u not in known and u not in by_heap for u in here), dtype=bool, count=len(here))
+        many = np.fromiter((len(x[1]) // 2 for x in plain), dtype=np.int64, count=len(plain))
+        first = np.cumsum(many) - many
+        for lo in range(0, len(flat), OCCURRENCES):
+            n, b = number[lo:lo + OCCURRENCES], base[lo:lo + OCCURRENCES]
+            m = many[n]
+            of = np.repeat(np.arange(len(n)), m)
+            at = np.arange(len(of)) + np.repeat(first[n] - (np.cumsum(m) - m), m)
+            hit = direct[n]
+            hit[of[skipped(b[of], pairs[at, 0], pairs[at, 1], least)]] = True
+            hit = np.flatnonzero(hit)
+            if len(hit):
+                again = [flat[lo + k] for k in hit.tolist()]
+                for k, ids in zip(hit.tolist(), segment_many(again, voc, kept["merges"], dropout, 0, b[hit]), strict=True):
+                    out[lo + k] = ids
+    if by_heap:
+        for k, u in enumerate(flat):
+            if u in by_heap:
+                out[k] = np.array(segment(u, voc, dropout, 0, int(base[k]) if dropout else 0), dtype=np.int32).tobytes()
+    return [np.frombuffer(b"".join(out[end - n:end]), dtype=np.int32) for end, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+
+
+def encode(text: str | None, voc: Vocabulary, dropout: float = 0.0, seed: int = 0, doc_id: int | None = 0) -> np.ndarray:
+    return encode_many([text or ""], voc, dropout, seed, [doc_id])[0]
 
 
 def decode(ids, voc: Vocabulary) -> str:
@@ -284,31 +347,22 @@ def decode(ids, voc: Vocabulary) -> str:
     return b"".join(map(voc.out.__getitem__, ids)).decode("utf-8", "replace")[1:] if len(ids) else ""
 
 
-def _units(voc: Vocabulary, what) -> dict:
+def _units(voc: Vocabulary) -> dict:
     kept = process_cache("pieces")
-    if kept.get("for") != (voc.tag, what):
-        kept.update({"for": (voc.tag, what), "units": {}})
+    if kept.get("for") != voc.tag:
+        kept.update({"for": voc.tag, "units": {}})
     return kept["units"]
 
 
-def variant_of(doc_id) -> int:
-    return zlib.crc32(str(doc_id).encode()) % VARIANTS if doc_id is not None else 0
-
-
 def encoded(docs: DataFrame, model_path: str = MODEL, dropout: float = 0.1, seed: int = 0) -> DataFrame:
     """(doc_id, ids, lossless) of every row of ``docs(doc_id, text)``; lossless: decoding gave the text back."""
     def run(voc, batches):
-        units = _units(voc, (dropout, seed))
+        units = _units(voc)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 b = whole.slice(at, ROWS)
                 texts = [t or "" for t in b.column(1).to_pylist()]
-                variants = [variant_of(d) for d in b.column(0).to_pylist()]
-                ids: list = [None] * len(texts)
-                for v in range(VARIANTS):
-                    mine = [k for k, x in enumerate(variants) if x == v]
-                    for k, x in zip(mine, encode_many([texts[k] for k in mine], voc, dropout, seed, v, units.setdefault(v, {})), strict=True):
-                        ids[k] = x
+                ids = encode_many(texts, voc, dropout, seed, b.column(0).to_pylist(), units)
                 same = [decode(x.tolist(), voc) == t for x, t in zip(ids, texts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), lists(np.concatenate(ids), [len(x) for x in ids], pa.int32()), pa.array(same)],
