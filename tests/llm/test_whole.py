@@ -1,8 +1,9 @@
 """Cases that a part of the job would miss."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from triage.llm import pieces
+from triage.llm import pieces, url_filter
 
 
 def test_dropout_varies_by_document_and_occurrence():
@@ -21,3 +22,14 @@ def test_dropout_varies_by_document_and_occurrence():
     assert len(words) > 5
     many = pieces.encode_many([text, "a b", text], voc, 0.1, 1, [0, 9, 5])
     assert many[0].tolist() == per_doc[0] and many[2].tolist() == per_doc[5]  # other texts of the batch don't matter
+
+
+def test_urls_of_any_depth_and_path_case(spark):
+    folders = "/".join("abcdefghij")
+    urls = ["http://a.b.c.d.e.f.example.org/", f"http://h.net/{folders}/x", "http://only.ru/", "http://c.com/EN/x", "http://c.com/en/x", f"http://{'s.' * 120}deep.io/"]
+    keys = [("example.org", "block"), (f"h.net/{folders}/", "block"), ("h.net/a/", "allow"), ("ru", "block"), ("C.com/EN/", "block"), ("deep.io", "block"), ("io", "allow")]
+    cap = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("fetched", F.timestamp_seconds(F.lit(10)))
+    ent = spark.createDataFrame(keys, "key string, action string").withColumn("since", F.timestamp_seconds(F.lit(1)))
+    got = {r.page_id: (r.verdict, r.key) for r in url_filter.judge(cap, ent).collect()}
+    assert got == {0: ("block", "example.org"), 1: ("block", f"h.net/{folders}/"), 2: ("block", "ru"), 3: ("block", "c.com/EN/"),
+                   4: ("none", None), 5: ("block", "deep.io")}

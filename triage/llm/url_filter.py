@@ -3,8 +3,8 @@
 A filter list is a log of dated entries (key, action, since): from its date on, an entry holds for
 its key until the key's next entry. So the log becomes validity intervals [since, until), and each
 capture is joined as of its fetch time with the intervals of the keys its URL has: the host and
-every parent domain (``example.org`` covers ``a.example.org``), and host with path prefixes
-(``a.example.org/x/``). The most specific active entry decides: the longest path, then the longest
+every parent domain down to the last label (``example.org`` and ``org`` cover ``a.example.org``), and
+host with path prefixes (``a.example.org/x/``), of any number of labels and folders. The most specific active entry decides: the longest path, then the longest
 host. Actions: ``block`` drops the capture, ``allow`` keeps it, ``remove`` ends the entry before.
 
 The join is an equi-join on (key, time bucket) with the as-of condition on top: intervals are
@@ -15,7 +15,7 @@ log of any size; nothing is broadcast by hand.
 Edge cases: entries with a null key or date are left out; of entries of equal key and date the
 smaller action counts, repeated ones once; a capture with a null or unparsable URL or null time
 meets no list and is kept (``verdict`` none); host names compare in lower case without a final dot
-or ``www.``; query and fragment don't count; repeated captures each get a row; other columns are not read;
+or ``www.``, paths as written; query and fragment don't count; repeated captures each get a row; other columns are not read;
 empty tables: no captures give no rows, no entries keep every capture.
 """
 
@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKET = 30 * 86400  # seconds of a time bucket
-PARTS = 6            # domain labels and path folders that entries may name
 
 
 def host_of(url) -> Column:
@@ -40,16 +39,18 @@ def path_of(url) -> Column:
 
 def keys_of(host: str, path: str) -> Column:
     """Keys that a URL answers to, with their rank: path folders first, then the longer domain."""
-    domains = f"""transform(sequence(1, least({PARTS}, greatest(1, size(split({host}, '[.]')) - 1))),
-        i -> struct(array_join(slice(split({host}, '[.]'), i, 100), '.') as key, {PARTS} + i as rank))"""
-    folders = f"""transform(filter(sequence({PARTS}, 1, -1), i -> i < size(split({path}, '/'))),
-        i -> struct(concat({host}, array_join(slice(split({path}, '/'), 1, i), '/'), '/') as key, {PARTS} - i as rank))"""
+    labels, parts = f"split({host}, '[.]')", f"split({path}, '/')"
+    domains = f"""transform(sequence(1, size({labels})),
+        i -> struct(array_join(slice({labels}, i, size({labels})), '.') as key, i as rank))"""
+    folders = f"""transform(filter(sequence(size({parts}), 1, -1), i -> i < size({parts})),
+        i -> struct(concat({host}, array_join(slice({parts}, 1, i), '/'), '/') as key, -i as rank))"""
     return F.expr(f"concat({folders}, {domains})")
 
 
 def intervals(entries: DataFrame) -> DataFrame:
     """(key, action, since, until) from ``entries(key, action, since)``; an open end is null."""
-    e = entries.select(F.lower("key").alias("key"), "action", F.col("since").cast("timestamp").alias("since")) \
+    host = F.substring_index("key", "/", 1)  # paths keep their case
+    e = entries.select(F.concat(F.lower(host), F.expr("substr(key, length(substring_index(key, '/', 1)) + 1)")).alias("key"), "action", F.col("since").cast("timestamp").alias("since")) \
         .filter("key is not null and since is not null and action is not null")
     e = e.groupBy("key", "since").agg(F.min("action").alias("action"))  # one entry a key and date
     # one key's dates only, each once: the log of a single host
