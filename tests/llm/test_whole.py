@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from triage.llm import pieces, url_filter
+from triage.llm import pieces, secret_scan, url_filter
 
 
 def test_dropout_varies_by_document_and_occurrence():
@@ -33,3 +33,17 @@ def test_urls_of_any_depth_and_path_case(spark):
     got = {r.page_id: (r.verdict, r.key) for r in url_filter.judge(cap, ent).collect()}
     assert got == {0: ("block", "example.org"), 1: ("block", f"h.net/{folders}/"), 2: ("block", "ru"), 3: ("block", "c.com/EN/"),
                    4: ("none", None), 5: ("block", "deep.io")}
+
+
+@pytest.mark.parametrize("text", ["URL=https://api.x.io/v1\nKEY={}", "https://api.x.io/v1\t{}", '{{"u":"https://a.io","k":"{}"}}', "a https://a.io/x,{} b", "(https://a.io){}"])
+def test_secrets_after_a_url(text):
+    key = "A9fK2mQ8zL1vX7cB4nR6tY3wPq"
+    full = text.format(key)
+    assert any(a <= full.index(key) and b >= full.index(key) + len(key) for _, a, b in secret_scan.find(full)[1])
+
+
+def test_urls_end_to_end_and_short_candidates():
+    for clean in ("https://example.net/" + "a/" * 400 + "A9fK2mQ8zL1vX7cB4nR6tY3wPq", "https://a.io/x?y=1&z=A9fK2mQ8zL1vX7cB4nR6tY3wPq"):
+        assert secret_scan.find(clean) == ([], [])
+    for key in ("k9-Qz7_Lm2-Xv8_Rt4-Bn6w", "k9-Qz7+Lm2/Xv8_Rt4Bn"):
+        assert [k for k, *_ in secret_scan.find(f"see {key} here")[1]] == ["entropy"]

@@ -6,7 +6,7 @@ identifiers; for each of its character classes (hex, letters and digits, base64)
 over the stretches of that class, symbol counts change by one in and one out, and so does the sum
 that gives the window's Shannon entropy. Windows at or above the class's threshold are joined to
 spans. Allow-listed candidates (word-like, UUIDs, repeated patterns, placeholders, runs within a
-URL or path of words) are dropped before the scan. Spans that overlap a base span are not
+URL, paths of words) are dropped before the scan. Spans that overlap a base span are not
 added again.
 
 Spans are (kind, start, end) in code points of the text, end exclusive, by start and then in the
@@ -37,9 +37,12 @@ ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("(?<![0-9a-f])[0-9a-f]{16,}")
 
 # (class, its characters, window, bits of entropy a symbol)
-CLASSES = (("hex", "0-9a-fA-F", 20, 3.0), ("alnum", "0-9A-Za-z", 20, 3.7), ("base64", "0-9A-Za-z+/_=-", 24, 4.0))
+CLASSES = (("hex", "0-9a-fA-F", 20, 3.0), ("alnum", "0-9A-Za-z", 20, 3.7), ("base64", "0-9A-Za-z+/_=-", 24, 4.0),
+           ("short", "0-9A-Za-z+/_=-", 20, 3.8))  # as base64, for the shortest candidate
 CANDIDATE = re.compile("(?<![0-9A-Za-z+/_=-])[0-9A-Za-z+/_=-]{20,}")
 STRETCH = {name: re.compile(f"[{chars}]{{{size},}}") for name, chars, size, _ in CLASSES}
+# a URL after its scheme; white space, quotes, commas, brackets and braces end it
+URL = re.compile(r"://[\w.~:/?#@!$&*+;=%-]*")
 # fixed values: allow-list of what looks random and is no secret
 ALLOW = tuple(re.compile(p) for p in (
     r"[A-Za-z]+(?:[-_/][A-Za-z]+)*",                                                   # words and paths of words
@@ -90,12 +93,15 @@ def windows(s: str, size: int, least: float):
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
-    out = []
+    out, urls, last = [], URL.finditer(text), (0, 0)
     for m in CANDIDATE.finditer(text):
         s = m[0]
+        while last and last[1] <= m.start():
+            u = next(urls, None)
+            last = u and u.span()
         if any(p.fullmatch(s) for p in ALLOW) or not any(c.isdigit() for c in s):
             continue
-        if "://" in text[max(0, m.start() - 300):m.start()].rpartition(" ")[2]:
+        if last and last[0] < m.start():
             continue
         for name, _, size, least in CLASSES:
             for r in STRETCH[name].finditer(s):
