@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from triage.llm import pieces, secret_scan, url_filter
+from triage.llm import pieces, pii, secret_scan, url_filter
 
 
 def test_dropout_varies_by_document_and_occurrence():
@@ -47,3 +47,24 @@ def test_urls_end_to_end_and_short_candidates():
         assert secret_scan.find(clean) == ([], [])
     for key in ("k9-Qz7_Lm2-Xv8_Rt4-Bn6w", "k9-Qz7+Lm2/Xv8_Rt4Bn"):
         assert [k for k, *_ in secret_scan.find(f"see {key} here")[1]] == ["entropy"]
+
+
+@pytest.mark.parametrize(("text", "kind", "hit"), [
+    ("call +1 six three two 555 4827 ok", "phone", "+1 six three two 555 4827"),
+    ("ip 10 dot 0 dot 0 dot 1 ok", "ip", "10 dot 0 dot 0 dot 1"),
+    ("ip ten 10 dot zero dot 0 dot one", "ip", "10 dot zero dot 0 dot one"),
+    ("mail jo at example.com now", "email", "jo at example.com"),
+    ("x \U0001d423\U0001d428@\U0001d41e\U0001d431.\U0001d41c\U0001d428\U0001d426", "email", "\U0001d423\U0001d428@\U0001d41e\U0001d431.\U0001d41c\U0001d428\U0001d426"),
+    ("+\u09e7 \u09ec\u09e9\u09e8 \u09eb\u09eb\u09eb \u09ea\u09ee\u09e8\u09ed", "phone", "+\u09e7 \u09ec\u09e9\u09e8 \u09eb\u09eb\u09eb \u09ea\u09ee\u09e8\u09ed"),
+    ("\u0e51\u0e50.0.0.\u0e51", "ip", "\u0e51\u0e50.0.0.\u0e51"),
+    ("+１ 632 555 4827 0000 one", "phone", "+１ 632 555 4827 0000"),
+])
+def test_short_and_other_disguises(text, kind, hit):
+    at = text.index(hit)
+    assert (kind, at, at + len(hit)) in pii.find(text)[1]
+    assert hit not in pii.mask(text)
+
+
+@pytest.mark.parametrize("text", ["we meet at 5.30 today", "one of two at home", "the dot 3 dot plot", "look at this. Then"])
+def test_words_that_are_no_disguise(text):
+    assert pii.find(text) == ([], [])

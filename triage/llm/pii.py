@@ -4,7 +4,10 @@ Base patterns (email, ip, card, phone) are found in the text as their contract s
 transducers rewrite the text into a plain form and note for every character of it the source span
 it came from: homoglyphs and full-width forms become ASCII, spelled digits become digits, "at" and
 "dot" disguises (bracketed, or spelled out between a name and a domain) become ``@`` and ``.``;
-invisible characters vanish. The same identifiers are sought there, and a hit that a rewrite
+invisible characters vanish. Two forms are made: a narrow one (runs of four spelled digits; bare "at"
+and "dot" only where both are spelled) and a wide one (every spelled digit, every bare "dot" between
+digits, every bare "at" before a dotted domain), so that a rewrite of the wide form which spoils a
+hit doesn't lose it. The same identifiers are sought in both, and a hit that a rewrite
 touched is mapped back to the source characters. A hit that overlaps a base span is added only if
 it holds that span and more.
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -46,13 +50,20 @@ HOMOGLYPHS = dict(zip("асеорхуіјѕАВСЕНКМОРТХ"
                       "αονρΑΒΕΖΗΙΚΜΝΟΡΤΧ",
                       "aceopxyijsABCEHKMOPTXaovpABEZHIKMNOPTX", strict=True))
 INVISIBLE = frozenset("​‌‍⁠­﻿")
-ODD = re.compile("[­​-‍⁠﻿Α-ωА-ј！-～²³¹⁰-₉٠-٩۰-۹०-९]")
 SPELL = re.compile(r"(?i)\b(?:%s)\b(?:[\x20.,-]{0,2}\b(?:%s)\b){3,}" % (("|".join(SPELLED),) * 2))
+SPELL_ANY = re.compile(SPELL.pattern.replace("{3,}", "*"))
 SPELL_ONE = re.compile("(?i)" + "|".join(SPELLED))
 # bracketed disguises anywhere; bare words only between a name and a domain that ends in "dot word"
 AT_DOT = re.compile(r"(?i)\x20*(?:[\[({<]\x20*(at|dot)\x20*[\])}>])\x20*")
 BARE = re.compile(r"(?i)\b[A-Za-z0-9._%+-]+(\x20+at\x20+)[A-Za-z0-9-]+(?:(?:\x20+dot\x20+|\.)[A-Za-z0-9-]+)*(?:\x20+dot\x20+)[A-Za-z0-9-]+")
 BARE_DOT = re.compile(r"(?i)\x20+dot\x20+")
+# wide form: "dot" between digits, "at" between a name and a domain that ends in letters
+A_DIGIT = r"(?:\d|\b(?:%s)\b)" % "|".join(SPELLED)
+DIGIT_DOT = re.compile(rf"(?i)\x20+dot\x20+(?={A_DIGIT})")
+DIGIT_BEFORE = re.compile(rf"(?i){A_DIGIT}$")
+BARE_AT = re.compile(r"(?i)(?<=[A-Za-z0-9._%+-])\x20+at\x20+(?=[A-Za-z0-9-])")
+DOTTED = re.compile(r"(?i)[A-Za-z0-9-]++(?:(?:\x20+dot\x20+|\.)[A-Za-z0-9-]++)+")
+LETTERS_LAST = re.compile(r"[A-Za-z]{2,}$")
 SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])\x20?@\x20?(?=[A-Za-z0-9-]+\x20?\.)")
 
 
@@ -101,20 +112,24 @@ def identifiers(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def rewrites(text: str) -> list[tuple[int, int, str]]:
+def plain_of(c: str) -> str | None:
+    """ASCII form of a character that isn't ASCII: look-alike, NFKC or decimal value; none: null."""
+    plain = "" if c in INVISIBLE else HOMOGLYPHS.get(c) or unicodedata.normalize("NFKC", c)
+    if len(plain) == 1 and not plain.isascii() and plain.isdecimal():
+        plain = str(unicodedata.decimal(plain))
+    return plain if plain.isascii() else None
+
+
+def rewrites(text: str, wide: bool = False) -> list[tuple[int, int, str]]:
     """(start, end, plain form) of every disguise, in order and apart from each other."""
     out = []
     if not text.isascii():
-        for m in ODD.finditer(text):
-            c = m[0]
-            plain = "" if c in INVISIBLE else HOMOGLYPHS.get(c) or unicodedata.normalize("NFKC", c)
-            if len(plain) == 1 and not plain.isascii() and plain.isdecimal():
-                plain = str(unicodedata.decimal(plain))
-            if plain != c and plain.isascii():
-                out.append((m.start(), m.end(), plain))
+        odd = {c: p for c in set(text) if not c.isascii() and (p := plain_of(c)) is not None}
+        if odd:
+            out += [(i, i + 1, odd[c]) for i, c in enumerate(text) if c in odd]
     low = text.lower()
-    if sum(low.count(w) for w in SPELLED) >= 4:
-        for m in SPELL.finditer(text):
+    if any(w in low for w in SPELLED) if wide else sum(low.count(w) for w in SPELLED) >= 4:
+        for m in (SPELL_ANY if wide else SPELL).finditer(text):
             at = m.start()
             for d in SPELL_ONE.finditer(m[0]):
                 # spaces and marks between two spelled digits go with the digit after them
@@ -129,6 +144,14 @@ def rewrites(text: str) -> list[tuple[int, int, str]]:
             for m in BARE.finditer(text):
                 out.append((m.start(1), m.end(1), "@"))
                 out += [(m.end(1) + d.start(), m.end(1) + d.end(), ".") for d in BARE_DOT.finditer(text[m.end(1):m.end()])]
+        if wide and " dot " in low:
+            out += [(m.start(), m.end(), ".") for m in DIGIT_DOT.finditer(text) if DIGIT_BEFORE.search(text, max(0, m.start() - 6), m.start())]
+        if wide and " at " in low:
+            for m in BARE_AT.finditer(text):
+                d = DOTTED.match(text, m.end())
+                if d and LETTERS_LAST.search(d[0]):
+                    out.append((m.start(), m.end(), "@"))
+                    out += [(m.end() + x.start(), m.end() + x.end(), ".") for x in BARE_DOT.finditer(d[0])]
     if " @" in text or "@ " in text:
         out += [(m.start(), m.end(), "@") for m in SPACED_AT.finditer(text)]
     apart, last = [], 0
@@ -139,16 +162,32 @@ def rewrites(text: str) -> list[tuple[int, int, str]]:
     return apart
 
 
-def transduce(text: str, changes: list[tuple[int, int, str]]):
-    """(plain text, source start, source end of each of its characters, changed or not)."""
-    parts, starts, ends, changed, at = [], [], [], [], 0
-    for a, b, plain in [*changes, (len(text), len(text), "")]:
-        parts += [text[at:a], plain]
-        starts += [*range(at, a), *[a] * len(plain)]
-        ends += [*range(at + 1, a + 1), *[b] * len(plain)]
-        changed += [False] * (a - at) + [True] * len(plain)
-        at = b
-    return "".join(parts), starts, ends, changed
+class Plain:
+    """Plain text of a rewriting, and where its characters come from."""
+
+    def __init__(self, text: str, changes: list[tuple[int, int, str]]):
+        parts, at, to = [], 0, 0
+        self.changes, self.lo, self.hi = changes, [], []  # lo, hi: places of the plain forms
+        for a, b, plain in changes:
+            parts += [text[at:a], plain]
+            self.lo.append(to + a - at)
+            to = self.lo[-1] + len(plain)
+            self.hi.append(to)
+            at = b
+        self.text = "".join([*parts, text[at:]])
+
+    def source(self, i: int) -> tuple[int, int]:
+        """Start and end in the source of the plain text's character ``i``."""
+        k = bisect_right(self.hi, i)  # the changes before it
+        if k < len(self.lo) and self.lo[k] <= i:
+            return self.changes[k][:2]
+        at = i + (self.changes[k - 1][1] - self.hi[k - 1] if k else 0)
+        return at, at + 1
+
+    def touched(self, a: int, b: int) -> bool:
+        """Whether a change lies in the plain text from ``a`` to ``b``; one that vanished, between two characters."""
+        k = bisect_right(self.hi, a)
+        return k < len(self.lo) and self.lo[k] < b
 
 
 def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -156,18 +195,19 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     if not text:
         return [], []
     base = identifiers(text)
-    more = []
-    changes = rewrites(text)
-    if changes:
-        plain, starts, ends, changed = transduce(text, changes)
-        gone = {a for a, _, p in changes if not p}
-        for a, k, b in identifiers(plain):
-            lo, hi = starts[a], ends[b - 1]
-            if not any(changed[a:b]) and not any(lo < g < hi for g in gone):
+    more: set[tuple[int, int, int]] = set()
+    narrow, wide = rewrites(text), rewrites(text, True)
+    for changes in ([narrow] if narrow == wide else [narrow, wide]):
+        if not changes:
+            continue
+        plain = Plain(text, changes)
+        for a, k, b in identifiers(plain.text):
+            if not plain.touched(a, b):
                 continue
+            lo, hi = plain.source(a)[0], plain.source(b - 1)[1]
             if all(hi <= x or y <= lo or (lo <= x and y <= hi and hi - lo > y - x) for x, _, y in base):
-                more.append((lo, k, hi))
-    return ([(KINDS[k], a, b) for a, k, b in base], [(KINDS[k], a, b) for a, k, b in sorted(base + more)])
+                more.add((lo, k, hi))
+    return ([(KINDS[k], a, b) for a, k, b in base], [(KINDS[k], a, b) for a, k, b in sorted([*base, *more])])
 
 
 def scan(docs: DataFrame) -> DataFrame:
