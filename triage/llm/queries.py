@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triage.llm import decontam, licenses, pieces, pii, quality, quality_rules, secret_scan, url_filter
+from triage.llm import (collocations, decontam, fill_middle, html_extract, licenses, pieces, pii, quality, quality_rules,
+                        secret_scan, url_filter)
 from triage.llm.common import table
 from triage.llm.jaccard import jaccard_join
 from triage.llm.suffix_dedup import remove_repeats
@@ -248,3 +249,60 @@ latest as (
   group by all),
 best as (select * from latest where action <> 'remove' qualify row_number() over (partition by page_id order by depth desc) = 1)
 select u.page_id, host, epoch(u.fetched)::bigint fetched_s, coalesce(action, 'none') verdict, key, epoch(since)::bigint since_s from u left join best using (page_id)"""
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), longest=4, least=30, covered=80, best=2000)
+
+
+SQL["op11_phrase_collocations"] = r"""
+with d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) piece from d),
+w as (select lang, [x for x in regexp_split_to_array(piece, '[ \t]+') if x <> ''] w from p),
+g as (select lang, k, unnest([w[i:i + k - 1] for i in range(1, len(w) - k + 2)]) g from w, (values (1), (2), (3), (4)) ks(k) where len(w) >= k),
+f as (select lang, k, g, count(*) f from g group by all),
+n as (select lang, sum(f)::bigint n from f where k = 1 group by lang),
+c as (select * from f where k > 1 and f >= 30),
+cuts as (select lang, k, g, f a, unnest(range(1, k)) cut from c),
+sc as (
+  select cuts.lang, cuts.k, cuts.g, cuts.a, cut, x.f l, y.f r, (2000000::hugeint * cuts.a::hugeint // (x.f::hugeint + y.f::hugeint))::bigint score
+  from cuts join f x on x.lang = cuts.lang and x.g = cuts.g[1:cut] join f y on y.lang = cuts.lang and y.g = cuts.g[cut + 1:cuts.k]),
+low as (select * from sc qualify row_number() over (partition by lang, g order by score, cut) = 1),
+inner_ as (
+  select lang, f, unnest(flatten([[g[i:i + s - 1] for i in range(1, k - s + 2)] for s in range(2, k)])) g from c where k > 2),
+longer as (select lang, g, max(f) f from inner_ group by all),
+kept as (
+  select low.*, array_to_string(low.g, ' ') phrase from low left join longer on longer.lang = low.lang and longer.g = low.g
+  where longer.f is null or 100 * longer.f::hugeint < 80 * low.a::hugeint),
+best as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) "rank" from kept)
+select best.lang, "rank", phrase, a, l, r, n, score from best join n on n.lang = best.lang where "rank" <= 2000"""
+
+
+@query
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = fill_middle.transform(table(spark, sf_dir, "documents"), unit="char", seed=1)
+    return got.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+SQL["op13_fill_middle"] = """
+with d as (select doc_id, coalesce(text, '') t, length(coalesce(text, '')) n, sha256('1:' || coalesce(doc_id::varchar, '')) h from documents),
+h as (select *, ('0x' || h[1:8])::bigint h1, ('0x' || h[9:16])::bigint h2, ('0x' || h[17:24])::bigint h3, ('0x' || h[25:32])::bigint h4 from d),
+c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) i, greatest(h1 % (n + 1), h2 % (n + 1)) j,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+              when h4 % 100 < 20 then 'spm' else 'psm' end form from h)
+select doc_id, n::bigint n, form, case when form <> 'plain' then i::bigint end prefix_chars, case when form <> 'plain' then (j - i)::bigint end middle_chars,
+       sha256(case form when 'plain' then t
+              when 'psm' then '<P>' || substring(t, 1, i) || '<S>' || substring(t, j + 1) || '<M>' || substring(t, i + 1, j - i)
+              else '<S>' || substring(t, j + 1) || '<P>' || substring(t, 1, i) || '<M>' || substring(t, i + 1, j - i) end) output_sha256,
+       sha256(t) restored_sha256
+from c"""
