@@ -491,14 +491,17 @@ def layout(seed: int) -> str:
 def fit(pages: DataFrame | None, sample: int = SAMPLE, layouts: int = LAYOUTS) -> Model:
     """Train on ``layouts`` composed pages and at most ``sample`` pages that name their article.
 
-    These are picked by a hash of their number and are at most ``MAX_CHARS`` long, which bounds
-    what comes to the driver.
+    These are picked by their smallest hashes (first the hashes alone, then their pages) and are at
+    most ``MAX_CHARS`` long, which bounds what comes to the driver.
     """
     trees = [parse(layout(i)) for i in range(layouts)]
     masked = [i % 4 == 3 for i in range(layouts)]
     if pages is not None:
         named = pages.filter(F.length("html") <= MAX_CHARS).filter(F.col("html").rlike("(?i)<(article|main)[ >]"))
-        for row in named.orderBy(F.xxhash64("page_id"), "page_id", "html").select("html").limit(sample).collect():
+        named = named.select("html", F.xxhash64("page_id", "html").alias("pick"))
+        last = named.select("pick").distinct().orderBy("pick").limit(sample).agg(F.max("pick")).first()[0]
+        picked = named.filter(F.col("pick") <= last).dropDuplicates(["pick"]).collect() if last is not None else []
+        for row in sorted(picked, key=lambda r: r.pick):
             tree = parse(row.html)
             trees += [tree, tree]
             masked += [False, True]
