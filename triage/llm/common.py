@@ -86,7 +86,7 @@ def bloom_fit(keys: DataFrame, col: str, max_bits: int = 1 << 27) -> tuple[np.nd
     kind = "block long, bitmap binary"
     blocks = keys.mapInArrow(local, kind).groupBy("block").applyInArrow(either, kind)
     out = np.zeros(bits // 8, dtype=np.uint8)
-    for row in blocks.toLocalIterator():
+    for row in blocks.collect():  # one job; at most max_bits / 8 bytes
         at = row.block * (BLOCK_BITS // 8)
         out[at:at + BLOCK_BITS // 8] = np.frombuffer(bytes(row.bitmap), dtype=np.uint8)
     return out, bits
