@@ -52,3 +52,10 @@ def test_no_round_robin_exchange(plans):
 def test_gateway_filters_empty_values_before_its_join(plans):
     p = plans["gateway_decisions"]
     assert "NestedLoop" not in p
+
+
+def test_no_filter_cleans_text(spark, registry):
+    """A filter that Catalyst pushes below a projection repeats its expressions, the whole cleaning chain at worst."""
+    for name in ("content_duplicates", "clean_plain", "clean_html", "text_metrics", "fetch_outcome"):
+        p = registry[name].run(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        assert not [x for x in p.splitlines() if re.search(r"[-+] Filter|^Filter", x) and "regexp_replace" in x], name

@@ -2,7 +2,8 @@
 
 * ``join_null_safe``: SQL ``GROUP BY`` treats null as a key; re-joining two aggregates on such
   keys must use ``<=>`` or the null group is lost.
-* ``contains_join``: theta join "text contains pattern" (C13) as an equi-join on substrings.
+* ``contains_join``: theta join "text contains pattern" (C13): a dictionary of the distinct texts
+  meets an index of the patterns' first characters.
 * ``first_by_priority``: argmin after a join (C15) as ``min_by`` over a total order.
 """
 
@@ -25,21 +26,24 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str) -> DataFrame:
+def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str, gram: int = 4) -> DataFrame:
     """Rows of ``texts`` x ``patterns`` where text contains pattern (non-empty patterns).
 
-    An equi-join at every size: each text gives its distinct substrings of the lengths that
-    patterns have, and those meet the patterns by hash. Equal text rows stay apart, as each row
-    explodes its own substrings. The lengths are one aggregate row, bounded by the longest pattern.
+    The distinct texts are a dictionary that is searched once, however many rows hold a text. The
+    patterns are indexed by their first ``gram`` characters (all of a shorter one): each distinct
+    text gives its distinct substrings of those one to ``gram`` lengths, an equi-join finds the
+    patterns that may start there, and the whole pattern is compared. Hits come back to the rows by
+    an equi-join on the text, so what is exploded grows with the dictionary and not with the rows.
     """
-    pats = patterns.filter(c(pattern_col).isNotNull() & (F.length(pattern_col) > 0))
-    lengths = pats.agg(F.collect_set(F.length(pattern_col)).alias("_lens"))  # one row
-    grams = F.expr(f"""array_distinct(flatten(transform(filter(_lens, n -> n <= length({text_col})),
-        n -> transform(sequence(1, length({text_col}) - n + 1), i -> substring({text_col}, i, n)))))""")
-    t = texts.filter(c(text_col).isNotNull()).withColumn("_lens", lengths.scalar())
-    t = t.select(*texts.columns, F.explode_outer(grams).alias("_gram"))  # outer: else the filter would build grams twice
-    return t.join(pats.withColumnRenamed(pattern_col, "_gram"), "_gram").select(
-        *texts.columns, c("_gram").alias(pattern_col), *[x for x in patterns.columns if x != pattern_col])
+    pats = patterns.filter(F.length(pattern_col) > 0).withColumn("_gram", F.substring(pattern_col, 1, gram))
+    lengths = pats.agg(F.collect_set(F.length("_gram")).alias("_lens"))  # one row of at most ``gram`` numbers
+    grams = F.expr("""array_distinct(flatten(transform(filter(_lens, n -> n <= length(_text)),
+        n -> transform(sequence(1, length(_text) - n + 1), i -> substring(_text, i, n)))))""")
+    words = texts.select(c(text_col).alias("_text")).filter("_text is not null").distinct().withColumn("_lens", lengths.scalar())
+    starts = words.select("_text", F.explode_outer(grams).alias("_gram"))  # outer: else the filter would build grams twice
+    hits = (starts.join(pats.withColumnRenamed(pattern_col, "_pattern"), "_gram").filter(F.expr("contains(_text, _pattern)"))
+            .select("_text", c("_pattern").alias(pattern_col), *[x for x in patterns.columns if x != pattern_col]))
+    return texts.join(hits, texts[text_col] == hits["_text"]).drop("_text")
 
 
 def first_by_priority(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],

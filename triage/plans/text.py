@@ -104,7 +104,8 @@ def content_duplicates(fx) -> DataFrame:
     # checkpoint in the shared folder instead of cleaning every body twice
     checkpoint_dir(fx.spark)
     f = clean_frame(fx.body.select("message_id", "content", "content_type"), limit=None).select(
-        "message_id", body_hash(c("body_text")).alias("body_hash")).filter("body_hash is not null").checkpoint(eager=True)
+        "message_id", body_hash(c("body_text")).alias("body_hash")).checkpoint(eager=True)
+    f = f.filter("body_hash is not null")  # of what is read back: a filter below would clean every body again
     g = (f.groupBy("body_hash").agg(F.min("message_id").alias("duplicate_of"), F.count(F.lit(1)).alias("copies"))
          .filter(c("copies") > 1))
     return f.join(g, "body_hash").select("message_id", "body_hash", "duplicate_of", c("copies").cast("bigint"))

@@ -18,6 +18,8 @@ from triage.sources.fixtures import Fixtures, with_fixtures
 PLAN_MODULES = (
     "triage.plans.reports",
     "triage.plans.mining",
+    "triage.plans.incremental",
+    "triage.plans.composite",
     "triage.plans.gateway",
     "triage.plans.audit",
     "triage.plans.text",
