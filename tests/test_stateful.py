@@ -11,6 +11,7 @@ from tests.conftest import rows
 from triage import AS_OF
 from triage.plans.sync import sender_learning, state_diff_df
 from triage.plans.work import fetch_outcome_df, retry_due
+from triage.streaming import jobs
 from triage.streaming.jobs import KeyedUpsert
 from triage.streaming.stateful import Trust, retry_stream, started, trust_stream
 
@@ -99,3 +100,36 @@ def test_window_looks_into_the_oldest_day_only():
     day = 86_400_000_000
     p.counts, p.times = Map({(3,): (2,), (4,): (7,), (1,): (9,)}), Map({(3,): ([3 * day + 5, 3 * day + 9],)})
     assert p._in_window(3 * day + 5) == 8 and p._in_window(3 * day) == 9 and p._in_window(4 * day - 1) == 7
+
+
+def test_gate_counts_decisions_that_come_later(spark):
+    """Stream-stream gate: shuffled arrivals, repeats, several decisions; same routes as over the whole tables."""
+    t0 = dt.datetime(2024, 1, 10)
+    at = lambda h: t0 + dt.timedelta(hours=h)
+    notes = [(f"m{i}", "updated", at(2 + i % 5)) for i in range(40)] + [(f"m{i}", "updated", at(2 + i % 5)) for i in range(0, 40, 4)]
+    made = [(f"m{i}", at(h)) for i in range(40) for h in ((1,) if i % 3 == 0 else (0, 1) if i % 3 == 1 and i % 2 else (40,) if i % 5 == 0 else ())]
+    made += [("m2", t0 - dt.timedelta(days=45))]
+    n_schema, d_schema = "message_id string, changeType string, received_at timestamp", "message_id string, decided_at timestamp"
+    n, d = spark.createDataFrame(notes, n_schema), spark.createDataFrame(made, d_schema)
+    end = at(24 * 60)
+    n_dir, d_dir = tempfile.mkdtemp(prefix="triage-land-"), tempfile.mkdtemp(prefix="triage-land-")
+    n.filter("hour(received_at) < 4").coalesce(1).write.parquet(f"{n_dir}/a")  # notes first: their decisions land after them
+    d.filter("message_id < 'm2'").coalesce(1).write.parquet(f"{d_dir}/a")
+    got, name = [], os.path.basename(n_dir)
+
+    def run_once():
+        notes_in = stream_of(spark, n_dir, n.schema, 10).withWatermark("received_at", "1 day")
+        out = jobs.gate_live(notes_in, stream_of(spark, d_dir, d.schema, 10), late="2 days")
+        started(out, lambda b, _: got.extend((r.message_id, r.route) for r in b.collect()), name, "append").awaitTermination()
+
+    run_once()
+    n.filter("hour(received_at) >= 4").coalesce(1).write.parquet(f"{n_dir}/b")
+    d.filter("message_id >= 'm2'").coalesce(1).write.parquet(f"{d_dir}/b")
+    run_once()
+    spark.createDataFrame([("end", "updated", end)], n_schema).coalesce(1).write.parquet(f"{n_dir}/c")
+    spark.createDataFrame([("other", end)], d_schema).coalesce(1).write.parquet(f"{d_dir}/c")
+    run_once()
+    run_once()
+    days = dt.timedelta(days=30)
+    want = {m: "sync_only" if any(x == m and r - days <= w <= r for x, w in made) else "classify" for m, _, r in notes}
+    assert sorted(x for x in got if x[0] != "end") == sorted(want.items()) and set(want.values()) == {"sync_only", "classify"}

@@ -158,6 +158,22 @@ def gate_stream(spark: SparkSession, landing: str, decisions: DataFrame, sink, n
             .option("checkpointLocation", _ckpt(spark, name)).trigger(availableNow=True).start())
 
 
+def gate_live(notes: DataFrame, decisions: DataFrame, back: str = "30 days", late: str = "1 hour") -> DataFrame:
+    """J4 with decisions as a stream, so that those made after the query's start count.
+
+    ``notes``: (message_id, changeType, received_at) with its watermark; ``decisions``: (message_id,
+    decided_at). A note is ``sync_only`` if a decision was made at most ``back`` before it, in
+    whichever order the two arrive; ``classify`` once the watermark says that none will come any
+    more. Each (message, change) is routed once, however many decisions and repeats there are.
+    State is bounded: decisions for ``back`` and ``late``, notes until the watermark has passed them.
+    """
+    d = decisions.select(c("message_id").alias("_decided"), "decided_at").withWatermark("decided_at", late)
+    met = F.expr(f"message_id = _decided and decided_at <= received_at and decided_at >= received_at - interval {back}")
+    routed = notes.join(d, met, "left_outer").select(
+        "message_id", "changeType", "received_at", F.when(c("_decided").isNotNull(), "sync_only").otherwise("classify").alias("route"))
+    return routed.dropDuplicatesWithinWatermark(["message_id", "changeType"])
+
+
 # --- J6 / J10: windowed aggregates --------------------------------------------------
 
 def corrections_window_stream(spark: SparkSession, landing: str, days: int = 30, slide: str = "1 day",
