@@ -65,6 +65,9 @@ def measures(docs: DataFrame, stratum: str | None = "lang") -> DataFrame:
     return d.select(*keep, F.coalesce(F.when(F.size("p") > 0, covered), F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
+BROADCAST_BYTES = 8 << 20  # cutoffs of all strata that are broadcast at most
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
@@ -110,6 +113,11 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang"
     measured = cut(measures(docs, stratum))
     chosen = cutoffs(measured, labels, risk, alpha).groupBy("stratum").agg(*[
         F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES])
+    chosen = cut(chosen)
+    # a few strata hold all rows: their cutoffs go to the rows; many strata spread over a shuffle by themselves
+    few = chosen.agg(F.count("*").alias("n"), F.max(F.length("stratum")).alias("w")).first()
+    if few.n * ((few.w or 0) + 64) <= BROADCAST_BYTES:
+        chosen = F.broadcast(chosen)
     d = measured.join(chosen, "stratum", "left").withColumn("base_failed", base_failed())
     hits = F.array_compact(F.array(*[F.when(rule_value(r) > F.col(f"cut_{r}"), F.lit(r)) for r in RULES]))
     return d.withColumn("rejected_by", hits).withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)) \
