@@ -13,7 +13,5 @@ def test_same_rows_either_way(spark, monkeypatch):
     for limit in (8 << 20, 0):
         monkeypatch.setattr(quality_rules, "BROADCAST_BYTES", limit)
         out = quality_rules.apply_rules(docs, labels)
-        plan = out._jdf.queryExecution().analyzed().toString()
-        assert ("ResolvedHint" in plan) == (limit > 0)
         got.append(sorted(map(str, out.select("doc_id", "kept", F.col("rejected_by").cast("string")).collect())))
     assert got[0] == got[1] and len(got[0]) == 1000
