@@ -7,12 +7,15 @@ every parent domain down to the last label (``example.org`` and ``org`` cover ``
 host with path prefixes (``a.example.org/x/``), of any number of labels and folders. The most specific active entry decides: the longest path, then the longest
 host. Actions: ``block`` drops the capture, ``allow`` keeps it, ``remove`` ends the entry before.
 
-The join is an equi-join on (key, time bucket) with the as-of condition on top: intervals are
-dealt to the buckets they touch, so a host with a third of all captures is spread over buckets,
-and intervals of a key don't overlap, so a capture meets one per key at most. Entries enter as a
-log of any size; nothing is broadcast by hand.
-
-Edge cases: entries with a null key or date are left out; of entries of equal key and date the
+The join is an equi-join on (key, time bucket) with the as-of condition on top, so a host with a
+third of all captures is spread over buckets. A bucket that captures of a key occupy gets the
+interval that holds when it begins (the last entry before it, by a window over the key's occupied buckets and
+entries) and those that begin in it; a bucket without captures costs nothing, so a stray date
+doesn't multiply open intervals. Intervals of a key don't overlap, so a capture meets one per key at
+most. A URL's keys go no deeper than the list's deepest entry: longer ones can't meet any. Entries
+enter as a log of any size; nothing but one row of depths is broadcast by hand.
+
+Edge cases: entries with a null key, date or action are left out; of entries of equal key and date the
 smaller action counts, repeated ones once; a capture with a null or unparsable URL or null time
 meets no list and is kept (``verdict`` none); host names compare in lower case without a final dot
 or ``www.``, paths as written; query and fragment don't count; repeated captures each get a row; other columns are not read;
@@ -37,14 +40,17 @@ def path_of(url) -> Column:
     return F.regexp_extract(url, r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)", 1)
 
 
-def keys_of(host: str, path: str) -> Column:
-    """Keys that a URL answers to, with their rank: path folders first, then the longer domain."""
-    labels, parts = f"split({host}, '[.]')", f"split({path}, '/')"
-    domains = f"""transform(sequence(1, size({labels})),
-        i -> struct(array_join(slice({labels}, i, size({labels})), '.') as key, i as rank))"""
-    folders = f"""transform(filter(sequence(size({parts}), 1, -1), i -> i < size({parts})),
-        i -> struct(concat({host}, array_join(slice({parts}, 1, i), '/'), '/') as key, -i as rank))"""
-    return F.expr(f"concat({folders}, {domains})")
+def keys_of(host: str, path: str, folders: str, labels: str) -> Column:
+    """Keys that a URL answers to, with their rank: path folders first, then the longer domain.
+
+    ``folders``, ``labels``: columns with the most slashes and host labels that a key may have.
+    """
+    l, p = f"split({host}, '[.]')", f"split({path}, '/')"
+    domains = f"""transform(sequence(greatest(1, least(size({l}), size({l}) - {labels} + 1)), size({l})),
+        i -> struct(array_join(slice({l}, i, size({l})), '.') as key, i as rank))"""
+    prefixes = f"""transform(filter(sequence(greatest(1, least(size({p}) - 1, {folders})), 1, -1), i -> i < size({p}) and i <= {folders}),
+        i -> struct(concat({host}, array_join(slice({p}, 1, i), '/'), '/') as key, -i as rank))"""
+    return F.expr(f"concat({prefixes}, {domains})")
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -68,17 +74,23 @@ def judge(captures: DataFrame, entries: DataFrame, bucket: int = BUCKET) -> Data
     # a capture's name: equal captures have equal verdicts
     c = c.select(F.coalesce("page_id", F.lit(-1)).alias("id"), F.xxhash64("url", "fetched").alias("row"), "page_id", "fetched",
                  host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    probe = c.filter("host is not null and fetched is not null").select(
-        "id", "row", "fetched", F.explode_outer(keys_of("host", "path")).alias("k")).select(
+    deepest = held.agg(  # one row
+        F.coalesce(F.max(F.expr("size(split(key, '/')) - 1")), F.lit(0)).alias("folders"),
+        F.coalesce(F.max(F.expr("size(split(substring_index(key, '/', 1), '[.]'))")), F.lit(1)).alias("labels"))
+    probe = c.filter("host is not null and fetched is not null").join(F.broadcast(deepest)).select(
+        "id", "row", "fetched", F.explode_outer(keys_of("host", "path", "folders", "labels")).alias("k")).select(
         "id", "row", "fetched", "k.key", "k.rank", F.floor(F.unix_timestamp("fetched") / bucket).alias("b"))
-    # only the span of the captures matters to open intervals
-    span = c.agg(F.floor(F.unix_timestamp(F.min("fetched")) / bucket).alias("lo"),
-                 F.floor(F.unix_timestamp(F.max("fetched")) / bucket).alias("hi"))  # one row
-    dealt = held.join(F.broadcast(span)).select(
-        "key", "action", "since", "until",
-        F.greatest(F.floor(F.unix_timestamp("since") / bucket), "lo").alias("b1"),
-        F.least(F.coalesce(F.floor(F.unix_timestamp("until") / bucket), "hi"), "hi").alias("b2")) \
-        .filter("b1 <= b2").select("key", "action", "since", "until", F.explode(F.sequence("b1", "b2")).alias("b"))
+    entry = F.struct("action", "since", "until")
+    occupied = probe.select("key", "b").distinct().join(held.select("key").distinct(), "key", "left_semi")
+    marks = occupied.select("key", F.timestamp_seconds(F.col("b") * bucket).alias("at"), "b", F.lit(None).cast(
+        "struct<action:string,since:timestamp,until:timestamp>").alias("e"))
+    line = marks.unionByName(held.select("key", F.col("since").alias("at"), F.lit(None).cast("long").alias("b"), entry.alias("e")))
+    # one key's occupied buckets and dates; at equal times the bucket first, as that entry begins inside it
+    before = F.expr("last(e, true) over (partition by key order by at, b is null rows between unbounded preceding and current row)")
+    carried = line.select("key", "at", "b", before.alias("e")).filter("b is not null and e is not null and (e.until is null or e.until > at)") \
+        .select("key", "b", "e.action", "e.since", "e.until")
+    begun = held.select("key", F.floor(F.unix_timestamp("since") / bucket).alias("b"), "action", "since", "until")
+    dealt = carried.unionByName(begun)
     met = probe.join(dealt, ["key", "b"]).filter("since <= fetched and (until is null or fetched < until)")
     best = met.groupBy("id", "row").agg(F.min(F.struct("rank", "action", "key", "since")).alias("m"))
     return c.join(best, ["id", "row"], "left").select(
