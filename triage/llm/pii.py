@@ -6,7 +6,8 @@ it came from: homoglyphs and full-width forms become ASCII, spelled digits becom
 "dot" disguises (bracketed, or spelled out between a name and a domain) become ``@`` and ``.``;
 invisible characters vanish. Two forms are made: a narrow one (runs of four spelled digits; bare "at"
 and "dot" only where both are spelled) and a wide one (every spelled digit, every bare "dot" between
-digits, every bare "at" before a dotted domain), so that a rewrite of the wide form which spoils a
+digits, a bare "at" before a domain with a spelled dot, or before any dotted domain where a word like "mail"
+or "contact" introduces the name), so that a rewrite of the wide form which spoils a
 hit doesn't lose it. The same identifiers are sought in both, and a hit that a rewrite
 touched is mapped back to the source characters. A hit that overlaps a base span is added only if
 it holds that span and more.
@@ -14,7 +15,7 @@ it holds that span and more.
 Spans are (kind, start, end) in code points of the source, end exclusive, by start and then in
 the order of ``KINDS``; found through a disguise, a span has the same kind. Edge cases: a null
 or empty text has no spans; repeated rows repeat their results; a null doc_id is kept; other columns
-are not read; an empty table gives no rows. Texts are read whole.
+are not read; an empty table gives no rows. Texts are read whole, in time linear in the text.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triage.llm.common import thin
-from triage.llm.secret_scan import scan_with
+from triage.llm.secret_scan import Covered, scan_with
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -54,16 +55,18 @@ SPELL = re.compile(r"(?i)\b(?:%s)\b(?:[\x20.,-]{0,2}\b(?:%s)\b){3,}" % (("|".joi
 SPELL_ANY = re.compile(SPELL.pattern.replace("{3,}", "*"))
 SPELL_ONE = re.compile("(?i)" + "|".join(SPELLED))
 # bracketed disguises anywhere; bare words only between a name and a domain that ends in "dot word"
-AT_DOT = re.compile(r"(?i)\x20*(?:[\[({<]\x20*(at|dot)\x20*[\])}>])\x20*")
-BARE = re.compile(r"(?i)\b[A-Za-z0-9._%+-]+(\x20+at\x20+)[A-Za-z0-9-]+(?:(?:\x20+dot\x20+|\.)[A-Za-z0-9-]+)*(?:\x20+dot\x20+)[A-Za-z0-9-]+")
-BARE_DOT = re.compile(r"(?i)\x20+dot\x20+")
-# wide form: "dot" between digits, "at" between a name and a domain that ends in letters
+AT_DOT = re.compile(r"(?i)(?:(?<!\x20)\x20++)?(?:[\[({<]\x20*+(at|dot)\x20*+[\])}>])\x20*+")
+BARE = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(\x20+at\x20+)[A-Za-z0-9-]+(?:(?:\x20+dot\x20+|\.)[A-Za-z0-9-]+)*(?:\x20+dot\x20+)[A-Za-z0-9-]+")
+BARE_DOT = re.compile(r"(?i)(?<!\x20)\x20++dot\x20++")
+# wide form: "dot" between digits, "at" between a name and a domain that ends in letters and either spells a
+# dot or is introduced by one of these words; without such a sign "look at example.com" is prose
+CUE = re.compile(r"(?i)(?:\be-?mails?|\bmail(?:to|box)?|\bcontact|\breach|\baddress|\bwrite|\bwriting|\binbox)(?:\x20(?:me|us|is|to|at|for|:|address))*[:=]?[\x20\t]*[\"'(<]?([A-Za-z0-9._%+-]{1,64})$")
+NO_NAMES = frozenset("me us him her them it you is to for at or and the a an by via our my your address out back here".split())
 A_DIGIT = r"(?:\d|\b(?:%s)\b)" % "|".join(SPELLED)
-DIGIT_DOT = re.compile(rf"(?i)\x20+dot\x20+(?={A_DIGIT})")
+DIGIT_DOT = re.compile(rf"(?i)(?<!\x20)\x20++dot\x20++(?={A_DIGIT})")
 DIGIT_BEFORE = re.compile(rf"(?i){A_DIGIT}$")
 BARE_AT = re.compile(r"(?i)(?<=[A-Za-z0-9._%+-])\x20+at\x20+(?=[A-Za-z0-9-])")
 DOTTED = re.compile(r"(?i)[A-Za-z0-9-]++(?:(?:\x20+dot\x20+|\.)[A-Za-z0-9-]++)+")
-LETTERS_LAST = re.compile(r"[A-Za-z]{2,}$")
 SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])\x20?@\x20?(?=[A-Za-z0-9-]+\x20?\.)")
 
 
@@ -120,6 +123,12 @@ def plain_of(c: str) -> str | None:
     return plain if plain.isascii() else None
 
 
+def introduced(text: str, end: int) -> bool:
+    """Whether the word that ends at ``end`` is a name that a word like "mail" or "contact" stands before."""
+    cue = CUE.search(text[max(0, end - 128):end])
+    return bool(cue) and cue[1].lower() not in NO_NAMES and any(c.isalpha() for c in cue[1])
+
+
 def rewrites(text: str, wide: bool = False) -> list[tuple[int, int, str]]:
     """(start, end, plain form) of every disguise, in order and apart from each other."""
     out = []
@@ -149,7 +158,7 @@ def rewrites(text: str, wide: bool = False) -> list[tuple[int, int, str]]:
         if wide and " at " in low:
             for m in BARE_AT.finditer(text):
                 d = DOTTED.match(text, m.end())
-                if d and LETTERS_LAST.search(d[0]):
+                if d and len(d[0]) > 1 and d[0][-2:].isalpha() and (" " in d[0] or introduced(text, m.start())):
                     out.append((m.start(), m.end(), "@"))
                     out += [(m.end() + x.start(), m.end() + x.end(), ".") for x in BARE_DOT.finditer(d[0])]
     if " @" in text or "@ " in text:
@@ -195,6 +204,7 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     if not text:
         return [], []
     base = identifiers(text)
+    covered, same = Covered(base), {(a, b) for a, _, b in base}
     more: set[tuple[int, int, int]] = set()
     narrow, wide = rewrites(text), rewrites(text, True)
     for changes in ([narrow] if narrow == wide else [narrow, wide]):
@@ -205,7 +215,7 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
             if not plain.touched(a, b):
                 continue
             lo, hi = plain.source(a)[0], plain.source(b - 1)[1]
-            if all(hi <= x or y <= lo or (lo <= x and y <= hi and hi - lo > y - x) for x, _, y in base):
+            if (lo, hi) not in same and covered.within(lo, hi):
                 more.add((lo, k, hi))
     return ([(KINDS[k], a, b) for a, k, b in base], [(KINDS[k], a, b) for a, k, b in sorted([*base, *more])])
 

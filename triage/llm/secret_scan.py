@@ -6,7 +6,7 @@ identifiers; for each of its character classes (hex, letters and digits, base64)
 over the stretches of that class, symbol counts change by one in and one out, and so does the sum
 that gives the window's Shannon entropy. Windows at or above the class's threshold are joined to
 spans. Allow-listed candidates (word-like, UUIDs, repeated patterns, placeholders, runs within a
-URL, paths of words) are dropped before the scan. Spans that overlap a base span are not
+URL, paths of words) are dropped before the scan, and so are candidates without a digit. Spans that overlap a base span are not
 added again.
 
 Spans are (kind, start, end) in code points of the text, end exclusive, by start and then in the
@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 import sys
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -115,12 +116,37 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
+class Covered:
+    """The places that spans (start, kind, end) in order cover, as intervals apart from each other."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.lo: list[int] = []
+        self.hi: list[int] = []
+        for a, _, b in spans:
+            if self.hi and a < self.hi[-1]:
+                self.hi[-1] = max(self.hi[-1], b)
+            else:
+                self.lo.append(a)
+                self.hi.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        """Whether a span overlaps the places from ``a`` to ``b``."""
+        k = bisect_right(self.hi, a)
+        return k < len(self.lo) and self.lo[k] < b
+
+    def within(self, a: int, b: int) -> bool:
+        """Whether every span that overlaps the places from ``a`` to ``b`` lies inside them."""
+        k, j = bisect_right(self.hi, a), bisect_left(self.lo, b) - 1
+        return k > j or (self.lo[k] >= a and self.hi[j] <= b)
+
+
 def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """(base spans, all spans) of a text, each in order."""
     if not text:
         return [], []
     base = base_spans(text)
-    more = [(a, 3, b) for a, b in entropy_spans(text) if not any(x < b and a < y for x, _, y in base)]
+    covered = Covered(base)
+    more = [(a, 3, b) for a, b in entropy_spans(text) if not covered.meets(a, b)]
     name = (*KINDS, "entropy")
     return ([(name[k], a, b) for a, k, b in base], [(name[k], a, b) for a, k, b in sorted(base + more)])
 
