@@ -26,6 +26,7 @@ PLAN_MODULES = (
     "triage.plans.work",
     "triage.plans.sync",
     "triage.plans.rules",
+    "triage.plans.versions",
     "triage.plans.snapshots",
     "triage.plans.ingest",
     "triage.plans.constraints",
