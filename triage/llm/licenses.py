@@ -1,18 +1,21 @@
 """Operator 2 [native]: licence scan by sparse TF-IDF cosine and directory inheritance.
 
-``scan(files(path, text))``: every line of every file is compared with the licence templates by the
+``scan(files(path, text))``: every line and every sentence (across line breaks) of every file, header
+or licence text, is compared with the licence templates by the
 cosine of their TF-IDF vectors. Document frequencies of the templates' terms are counted over all
-files; a term outside the templates weighs as one that no file has. A line of cosine ``least`` or
+files; a term outside the templates weighs as one that no file has. A unit of cosine ``least`` or
 more must have one of a template's heaviest terms (those left out can't reach ``least`` by
-themselves: the prefix rule), so only lines with such a term become vectors, and equal lines once.
+themselves: the prefix rule), so only units with such a term become vectors, and equal ones once.
+Licences of one family differ by a version or a variant word only; a unit counts for such a
+template if its words of ``VARIANTS`` are the template's.
 
-A file's own licence is its best line's. A licence file (by its name, or marked so in a column)
+A file's own licence is its best unit's. A licence file (by its name, or marked so in a column)
 speaks for its directory; a file without an own licence inherits that of the nearest ancestor
 directory with one, by equi-joins on directory paths. Where a directory has licence files of
 several licences the most frequent one counts (ties: the smaller name).
 
 Result per file: its columns but the text, ``license`` (null: none), ``origin`` (own, inherited, none), ``score``
-of the own line (rounded to 6 digits) and ``from_dir`` of an inherited one. Edge cases: null and
+of the own unit (rounded to 6 digits) and ``from_dir`` of an inherited one. Edge cases: null and
 empty texts have no own licence; a null path has no directory and inherits the root's; ties between
 templates go to the smaller name; repeated rows each get a row; other columns pass through (those
 named like a result column are replaced); an empty table gives no rows.
@@ -40,9 +43,27 @@ TEMPLATES = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     ("all-rights-reserved", "All rights reserved."),
 )
+# fixed values: families by their names' pattern, and the words that tell their licences apart
+VARIANTS = (("gnu", "GPL", ("2", "3", "affero", "lesser", "library")),
+            ("cc", "^CC-", ("nc", "nd", "noncommercial", "noderivatives", "sa", "sharealike")))
 LEAST = 0.7
+SENTENCE = "[.;!?][ \\t\\r\\n]+|\\n[ \\t\\r]*\\n"
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)[^/]*$"
 RESULT = ("license", "origin", "score", "from_dir")
 
@@ -52,6 +73,11 @@ def terms(text) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
+def marks(words, variants) -> Column:
+    """The words among ``variants``, sorted and joined."""
+    return F.array_join(F.array_sort(F.array_intersect(F.array_distinct(words), F.array(*[F.lit(v) for v in variants]))), " ")
+
+
 def directory(path: Column) -> Column:
     """What stands before the last slash; the root is empty."""
     return F.regexp_extract(F.coalesce(path, F.lit("")), r"^(.*)/[^/]*$", 1)
@@ -84,13 +110,19 @@ def vectors(lines: DataFrame, key: list[str], idf: DataFrame, other: DataFrame)
 
 
 def own_lines(files: DataFrame, key: str, least: float = LEAST) -> DataFrame:
-    """(key, line_no, license, score) of each line that a template explains."""
+    """(key, line_no, license, score) of each line and sentence that a template explains; a sentence's
+    number is its place among the sentences."""
     spark = files.sparkSession
     listed = F.array(*[F.struct(F.lit(i).alias("t"), F.lit(name).alias("license"), F.lit(text).alias("text"))
                        for i, (name, text) in enumerate(TEMPLATES)])
     templates = cut(spark.range(1).select(F.inline(listed)).select("t", "license", terms(F.col("text")).alias("terms")))
+    agree = F.lit(True)
+    for family, names, words in VARIANTS:
+        templates = templates.withColumn(f"{family}_t", F.when(F.col("license").rlike(names), marks(F.col("terms"), words)).otherwise("any"))
+        agree = agree & ((F.col(f"{family}_t") == "any") | (F.col(f"{family}_t") == F.col(family)))
+    of_template = [x for x in templates.columns if x != "terms"]
     idf, other = weights(files, templates)
-    of = cut(vectors(templates, ["t", "license"], idf, other))
+    of = cut(vectors(templates, of_template, idf, other))
     # heaviest terms of each template; the rest of its vector is shorter than ``least``
     rows, by = of.collect(), {}
     for r in rows:
@@ -105,18 +137,22 @@ def own_lines(files: DataFrame, key: str, least: float = LEAST) -> DataFrame:
             rest -= w * w
     # whole texts first: few have a heavy term at all
     near = files.filter(F.arrays_overlap(terms(F.coalesce("text", F.lit(""))), F.array(*[F.lit(t) for t in sorted(heavy)]).cast("array<string>")))
-    lines = near.select(key, F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    unit = lambda by: F.transform(F.split(F.coalesce("text", F.lit("")), by), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
+    lines = near.select(key, F.explode_outer(F.concat(unit("\n"), unit(SENTENCE))).alias("u")).select(key, "u.*").distinct()
     if heavy:
         lines = lines.filter(F.col("line").rlike(r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(sorted(heavy)) + r")(?![\p{L}\p{N}])"))
     else:
         lines = lines.limit(0)
-    lines = cut(lines)
-    distinct = lines.select("line").distinct().select("line", terms(F.col("line")).alias("terms"))
-    dots = vectors(distinct, ["line"], idf, other).join(F.broadcast(of.withColumnRenamed("w", "tw")), "term") \
-        .groupBy("line", "t", "license").agg(F.round(F.sum(F.col("w") * F.col("tw")), 6).alias("score")).filter(F.col("score") >= least)
-    best = dots.groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b")) \
-        .select("line", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
-    return lines.join(best, "line").select(key, "line_no", "license", "score")
+    # a unit goes by its hash: its terms, many in a long line, must not carry its text
+    lines = cut(lines.withColumn("unit", F.sha2("line", 256)))
+    distinct = lines.select("unit", "line").distinct().select("unit", terms(F.col("line")).alias("terms")) \
+        .select("*", *[marks(F.col("terms"), words).alias(family) for family, _, words in VARIANTS])
+    of_unit = [x for x in distinct.columns if x != "terms"]
+    dots = vectors(distinct, of_unit, idf, other).join(F.broadcast(of.withColumnRenamed("w", "tw")), "term").filter(agree) \
+        .groupBy("unit", "t", "license").agg(F.round(F.sum(F.col("w") * F.col("tw")), 6).alias("score")).filter(F.col("score") >= least)
+    best = dots.groupBy("unit").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b")) \
+        .select("unit", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
+    return lines.drop("line").join(best, "unit").select(key, "line_no", "license", "score")
 
 
 def scan(files: DataFrame, speaks: Column | None = None, least: float = LEAST) -> DataFrame:
@@ -124,7 +160,7 @@ def scan(files: DataFrame, speaks: Column | None = None, least: float = LEAST) -
     their first line are licence files beside those named so (default: none)."""
     files = files.drop(*RESULT).withColumn("_dir", directory(F.col("path")))
     # a file's key is its content's and path's: repeated rows share one result
-    files = files.withColumn("_key", F.xxhash64("path", "text"))
+    files = files.withColumn("_key", F.sha2(F.concat_ws("\0", F.coalesce("path", F.lit("")), F.coalesce("text", F.lit(""))), 256))
     found = own_lines(files.select("_key", "text"), "_key", least)
     own = found.groupBy("_key").agg(F.min(F.struct((-F.col("score")).alias("s"), "line_no", "license")).alias("b"),
                                     F.min("line_no").alias("_first")) \

@@ -156,8 +156,14 @@ def _op2_sql() -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     values = ", ".join(f"({i}, {quote(n)}, {quote(x)})" for i, (n, x) in enumerate(licenses.TEMPLATES))
     words = lambda c: f"[x for x in regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+') if x <> '']"
+    sentence = f"regexp_split_to_array(txt, '{licenses.SENTENCE}')"
+    own_marks = lambda c, vs: f"array_to_string(list_sort(list_intersect(list_distinct({c}), {list(vs)})), ' ')"
+    of_t = ", ".join(f"case when regexp_matches(license, '{names}') then {own_marks(words('txt'), vs)} end {f}_t" for f, names, vs in licenses.VARIANTS)
+    of_u = ", ".join(f"{own_marks(words('line'), vs)} {f}" for f, _, vs in licenses.VARIANTS)
+    agree = " and ".join(f"({f}_t is null or {f}_t = {f})" for f, *_ in licenses.VARIANTS)
     return f"""
-with t(t, license, txt) as (values {values}),
+with t0(t, license, txt) as (values {values}),
+t as (select *, {of_t} from t0),
 tw as (select t, license, unnest({words('txt')}) term from t),
 voc as (select distinct term from tw),
 d as (select doc_id, coalesce(source, 'unknown') || '/' || coalesce(lang, 'und') || '/' || (doc_id // 1000)::varchar dir, coalesce(text, '') txt from documents),
@@ -166,14 +172,16 @@ n as (select count(*) n from d),
 idf as (select term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 idf from voc left join df using (term) cross join n),
 tv as (select t, license, term, w / sqrt(sum(w * w) over (partition by t)) w from (
   select t, license, term, count(*) * any_value(idf) w from tw join idf using (term) group by all)),
-ln as (select doc_id, unnest(string_split(txt, chr(10))) line, generate_subscripts(string_split(txt, chr(10)), 1) - 1 line_no from d),
-lw as (select doc_id, line_no, unnest({words('line')}) term from ln),
-lv as (select doc_id, line_no, term, idf, w / sqrt(sum(w * w) over (partition by doc_id, line_no)) w from (
-  select doc_id, line_no, term, any_value(idf) idf, count(*) * coalesce(any_value(idf), ln((select n from n) + 1.0) + 1) w
+ln as (select doc_id, 'line' unit, unnest(string_split(txt, chr(10))) line, generate_subscripts(string_split(txt, chr(10)), 1) - 1 line_no from d
+       union all select doc_id, 'sentence', unnest({sentence}), generate_subscripts({sentence}, 1) - 1 from d),
+lm as (select doc_id, unit, line_no, {of_u} from ln),
+lw as (select doc_id, unit, line_no, unnest({words('line')}) term from ln),
+lv as (select doc_id, unit, line_no, term, idf, w / sqrt(sum(w * w) over (partition by doc_id, unit, line_no)) w from (
+  select doc_id, unit, line_no, term, any_value(idf) idf, count(*) * coalesce(any_value(idf), ln((select n from n) + 1.0) + 1) w
   from lw left join idf using (term) group by all)),
-sc as (select doc_id, line_no, license, t, round(sum(lv.w * tv.w), 6) score from lv join tv using (term) group by all),
-hit as (select * from sc where score >= {licenses.LEAST}),
-line as (select doc_id, line_no, license, score from hit qualify row_number() over (partition by doc_id, line_no order by score desc, license) = 1),
+sc as (select doc_id, unit, line_no, license, t, round(sum(lv.w * tv.w), 6) score from lv join tv using (term) group by all),
+hit as (select sc.* from sc join t using (t) join lm using (doc_id, unit, line_no) where score >= {licenses.LEAST} and {agree}),
+line as (select doc_id, line_no, license, score from hit qualify row_number() over (partition by doc_id, unit, line_no order by score desc, license) = 1),
 own as (select doc_id, license, score, min(line_no) over (partition by doc_id) first from line
         qualify row_number() over (partition by doc_id order by score desc, line_no, license) = 1),
 voice as (select dir, license, count(*) n from own join d using (doc_id) where first = 0 group by all),
