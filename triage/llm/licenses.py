@@ -138,9 +138,15 @@ def own_lines(files: DataFrame, key: str, least: float = LEAST) -> DataFrame:
     # whole texts first: few have a heavy term at all
     near = files.filter(F.arrays_overlap(terms(F.coalesce("text", F.lit(""))), F.array(*[F.lit(t) for t in sorted(heavy)]).cast("array<string>")))
     unit = lambda by: F.transform(F.split(F.coalesce("text", F.lit("")), by), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
-    lines = near.select(key, F.explode_outer(F.concat(unit("\n"), unit(SENTENCE))).alias("u")).select(key, "u.*").distinct()
+    lines = near.select(key, F.explode_outer(F.concat(unit("\n"), unit(SENTENCE))).alias("u")).select(key, "u.*")
     if heavy:
         lines = lines.filter(F.col("line").rlike(r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(sorted(heavy)) + r")(?![\p{L}\p{N}])"))
+        # the cosine is at most the length of the template's vector over the words that the unit has
+        listed = sorted({r.term for r in rows})
+        own = F.array(*[F.array(*[F.struct(F.lit(t).alias("term"), F.lit(w * w).alias("sq")) for w, t in ws]) for ws in by.values()])
+        has = F.array_intersect(F.array_distinct(terms(F.col("line"))), F.array(*[F.lit(t) for t in listed]))
+        enough = lambda h, x: F.aggregate(x, F.lit(0.0), lambda acc, e: acc + F.when(F.array_contains(h, e["term"]), e["sq"]).otherwise(0.0)) >= (least - 1e-6) ** 2
+        lines = lines.filter(F.exists(F.array(has), lambda h: F.exists(own, lambda x: enough(h, x))))
     else:
         lines = lines.limit(0)
     # a unit goes by its hash: its terms, many in a long line, must not carry its text
