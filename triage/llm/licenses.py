@@ -5,7 +5,7 @@ or licence text, is compared with the licence templates by the
 cosine of their TF-IDF vectors. Document frequencies of the templates' terms are counted over all
 files; a term outside the templates weighs as one that no file has. A unit of cosine ``least`` or
 more must have one of a template's heaviest terms (those left out can't reach ``least`` by
-themselves: the prefix rule), so only units with such a term become vectors, and equal ones once.
+themselves: the prefix rule), so only units with such a term become vectors, inside their own rows.
 Licences of one family differ by a version or a variant word only; a unit counts for such a
 template if its words of ``VARIANTS`` are the template's.
 
@@ -110,31 +110,29 @@ def vectors(lines: DataFrame, key: list[str], idf: DataFrame, other: DataFrame)
 
 
 def own_lines(files: DataFrame, key: str, least: float = LEAST) -> DataFrame:
-    """(key, line_no, license, score) of each line and sentence that a template explains; a sentence's
+    """(key, line_no, license, score) of each template that explains a line or a sentence; a sentence's
     number is its place among the sentences."""
     spark = files.sparkSession
     listed = F.array(*[F.struct(F.lit(i).alias("t"), F.lit(name).alias("license"), F.lit(text).alias("text"))
                        for i, (name, text) in enumerate(TEMPLATES)])
     templates = cut(spark.range(1).select(F.inline(listed)).select("t", "license", terms(F.col("text")).alias("terms")))
-    agree = F.lit(True)
     for family, names, words in VARIANTS:
         templates = templates.withColumn(f"{family}_t", F.when(F.col("license").rlike(names), marks(F.col("terms"), words)).otherwise("any"))
-        agree = agree & ((F.col(f"{family}_t") == "any") | (F.col(f"{family}_t") == F.col(family)))
     of_template = [x for x in templates.columns if x != "terms"]
     idf, other = weights(files, templates)
     of = cut(vectors(templates, of_template, idf, other))
     # heaviest terms of each template; the rest of its vector is shorter than ``least``
     rows, by = of.collect(), {}
     for r in rows:
-        by.setdefault(r.t, []).append((r.w, r.term))
+        by.setdefault(r.t, []).append(r)
     heavy = set()
     for ws in by.values():
-        rest = sum(w * w for w, _ in ws)
-        for w, t in sorted(ws, key=lambda x: (-x[0], x[1])):
+        rest = sum(r.w * r.w for r in ws)
+        for r in sorted(ws, key=lambda x: (-x.w, x.term)):
             if rest < (least - 1e-9) ** 2:
                 break
-            heavy.add(t)
-            rest -= w * w
+            heavy.add(r.term)
+            rest -= r.w * r.w
     # whole texts first: few have a heavy term at all
     near = files.filter(F.arrays_overlap(terms(F.coalesce("text", F.lit(""))), F.array(*[F.lit(t) for t in sorted(heavy)]).cast("array<string>")))
     unit = lambda by: F.transform(F.split(F.coalesce("text", F.lit("")), by), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
@@ -143,22 +141,53 @@ def own_lines(files: DataFrame, key: str, least: float = LEAST) -> DataFrame:
         lines = lines.filter(F.col("line").rlike(r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(sorted(heavy)) + r")(?![\p{L}\p{N}])"))
         # the cosine is at most the length of the template's vector over the words that the unit has
         listed = sorted({r.term for r in rows})
-        own = F.array(*[F.array(*[F.struct(F.lit(t).alias("term"), F.lit(w * w).alias("sq")) for w, t in ws]) for ws in by.values()])
+        own = F.array(*[F.array(*[F.struct(F.lit(r.term).alias("term"), F.lit(r.w * r.w).alias("sq")) for r in ws]) for ws in by.values()])
         has = F.array_intersect(F.array_distinct(terms(F.col("line"))), F.array(*[F.lit(t) for t in listed]))
         enough = lambda h, x: F.aggregate(x, F.lit(0.0), lambda acc, e: acc + F.when(F.array_contains(h, e["term"]), e["sq"]).otherwise(0.0)) >= (least - 1e-6) ** 2
         lines = lines.filter(F.exists(F.array(has), lambda h: F.exists(own, lambda x: enough(h, x))))
     else:
         lines = lines.limit(0)
-    # a unit goes by its hash: its terms, many in a long line, must not carry its text
-    lines = cut(lines.withColumn("unit", F.sha2("line", 256)))
-    distinct = lines.select("unit", "line").distinct().select("unit", terms(F.col("line")).alias("terms")) \
-        .select("*", *[marks(F.col("terms"), words).alias(family) for family, _, words in VARIANTS])
-    of_unit = [x for x in distinct.columns if x != "terms"]
-    dots = vectors(distinct, of_unit, idf, other).join(F.broadcast(of.withColumnRenamed("w", "tw")), "term").filter(agree) \
-        .groupBy("unit", "t", "license").agg(F.round(F.sum(F.col("w") * F.col("tw")), 6).alias("score")).filter(F.col("score") >= least)
-    best = dots.groupBy("unit").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b")) \
-        .select("unit", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
-    return lines.drop("line").join(best, "unit").select(key, "line_no", "license", "score")
+    words = {r.term: r.idf for r in idf.collect()}  # the templates' terms
+    unknown = other.first().other
+    return explained(lines.withColumn("terms", terms(F.col("line"))).drop("line"), key, by, words, unknown, least)
+
+
+def explained(lines: DataFrame, key: str, by: dict, idf: dict[str, float], unknown: float, least: float) -> DataFrame:
+    """(key, line_no, license, score) of the units ``lines(key, line_no, terms)`` and the templates of cosine ``least`` or more.
+
+    The sparse vectors of a unit and of the templates ``by`` (rows of (marks, term, weight) each) meet
+    inside the unit's row, so neither terms nor texts are shuffled. The terms are sorted once; a run of
+    k equal ones adds k squares to the norm, as 1 + 3 + ... + (2k - 1).
+    """
+    weight = F.create_map(*[F.lit(x) for t, w in sorted(idf.items()) for x in (t, w)])
+    sq = lambda x: F.pow(F.coalesce(F.element_at(weight, x), F.lit(unknown)), 2.0)
+    start = F.struct(F.lit("").alias("last"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
+
+    def add(acc: Column, x: Column) -> Column:
+        run = F.when(acc["last"] == x, acc["run"] + 2.0).otherwise(1.0)
+        return F.struct(x.alias("last"), run.alias("run"), (acc["sum"] + run * sq(x)).alias("sum"))
+
+    known = F.array(*[F.lit(t) for t in sorted(idf)])
+    units = lines.withColumns({family: marks(F.col("terms"), words) for family, _, words in VARIANTS}) \
+        .withColumn("norm", F.aggregate(F.sort_array("terms"), start, add, lambda acc: F.sqrt(acc["sum"]))) \
+        .withColumn("known", F.filter("terms", lambda x: F.array_contains(known, x))).drop("terms") \
+        .withColumn("own", F.map_from_entries(F.transform(F.array_distinct("known"), lambda t: F.struct(
+            t, F.size(F.filter("known", lambda x: x == t)) * F.element_at(weight, t))))).drop("known")
+    vectors_ = F.array(*[F.struct(
+        F.lit(ws[0].license).alias("license"), *[F.lit(ws[0][f"{family}_t"]).alias(family) for family, *_ in VARIANTS],
+        F.array(*[F.struct(F.lit(r.term).alias("term"), F.lit(r.w).alias("w")) for r in ws]).alias("terms")) for ws in by.values()])
+
+    def score(t: Column) -> Column:
+        agree = F.lit(True)
+        for family, *_ in VARIANTS:
+            agree = agree & ((t[family] == "any") | (t[family] == F.col(family)))
+        dot = F.aggregate(t["terms"], F.lit(0.0), lambda acc, e: acc + e["w"] * F.coalesce(F.element_at("own", e["term"]), F.lit(0.0)))
+        return F.struct((-F.round(F.when(agree, dot / F.col("norm")).otherwise(0.0), 6)).alias("s"), t["license"].alias("license"))
+
+    # a filter on a column would be pushed below the projections and compute them again; one on a generated row stays
+    found = F.filter(F.transform(vectors_, score), lambda x: x["s"] <= -least)
+    return units.select(key, "line_no", F.inline_outer(found)).filter("s is not null") \
+        .select(key, "line_no", "license", (-F.col("s")).alias("score"))
 
 
 def scan(files: DataFrame, speaks: Column | None = None, least: float = LEAST) -> DataFrame:
