@@ -136,6 +136,7 @@ def apply(df: DataFrame, table: str, mode: str = "overwrite") -> str:
 
 def current(spark: SparkSession, table: str) -> DataFrame:
     """The table as of its log: the folder of the last overwrite and those appended since."""
-    log = spark.read.parquet(_log_path(spark, table)).orderBy("at").collect()  # a row for each write
-    last = max((i for i, r in enumerate(log) if r["mode"] == "overwrite"), default=0)
-    return spark.read.parquet(*[r["path"] for r in log[last:]])
+    log = spark.read.schema("at long, mode string, path string").parquet(_log_path(spark, table))
+    since = log.filter(c("mode") == "overwrite").agg(F.max("at").alias("at")).first()["at"]
+    held = log if since is None else log.filter(c("at") >= since)
+    return spark.read.parquet(*[r["path"] for r in held.orderBy("at").collect()])  # a row for each write since

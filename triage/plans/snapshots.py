@@ -53,11 +53,14 @@ def cache_status(snap: DataFrame, as_of: str = AS_OF) -> DataFrame:
     return snap.select("version", "is_active", "created_at", "expires_at", status.alias("status"), "rules_count")
 
 
-@register("snapshot_status", ops="I29 L5 B14 B11", uses=SNAPS_USES, sql=_sql_snaps() + f"""
+SQL_STATUS = _sql_snaps() + f"""
 select version, is_active, created_at, expires_at,
   case when invalidated_at is not null then 'invalidated' when expires_at <= timestamp '{AS_OF}' then 'expired'
        when is_active then 'active' else 'inactive' end as status, rules_count
-from snaps""")
+from snaps"""
+
+
+@register("snapshot_status", ops="I29 L5 B14 B11", uses=SNAPS_USES, sql=SQL_STATUS)
 def snapshot_status(fx) -> DataFrame:
     return cache_status(published_snapshots(fx))
 
@@ -68,10 +71,13 @@ def active_snapshot(snap: DataFrame, as_of: str = AS_OF) -> DataFrame:
     return ok.orderBy(c("created_at").desc(), c("version").desc()).limit(1).select("version", "expires_at", "rules_count")
 
 
-@register("snapshot_active", ops="K24 L1 F4", uses=SNAPS_USES, sql=_sql_snaps() + f"""
+SQL_ACTIVE = _sql_snaps() + f"""
 select version, expires_at, rules_count from snaps
 where is_active = true and expires_at > timestamp '{AS_OF}' and invalidated_at is null
-order by created_at desc, version desc limit 1""")
+order by created_at desc, version desc limit 1"""
+
+
+@register("snapshot_active", ops="K24 L1 F4", uses=SNAPS_USES, sql=SQL_ACTIVE)
 def snapshot_active(fx) -> DataFrame:
     return active_snapshot(published_snapshots(fx))
 
@@ -86,13 +92,16 @@ def invalidate(snap: DataFrame, reason: str, as_of: str = AS_OF) -> tuple[DataFr
     return new, affected
 
 
-@register("snapshot_invalidate", ops="K25 L2 L3 A7", uses=SNAPS_USES, sql=_sql_snaps() + f"""
+SQL_INVALIDATE = _sql_snaps() + f"""
 select version, false as is_active, created_at, expires_at,
   case when is_active = true and invalidated_at is null then timestamp '{AS_OF}' else invalidated_at end
     as invalidated_at,
   case when is_active = true and invalidated_at is null then 'New CDA rules published' end as invalidation_reason,
   rules_count, (select cast(count(*) as int) from snaps where is_active = true and invalidated_at is null) as affected
-from snaps""")
+from snaps"""
+
+
+@register("snapshot_invalidate", ops="K25 L2 L3 A7", uses=SNAPS_USES, sql=SQL_INVALIDATE)
 def snapshot_invalidate(fx, reason: str = "New CDA rules published") -> DataFrame:
     new, affected = invalidate(published_snapshots(fx), reason)
     return new.withColumn("affected", affected.scalar())

@@ -28,6 +28,8 @@ PLAN_MODULES = (
     "triage.plans.rules",
     "triage.plans.versions",
     "triage.plans.snapshots",
+    "triage.plans.surface",
+    "triage.plans.stored",
     "triage.plans.ingest",
     "triage.plans.constraints",
     "triage.streaming.batch_twins",
