@@ -274,6 +274,39 @@ def test_blocks_meet_within_radius():
         assert any((x >> a) & ((1 << n) - 1) == (y >> a) & ((1 << n) - 1) for a, n in cuts)
 
 
+def test_leaks_equal_all_windows(spark):
+    """Parts swapped, repeated or cut, at the edges of texts and inside: whatever any window reaches is found."""
+    rnd = random.Random(5)
+    word = lambda: f"w{rnd.randrange(400)}"
+    items = [[word() for _ in range(n)] for n in (60, 60, 24, 15, 6)] + [["again"] * 20]
+    texts = []
+    for w in items:
+        n = len(w)
+        pad = lambda: [word() for _ in range(rnd.randrange(30))]
+        for body in (w, w[n // 2:] + w[:n // 2], w[n // 3:] + w[:n // 3], w[:n - 2] + [word()] + w[n - 1:], w[:-3], w[4:], w + w, w[: n // 2]):
+            texts += [pad() + body + pad(), body + pad(), pad() + body]
+    texts += [[word() for _ in range(200)] for _ in range(20)]
+    shingles = lambda w: [tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))]
+    want = {}
+    for d, t in enumerate(texts):
+        h = shingles(t)
+        for b, w in enumerate(items):
+            g = Counter(shingles(w))
+            k = sum(g.values())
+            for s in range(max(0, len(h) - k) + 1):
+                win = Counter(h[s:s + k])
+                both = sum((g & win).values())
+                if both * 100 >= (sum(win.values()) + k - both) * 80:
+                    sim = both / (sum(win.values()) + k - both)
+                    want[d, b] = max(want.get((d, b), 0), sim)
+    docs = frame(spark, [" ".join(t) for t in texts])
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.find_leaks(docs, bench).collect()}
+    assert {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
+    swapped = {(3, 0), (4, 0), (5, 0)}  # halves of a long item
+    assert swapped <= got.keys()
+
+
 def test_near_leaks(spark):
     rnd = random.Random(8)
     items = [[f"i{k}w{j}" for j in range(rnd.randrange(20, 60))] for k in range(30)]

@@ -7,10 +7,11 @@ through a multi-index: the 64 bits are cut into ``radius + 1`` blocks, and two f
 misses none of them. Pairs within the radius are verified by the exact weighted Jaccard
 similarity of their shingle multisets, which must reach ``num/den``.
 
-Windows are laid only where they can reach it: similar multisets share a shingle, and a run of
-shared shingles fixes where the window starts, so windows start at the runs of shingles that the
-benchmark has, aligned as in an item of that size. Which item it may be is found by the
-fingerprints. Of windows of equal content one goes through the index, however many texts hold it.
+A window that reaches ``num/den`` has a known number of its places taken by shingles of items of its
+size (``least_hits``). Moved right to the first of them, or to the text's last window, it loses none; so of
+all windows those that start there and hold that many are laid, whatever the order of the parts, and no item
+that any window reaches is lost. Which item it is, is found by the fingerprints. Of windows of
+equal content one goes through the index, however many texts hold it.
 At a similarity of 0.8 SimHashes are some 10 bits apart (standard deviation 3): the default radius
 of 20 leaves out none in practice, and clean text is some 32 bits away.
 
@@ -74,28 +75,37 @@ def items_of(bench: DataFrame) -> DataFrame:
     return b.filter(F.size("g") > 0).select("item_id", "g", F.size("g").alias("k"), simhash("g").alias("f"))
 
 
-def windows_of(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, at, k, win): item-sized windows at the runs of benchmark shingles of each text."""
-    marks = items.select("k", "g", F.posexplode_outer("g").alias("pos", "x")).select(
-        "x", "k", "pos", F.expr("if(pos > 0, g[pos - 1], null)").alias("before")).distinct()
+def least_hits(k: str, m: str, num: int, den: int) -> str:
+    """SQL of how many places of a window of size k in a text of m shingles must be an item's to reach num/den."""
+    return f"cast(ceil({num} * (least({k}, {m}) + {k}) / {num + den}.0) as int)"
+
+
+def windows_of(docs: DataFrame, items: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
+    """(doc_id, at, k, win): item-sized windows that hold ``least_hits`` shingles of items of that size."""
+    marks = items.select("k", F.explode_outer("g").alias("x")).distinct()
     if marks.count() <= BROADCAST:
         marks = F.broadcast(marks)
     d = docs.select(F.col("doc_id").cast("long"), words("text").alias("w")).filter("doc_id is not null")
-    d = d.select("doc_id", shingles("w").alias("h"))
+    d = d.select("doc_id", shingles("w").alias("h")).withColumn("row", F.xxhash64("h"))  # rows may share an id
     # outer: a plain explode would make the optimizer filter on the whole expression of h first
-    hits = d.select("doc_id", "h", F.posexplode_outer("h").alias("i", "x")).join(marks, "x") \
-        .filter("before is null or i = 0 or h[greatest(i - 1, 0)] <> before")
-    start = F.greatest(F.lit(0), F.least(F.col("i") - F.col("pos"), F.size("h") - F.col("k")))
-    return hits.select("doc_id", "k", start.alias("at"), F.slice("h", start + 1, F.col("k")).alias("win")).distinct()
+    hits = d.select("doc_id", "row", "h", F.posexplode_outer("h").alias("i", "x")).join(marks, "x")
+    texts = hits.groupBy("doc_id", "row", "k").agg(F.first("h").alias("h"), F.sort_array(F.collect_set("i")).alias("p"))
+    texts = texts.withColumn("last", F.greatest(F.lit(0), F.size("h") - F.col("k"))) \
+        .withColumn("need", F.expr(least_hits("k", "size(h)", num, den)))
+    starts = F.expr("""concat(
+        filter(p, (s, j) -> s <= last and j + need <= size(p) and get(p, j + need - 1) < s + k),
+        if(get(p, size(p) - 1) > last and need <= size(p) and get(p, size(p) - need) >= last, array(last), cast(array() as array<int>)))""")
+    laid = texts.select("doc_id", "k", "h", F.explode_outer(F.array_distinct(starts)).alias("at")).filter("at is not null")
+    return laid.select("doc_id", "k", "at", F.slice("h", F.col("at") + 1, F.col("k")).alias("win"))
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, num: int = 80, den: int = 100, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, first_word, similarity) of the best window of each text and item it leaks.
 
-    ``first_word``: the window's, after normalisation; of equally good windows the first one's.
+    ``first_word``: the window's, after normalisation; of equally good windows that are laid the first one's.
     """
     items = cut(items_of(bench))
-    wins = cut(windows_of(docs, items))
+    wins = cut(windows_of(docs, items, num, den))
     # equal windows of any number of texts go through the index once
     distinct = wins.groupBy("k", "win").agg(F.count("*").alias("n")).select("k", "win", simhash("win").alias("f"))
     near = block_rows(distinct, radius).join(block_rows(items.select("item_id", "k", "g", F.col("f").alias("fi")).withColumn("f", F.col("fi")), radius).drop("f"), ["k", "blk", "val"]) \

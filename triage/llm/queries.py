@@ -119,7 +119,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-# every window aligned with an item by a shared shingle, compared exactly; no fingerprints
+# every window that starts at a shingle of an item of its size, or is the text's last, compared exactly; no fingerprints
 SQL["op1_decontamination"] = r"""
 with d as (select doc_id, [x for x in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if x <> ''] w from documents),
 b as (select item_id, [x for x in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if x <> ''] w from benchmark),
@@ -127,8 +127,9 @@ ds as (select doc_id, greatest(len(w) - 4, 1) m, unnest(range(0, greatest(len(w)
 dg as (select doc_id, m, i, array_to_string(w[i + 1:i + 5], ' ') x from ds),
 bs as (select item_id, greatest(len(w) - 4, 1) k, unnest(range(0, greatest(len(w) - 4, 1))) p, w from b where len(w) > 0),
 bg as (select item_id, k, p, array_to_string(w[p + 1:p + 5], ' ') x from bs),
-al as (select distinct doc_id, item_id, k, m, greatest(0, least(i - p, m - k)) s from dg join bg using (x)),
-win as (select al.doc_id, item_id, k, al.m, s, x, count(*) n from al join dg on dg.doc_id = al.doc_id and dg.i >= s and dg.i < s + k group by all),
+al as (select distinct doc_id, k, m, least(i, greatest(m - k, 0)) s from dg join (select distinct k, x from bg) using (x)),
+win0 as (select al.doc_id, al.k, al.m, s, x, count(*) n from al join dg on dg.doc_id = al.doc_id and dg.i >= s and dg.i < s + al.k group by all),
+win as (select win0.*, item_id from win0 join (select distinct item_id, k, x from bg) using (k, x)),
 item as (select item_id, x, count(*) n from bg group by all),
 sim as (
   select win.doc_id, win.item_id, s, least(any_value(k), any_value(m)) + any_value(k) total, sum(least(win.n, item.n)) "both"
