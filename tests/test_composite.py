@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.errors import PySparkException
@@ -114,3 +115,27 @@ def test_no_rules_no_mail_and_wrong_rules(spark):
 def test_plan_has_no_cross_join(spark, fx001):
     p = composite_rule_index(fx001)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_candidates_are_neither_shuffled_nor_kept(spark):
+    """What the common condition of many rules and many mails lets in is decided in the join that makes it."""
+    rng = random.Random(11)
+    mail = mails(rng, 300)
+    rules = {f"r{i}": {"type": "and", "all": [{"field": "sender_address", "op": "=", "value": "r1@x"}, {"field": "to_count", "op": "!=", "value": i % 7},
+                                              {"field": "subject", "op": "ilike_any", "value": ["%report%"] * (i % 2) + ["x"]}]} for i in range(400)}
+    want = sorted((m[0], k) for m in mail for k, v in rules.items() if holds(v, m))
+    m = spark.createDataFrame(mail, MAIL)
+    r = spark.createDataFrame([(k, json.dumps(v)) for k, v in rules.items()], "rule_id string, condition_json string")
+    out = matching_rules(m, r)
+    assert sorted(tuple(x) for x in out.collect()) == want and len(want) > 5000
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    above = plan[:next(i for i, x in enumerate(plan) if "Join" in x)]
+    assert any("told" in x for x in above) and not [x for x in above if re.search("Aggregate|LogicalRDD|Sort", x)]
+
+
+def test_rows_of_a_rule_and_empty_nodes(spark):
+    m = spark.createDataFrame([("a", *["x"] * 9, 1, None)[:9] + (1, None), (None, *["x"] * 8, 1, None), ("a", *["y"] * 8, 2, None)], MAIL)
+    leaf = {"field": "subject", "op": "=", "value": "x"}
+    rules = [("one", leaf, "p"), ("and", {"type": "and", "all": [leaf, {"type": "or", "any": []}]}, "q"), ("none", {"type": "and", "all": []}, "r")]
+    r = spark.createDataFrame([(k, json.dumps(v), t) for k, v, t in rules], "rule_id string, condition_json string, target string")
+    assert sorted(tuple(x) for x in matching_rules(m, r, keep=("target",)).collect()) == [("a", "and", "q"), ("a", "one", "p")]

@@ -11,8 +11,9 @@ columns, so the plan is the same for four rules and for a million:
 3. ``access``: the counts say how many mails an atom matches. An ``or`` is found through all its
    children, an ``and`` through the cheapest one alone: these access leaves turn matched atoms into
    candidates (mail, rule).
-4. ``decide``: the candidates' other leaves are looked up among the mail's matched atoms, and nodes
-   are decided from the leaves up, one aggregate a level.
+4. ``programs`` and ``decide``: the candidates' other leaves are looked up among the mail's matched
+   atoms, and nodes are decided from the leaves up, in the row that the join of mails and rules makes;
+   candidates are neither shuffled nor kept.
 
 So work follows the candidates of each rule's rarest condition; a rule that only says what a mail
 must not be has almost all mail as candidates, as it matches almost all.
@@ -127,7 +128,8 @@ def _by_pattern(words: DataFrame, atoms: DataFrame) -> DataFrame:
     likes = atoms.filter("atom_op = 'ilike'").withColumn(
         "_piece", F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"])
     texts = words.select(c("field").alias("_field"), "value", F.lower("value").alias("_low"))
-    found = contains_join(texts, "_low", likes.filter("_piece <> ''"), "_piece").filter("_field = field")
+    # eight characters: rules often differ behind a common start
+    found = contains_join(texts, "_low", likes.filter("_piece <> ''"), "_piece", gram=8).filter("_field = field")
     free = words.join(likes.filter("_piece = ''"), "field")  # only wildcards
     cols = ["field", "value", "atom_op", "atom_value"]
     return found.select(cols).unionByName(free.select(cols)).filter(F.expr("value ilike atom_value"))
@@ -182,45 +184,88 @@ def access(nodes: DataFrame, leaves: DataFrame, atoms: DataFrame, cost: DataFram
         "rule_id", "field", "atom_op", "atom_value").distinct()
 
 
-def matching_rules(mail: DataFrame, rules: DataFrame) -> DataFrame:
-    """(message_id, rule_id) of every mail and composite rule that holds for it."""
+def programs(nodes: DataFrame, leaves: DataFrame, atoms: DataFrame) -> DataFrame:
+    """(rule_id, copies, program, must, mustnt, simple): each rule's tree as one row, children before their parent.
+
+    A step is a leaf with the ids of the atoms of which one must hold (``some``) and of those that must
+    not (``none``), or a node with the number of its children. ``must`` and ``mustnt`` are the atoms that
+    leaves right below an outer ``and`` ask for alone; they are looked at first, and a ``simple`` rule has
+    no other conditions. ``copies`` counts the rule's rows.
+    """
+    ids = lambda when: F.collect_set(F.when(when, c("atom")))
+    tests = atoms.groupBy("rule_id", "node").agg(ids(~c("absent")).alias("some"), ids(c("absent")).alias("none"))
+    no_ids = F.array().cast("array<bigint>")
+    leaf = leaves.select("rule_id", "node", "parent", F.lit("leaf").alias("kind")).distinct().join(tests, ["rule_id", "node"], "left")
+    steps = leaf.unionByName(nodes.select("rule_id", "node", "parent", "kind").distinct(), allowMissingColumns=True)
+    kids = steps.groupBy("rule_id", c("parent").alias("node")).agg(F.count_distinct("node").cast("int").alias("kids"))
+    # '~' sorts behind '.', so a parent comes behind all that is below it
+    place = F.concat(F.array_join(F.transform(F.split("node", r"\."), lambda x: F.lpad(x, 10, "0")), "."), F.lit("~"))
+    step = F.struct(place.alias("place"), "kind", F.coalesce("kids", F.lit(0)).alias("kids"),
+                    F.coalesce("some", no_ids).alias("some"), F.coalesce("none", no_ids).alias("none"))
+    roots = nodes.filter("level = 0").select("rule_id").unionAll(leaves.filter("level = 0").select("rule_id"))
+    outer = nodes.filter("level = 0 and kind = 'and'").select("rule_id", F.lit(True).alias("outer_and")).distinct()
+    top = (c("kind") == "leaf") & (c("parent").isNull() | (c("parent") == "0") & F.coalesce("outer_and", F.lit(False)))
+    alone = top & (F.size(F.coalesce("some", no_ids)) == 1)
+    of = lambda when, ids: F.array_distinct(F.flatten(F.collect_list(F.when(when, c(ids)))))
+    return (steps.filter("rule_id is not null").join(kids, ["rule_id", "node"], "left").join(outer, "rule_id", "left").groupBy("rule_id")
+            .agg(F.transform(F.array_sort(F.collect_list(step)), lambda x: x.dropFields("place")).alias("program"),
+                 of(alone, "some").alias("must"), of(top, "none").alias("mustnt"),
+                 F.bool_and(alone | c("parent").isNull() & (c("kind") == "and") & (c("kids") > 0)).alias("simple"))
+            .join(roots.groupBy("rule_id").agg(F.count(F.lit(1)).cast("int").alias("copies")), "rule_id"))
+
+
+def decide(program: Column, matched: Column) -> Column:
+    """Whether a rule holds for a mail with these matched atoms: its steps run over a stack of truths.
+    A node without children has no truth, and its parent goes by the others."""
+    def step(stack, x):
+        below = F.size(stack) - x["kids"]
+        kids = F.array_compact(F.slice(stack, below + 1, x["kids"]))
+        node = F.when(F.size(kids) > 0, F.when(x["kind"] == "and", ~F.array_contains(kids, False)).otherwise(F.array_contains(kids, True)))
+        leaf = F.arrays_overlap(x["some"], matched) & ~F.arrays_overlap(x["none"], matched)
+        return F.when(x["kind"] == "leaf", F.concat(stack, F.array(leaf))).otherwise(
+            F.concat(F.slice(stack, F.lit(1), below), F.array(node)))
+
+    return F.coalesce(F.aggregate(program, F.array().cast("array<boolean>"), step)[0], F.lit(False))
+
+
+def matching_rules(mail: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(message_id, rule_id) of every mail and composite rule that holds for it, with the rule's columns ``keep``.
+
+    What is shuffled and kept grows with mails, values, atoms and rules: candidates are decided where the
+    join makes them, and only those that hold leave it.
+    """
     nodes, leaves, depth = rule_tree(rules)
     atoms = _cut(leaf_atoms(leaves))
     fields = [r.field for r in atoms.select("field").distinct().collect()]  # at most len(FIELDS)
     if not fields:
-        return mail.select("message_id").limit(0).crossJoin(rules.select("rule_id").limit(0))
+        return mail.select("message_id").limit(0).crossJoin(rules.select("rule_id", *keep).limit(0))
     rows = field_rows(mail, sorted(fields))
     words = _cut(rows.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n")))
-    named = atoms.select("field", "atom_op", "atom_value").distinct()
-    hits = _cut(atom_hits(words.select("field", "value"), named))
-    cost = hits.join(words, ["field", "value"]).groupBy("field", "atom_op", "atom_value").agg(F.sum("n").alias("n"))
-    entry = access(nodes, leaves, atoms, cost, depth)
     used = ["field", "atom_op", "atom_value"]
-    candidates = _cut(rows.join(hits.join(entry, used), ["field", "value"]).select("message_id", "rule_id").distinct())
-    # the truth of every leaf of every candidate: which of its atoms the mail matches
-    asked = candidates.join(atoms, "rule_id")
-    matched = rows.join(hits, ["field", "value"]).select("message_id", *used).withColumn("_hit", F.lit(True))
-    truth = asked.join(matched.distinct(), ["message_id", *used], "left")
-    held = truth.groupBy("message_id", "rule_id", "node").agg(
-        (F.coalesce(F.bool_or(F.when(~c("absent"), F.coalesce("_hit", F.lit(False)))), F.lit(False))
-         & ~F.coalesce(F.bool_or(F.when(c("absent"), F.coalesce("_hit", F.lit(False)))), F.lit(False))).alias("holds"))
-    return decide(held, candidates, nodes, leaves, depth)
-
-
-def decide(held: DataFrame, candidates: DataFrame, nodes: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
-    """Candidates whose root holds, from the truth of their leaves (one without atoms doesn't hold)."""
-    frame = candidates.join(leaves.select("rule_id", "node", "parent", "level"), "rule_id")
-    frame = frame.join(held, ["message_id", "rule_id", "node"], "left").withColumn("holds", F.coalesce("holds", F.lit(False)))
-    frame, up = _cut(frame), None
-    for level in range(depth - 2, -1, -1):
-        kids = frame.filter(c("level") == level + 1)
-        here = (kids if up is None else kids.unionByName(up)).groupBy("message_id", "rule_id", c("parent").alias("node")).agg(
-            F.bool_and("holds").alias("all"), F.bool_or("holds").alias("any"))
-        up = here.join(nodes.filter(c("level") == level), ["rule_id", "node"]).select(
-            "message_id", "rule_id", "node", "parent", "level", F.when(c("kind") == "and", c("all")).otherwise(c("any")).alias("holds"))
-        up = up.select(frame.columns)
-    root = frame.filter("level = 0")  # rules of a single leaf
-    return (root if up is None else root.unionByName(up)).filter("holds").select("message_id", "rule_id")
+    named = _cut(atoms.select(used).distinct().withColumn("atom", F.monotonically_increasing_id()))
+    hits = _cut(atom_hits(words.select("field", "value"), named.select(used)).join(named, used))
+    cost = hits.join(words, ["field", "value"]).groupBy(used).agg(F.sum("n").alias("n"))
+    entry = _cut(access(nodes, leaves, atoms, cost, depth).join(named, used).select("rule_id", "atom"))
+    # each distinct value's atoms, then each mail's; doors: those of them through which candidates come
+    doors = entry.select("atom", F.lit(True).alias("door")).distinct()
+    value_atoms = hits.join(doors, "atom", "left").groupBy("field", "value").agg(
+        F.collect_set("atom").alias("matched"), F.collect_set(F.when(c("door"), c("atom"))).alias("doors"))
+    flat = lambda name: F.array_distinct(F.flatten(F.collect_list(name))).alias(name)
+    mails = (rows.filter("message_id is not null").join(value_atoms, ["field", "value"])
+             .groupBy("message_id").agg(flat("matched"), flat("doors")))
+    # a rule comes with its program through each of its doors
+    told = rules.groupBy("rule_id").agg(F.collect_list(F.struct("rule_id", *keep)).alias("told")) if keep else None
+    whole = programs(nodes, leaves, atoms.join(named, used))
+    whole = (whole.withColumn("told", F.array(F.struct("rule_id"))) if told is None else whole.join(told, "rule_id")).select(
+        "rule_id", "program", "must", "mustnt", "simple", F.flatten(F.array_repeat("told", c("copies"))).alias("told"))
+    by_door = entry.join(entry.groupBy("rule_id").agg(F.collect_list("atom").alias("all_doors")), "rule_id").join(
+        whole, "rule_id").drop("rule_id")
+    # of the doors that let a rule in, the first one counts
+    first = (F.size("all_doors") == 1) | (F.array_min(F.array_intersect("all_doors", "doors")) == c("atom"))
+    met = mails.select("message_id", "matched", "doors", F.explode("doors").alias("atom")).join(by_door, "atom")
+    quick = (F.size(F.array_except("must", "matched")) == 0) & ~F.arrays_overlap("mustnt", "matched")
+    return met.filter(first & quick & (c("simple") | decide(c("program"), c("matched")))).select(
+        "message_id", F.explode("told").alias("told")).select("message_id", "told.*")
 
 
 # --- the registered query: a rule a customer, and the seed rules --------------------------------
@@ -271,6 +316,4 @@ def _sql_rule_index() -> str:
 @register("composite_rule_index", ops="B13 K26 B8 B9 C14", uses="mail", sql=_sql_rule_index())
 def composite_rule_index(fx) -> DataFrame:
     """Every mail and composite rule row that holds for it, through the predicate index."""
-    rules = _cut(composite_rule_rows(fx))
-    return matching_rules(fx.mail, rules).join(rules.select("rule_id", "target_category"), "rule_id").select(
-        "message_id", "rule_id", "target_category")
+    return matching_rules(fx.mail, _cut(composite_rule_rows(fx)), keep=("target_category",))
