@@ -109,3 +109,14 @@ def test_bodies_that_differ_late_are_no_duplicates(spark):
     fx = SimpleNamespace(spark=spark, body=body)
     assert [(r.message_id, r.duplicate_of) for r in content_duplicates(fx).orderBy("message_id").collect()] == [("a", "a"), ("c", "a")]
     assert {r.word_count for r in text_metrics(fx).collect()} == {4001}
+
+
+def test_trim_looks_at_the_ends_only(spark):
+    """Same texts as by the pattern, which tried every position of every body."""
+    from triage.functions.text import JS_SPACE, JS_SPACE_CHARS, js_trim
+    ends = [*JS_SPACE_CHARS, "\u0085", "​", "x", "", " \u0085", "\u0085 ", "\r\n", "\n\u0085\u0085", "　 \u0085"]
+    texts = [a + m + b for a in ends for b in ends for m in ("", "a b", "é\n\U0001f600")] + [None]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    old = F.regexp_replace("x", f"^{JS_SPACE}+|{JS_SPACE}+$", "")
+    assert df.filter(~js_trim(F.col("x")).eqNullSafe(old)).collect() == []
+    assert len(JS_SPACE_CHARS) == 25 and "trim(" in df.select(js_trim(F.col("x")))._jdf.queryExecution().optimizedPlan().toString().lower()

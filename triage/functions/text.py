@@ -20,6 +20,8 @@ MAX_BODY_CHARS = 12000
 
 # fixed values: white space removed by JavaScript trim(), and zero-width characters removed
 JS_SPACE = r"[\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+JS_SPACE_CHARS = ("\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+                  + "\u2028\u2029\u202f\u205f\u3000\ufeff")
 ZERO_WIDTH = r"[\x{034F}\x{200B}\x{200C}\x{200D}\x{2060}\x{FEFF}]"
 # fixed values: named entities and their characters; '&amp;' must stay last
 NAMED_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
@@ -31,7 +33,11 @@ WORD_SPLIT = r"[ \t\n\f\r]+"
 
 
 def js_trim(col: Column) -> Column:
-    return F.regexp_replace(col, f"^{JS_SPACE}+|{JS_SPACE}+$", "")
+    """JavaScript's trim(). Looks at both ends only; the pattern, which tries every position of the text,
+    is left for texts that end in NEL, a line end to ``$`` and not white space to trim(). ``col`` is named
+    twice: it should be a column, not a chain of expressions."""
+    return (F.when(F.endswith(col, F.lit("\u0085")), F.regexp_replace(col, f"^{JS_SPACE}+|{JS_SPACE}+$", ""))
+            .otherwise(F.btrim(col, F.lit(JS_SPACE_CHARS))))
 
 
 def replace_each(col: Column, pattern: str, decode) -> Column:
@@ -107,17 +113,21 @@ def decode_safelinks(col: Column) -> Column:
     return replace_each(col, URL_IN_TEXT, lambda u: F.when(u.rlike(SAFELINK_HOST), orig(u)).otherwise(u))
 
 
-def normalize_whitespace(col: Column) -> Column:
+def collapse_whitespace(col: Column) -> Column:
     t = F.replace(col, F.lit("\r\n"), F.lit("\n"))
     t = F.replace(t, F.lit("\t"), F.lit(" "))
     t = F.regexp_replace(t, r"[ \x{00A0}]+", " ")
     t = F.regexp_replace(t, r" *\n *", "\n")
     t = F.regexp_replace(t, ZERO_WIDTH, "")
-    t = F.regexp_replace(t, r"\n{3,}", "\n\n")
-    return js_trim(t)
+    return F.regexp_replace(t, r"\n{3,}", "\n\n")
+
+
+def normalize_whitespace(col: Column) -> Column:
+    """Collapsed and trimmed (column form; ``clean_frame`` stages the two)."""
+    return js_trim(collapse_whitespace(col))
 
 
-STAGES = ("_plain", "_html", "_plain_ok", "_tags", "_named", "_dec", "_stripped", "_unwrapped", "_safe", "_norm", "_n",
+STAGES = ("_plain", "_html", "_plain_ok", "_tags", "_named", "_dec", "_stripped", "_unwrapped", "_safe", "_collapsed", "_norm", "_n",
           "_rp", "_par", "_dot")
 
 
@@ -144,7 +154,8 @@ def clean_frame(df: DataFrame, content: str = "content", content_type: str = "co
              .when(F.coalesce(F.col("_html") != "", F.lit(False)), "html→text").otherwise("none"))
     s6 = s5.select("*", unwrap_links(base).alias("_unwrapped"), label.alias("body_source"))
     s7 = s6.select("*", decode_safelinks(F.col("_unwrapped")).alias("_safe"))
-    s8 = s7.select("*", normalize_whitespace(F.col("_safe")).alias("_norm"))
+    s8 = s7.select("*", collapse_whitespace(F.col("_safe")).alias("_collapsed"))
+    s8 = s8.select("*", js_trim(F.col("_collapsed")).alias("_norm"))
     if limit is None:
         return s8.select("*", F.coalesce(F.length(raw), F.lit(0)).cast("int").alias("content_len"),
                          F.sha2(raw, 256).alias("content_hash"), F.col("_norm").alias("body_text"),
