@@ -59,3 +59,10 @@ def test_no_filter_cleans_text(spark, registry):
     for name in ("content_duplicates", "clean_plain", "clean_html", "text_metrics", "fetch_outcome"):
         p = registry[name].run(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
         assert not [x for x in p.splitlines() if re.search(r"[-+] Filter|^Filter", x) and "regexp_replace" in x], name
+
+
+def test_no_filter_makes_addresses_again(spark, registry):
+    """A null check pushed below the projections of the match features evaluates them again, nested, for every mail."""
+    for name in ("gateway_decisions", "gateway_daily_share", "match_coverage"):
+        p = registry[name].run(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        assert not [x for x in re.split(r"\n(?=[ :]*[-+])", p) if re.search(r"^[ :]*[-+]+ *Filter", x) and "regexp_" in x], name

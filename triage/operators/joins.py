@@ -39,11 +39,14 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
     lengths = pats.agg(F.collect_set(F.length("_gram")).alias("_lens"))  # one row of at most ``gram`` numbers
     grams = F.expr("""array_distinct(flatten(transform(filter(_lens, n -> n <= length(_text)),
         n -> transform(sequence(1, length(_text) - n + 1), i -> substring(_text, i, n)))))""")
-    words = texts.select(c(text_col).alias("_text")).filter("_text is not null").distinct().withColumn("_lens", lengths.scalar())
+    # a null text counts as the empty one, which holds no pattern: a filter of nulls, written or inferred, would be
+    # pushed below the projections that make the text and make it again
+    text = F.coalesce(texts[text_col], F.lit(""))
+    words = texts.select(text.alias("_text")).distinct().withColumn("_lens", lengths.scalar())
     starts = words.select("_text", F.explode_outer(grams).alias("_gram"))  # outer: else the filter would build grams twice
     hits = (starts.join(pats.withColumnRenamed(pattern_col, "_pattern"), "_gram").filter(F.expr("contains(_text, _pattern)"))
             .select("_text", c("_pattern").alias(pattern_col), *[x for x in patterns.columns if x != pattern_col]))
-    return texts.join(hits, texts[text_col] == hits["_text"]).drop("_text")
+    return texts.join(hits, text == hits["_text"]).drop("_text")
 
 
 def first_by_priority(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
