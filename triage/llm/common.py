@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 
@@ -32,15 +33,24 @@ def cut(df: DataFrame) -> DataFrame:
 def process_cache(owner: str) -> dict:
     """Values that a worker process keeps between tasks; never part of what a task ships.
 
-    A worker that goes on with another owner's tasks drops what the last one kept.
+    A worker that goes on with another owner's tasks drops what the last one kept and hands it back.
     """
     kept = sys.modules.setdefault("_triage_llm_cache", types.ModuleType("_triage_llm_cache")).__dict__.setdefault("kept", {})
     if kept.get("owner") != owner:
         kept.clear()
         kept["owner"] = owner
+        release()
     return kept
 
 
+def release() -> None:
+    """Freed memory goes back to the system: that of Arrow's pool and that of numpy and Python."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:  # glibc keeps what was freed below a block in use
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser over uint64: spreads every input bit over the whole word."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -139,7 +149,11 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 # ---------------------------------------------------------------- Arrow helpers
 
 def thin(batches, rows: int = 512):
-    """Arrow batches in slices of so many rows: what a task holds beside a batch stays small."""
+    """Arrow batches in slices of so many rows: what a task holds beside a batch stays small.
+
+    Workers live on between tasks, so what the last one freed is handed back first.
+    """
+    release()
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
