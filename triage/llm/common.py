@@ -18,6 +18,7 @@ from triage.session import checkpoint_dir
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BITS = 1 << 16
+OWN_ORDER = 4  # rounds of components() that go by the nodes' own order
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,7 +97,8 @@ def bloom_fit(keys: DataFrame, col: str, max_bits: int = 1 << 27) -> tuple[np.nd
     kind = "block long, bitmap binary"
     blocks = keys.mapInArrow(local, kind).groupBy("block").applyInArrow(either, kind)
     out = np.zeros(bits // 8, dtype=np.uint8)
-    for row in blocks.toLocalIterator():
+    # a partition is fetched by a job of its own: as many as the bitmap has MB, not as the shuffle has partitions
+    for row in blocks.repartition(max(2, bits >> 23)).toLocalIterator():
         at = row.block * (BLOCK_BITS // 8)
         out[at:at + BLOCK_BITS // 8] = np.frombuffer(bytes(row.bitmap), dtype=np.uint8)
     return out, bits
@@ -124,26 +126,40 @@ def bloom_has(bloom: tuple[np.ndarray, int], keys: np.ndarray) -> np.ndarray:
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) of every node of ``edges``; root: the smallest node its links reach.
 
-    Minimum labels spread over links and then jump to the label's own label, until nothing
-    changes. Labels pre-aggregate before each shuffle, every round is cut, nothing is collected
-    but one changed-or-not flag.
+    Each round points every node to the first of itself and its neighbours and lays its links
+    between what their ends point to. Loops and repeats go, so links shrink from round to round and
+    few rounds are left; then the pointers of all rounds are followed. The first rounds go by the
+    nodes' own order, later ones by hash, as a long chain in order would lose a node a round.
+    Minima pre-aggregate before the shuffle, the links of every round are cut, nothing is collected but one
+    flag whether links are left.
     """
-    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
-    both = cut(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("node"), F.least("u", "m").alias("root")))
+    def laid(df, u, v):
+        return cut(df.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct())
+
+    def rank(col):
+        return F.struct(F.xxhash64(F.lit(len(steps)), col).alias("h"), F.col(col).alias("node"))
+
+    steps: list[DataFrame] = []
+    links = laid(edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull()), a, b)
     while True:
-        near = (both.join(labels.select(F.col("node").alias("v"), "root"), "v")
-                .groupBy("u").agg(F.min("root").alias("m")))
-        spread = labels.join(near.withColumnRenamed("u", "node"), "node").select(
-            "node", F.least("root", "m").alias("root"), F.col("root").alias("old"))
-        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = cut(spread.join(jump, "root", "left").select(
-            "node", F.least("root", F.coalesce("up", "root")).alias("root"), "old"))
-        changed = not new.filter("root <> old").isEmpty()
-        labels = new.drop("old")
-        if not changed:
-            return labels
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        if len(steps) < OWN_ORDER:
+            step = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("to"))
+        else:
+            step = both.groupBy("u").agg(F.min(rank("v")).alias("m")).select(
+                F.col("u").alias("node"), F.least(rank("u"), F.col("m"))["node"].alias("to"))
+        steps.append(step)
+        links = laid(links.join(steps[-1].toDF("u", "x"), "u").join(steps[-1].toDF("v", "y"), "v").filter("x <> y"), "x", "y")
+        if links.isEmpty():
+            break
+    hashed = len(steps) > OWN_ORDER
+    labels = steps.pop()
+    while steps:
+        labels = steps.pop().join(labels.toDF("to", "root"), "to", "left").select("node", F.coalesce("root", "to").alias("to"))
+    if hashed:  # the node left of a component need not be its smallest
+        labels = cut(labels)
+        labels = labels.join(labels.groupBy("to").agg(F.min("node").alias("root")), "to").select("node", F.col("root").alias("to"))
+    return cut(labels.toDF("node", "root"))
 
 
 # ---------------------------------------------------------------- Arrow helpers

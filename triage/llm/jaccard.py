@@ -316,7 +316,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100,
                  block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs(doc_id, text)``."""
     base = cut(bases(docs, size, num, den, stretch))
-    shared = base.select(F.explode("pool").alias("token")).groupBy("token").count().filter("count > 1")
+    shared = cut(base.select(F.explode("pool").alias("token")).groupBy("token").count().filter("count > 1").select("token"))
     near = survivors(base, bloom_fit(shared, "token"), num, den, stretch)
     reps = cut(near.groupBy("cls").agg(F.min(F.coalesce("doc_id", F.lit(-1))).alias("rep")))
     sets = cut(whole_sets(docs, bloom_fit(reps, "rep"), size).join(
