@@ -7,6 +7,8 @@ import re
 import pytest
 from pyspark.errors import PySparkException
 
+from triage.operators.joins import contains_join
+from triage.plans import composite
 from triage.plans.composite import access, atom_hits, composite_rule_index, leaf_atoms, matching_rules, rule_tree
 
 MAIL = ("message_id string, from_address string, from_domain string, sender_address string, reply_to_address string, subject string, "
@@ -139,3 +141,62 @@ def test_rows_of_a_rule_and_empty_nodes(spark):
     rules = [("one", leaf, "p"), ("and", {"type": "and", "all": [leaf, {"type": "or", "any": []}]}, "q"), ("none", {"type": "and", "all": []}, "r")]
     r = spark.createDataFrame([(k, json.dumps(v), t) for k, v, t in rules], "rule_id string, condition_json string, target string")
     assert sorted(tuple(x) for x in matching_rules(m, r, keep=("target",)).collect()) == [("a", "and", "q"), ("a", "one", "p")]
+
+
+def test_rules_that_say_the_same_are_decided_once(spark, monkeypatch):
+    """What rules say is broken up and decided once, however many rules say it; rules that share it come in rows of bounded size."""
+    rng = random.Random(13)
+    mail = mails(rng, 40)
+    said = [{"type": "and", "all": [{"field": "sender_address", "op": "=", "value": "r1@x"}, {"field": "to_count", "op": "!=", "value": k}]} for k in range(3)]
+    said.append({"type": "or", "any": [said[0], {"field": "subject", "op": "ilike_any", "value": ["%report%"]}]})
+    rules = {f"r{i:04}": said[i % 4] for i in range(1200)}
+    seen = []
+    monkeypatch.setattr(composite, "rule_tree", lambda df: seen.append(df.count()) or rule_tree(df))
+    want = sorted((m[0], k) for m in mail for k, v in rules.items() if holds(v, m))
+    assert run(spark, mail, rules) == want and want
+    assert seen == [4]
+    told = composite.shared_conditions(spark.createDataFrame([(k, json.dumps(v)) for k, v in rules.items()], "rule_id string, condition_json string"), ())[1]
+    sizes = [len(x.told) for x in told.collect()]
+    assert sum(sizes) == 1200 and max(sizes) == 256
+
+
+def test_plain_rules_are_joined_without_steps(spark):
+    """A condition that runs steps keeps a join from being compiled: only rules with nested conditions meet one."""
+    leaf = {"field": "precedence", "op": "=", "value": "bulk"}
+    rules = [("plain", {"type": "and", "all": [leaf, leaf]}), ("nested", {"type": "or", "any": [leaf, leaf]})]
+    m = spark.createDataFrame(mails(random.Random(5), 20), MAIL)
+    r = spark.createDataFrame([(k, json.dumps(v)) for k, v in rules], "rule_id string, condition_json string")
+    plan = matching_rules(m, r)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [x for x in plan if "Join Inner" in x]
+    assert len([x for x in joins if "aggregate(" in x]) == 1 and "aggregate(" not in joins[0]
+
+
+def test_rows_that_come_twice(spark):
+    """Mails of one id are one mail with the values of both; a rule's rows come once a row and condition."""
+    m = spark.createDataFrame([("a", *["x"] * 8, 1, None), ("a", *["y"] * 8, 2, None), ("a", *["y"] * 8, 2, None)], MAIL)
+    both = {"type": "and", "all": [{"field": "subject", "op": "=", "value": "x"}, {"field": "to_count", "op": ">=", "value": 2}]}
+    rules = [("twice", both, "p"), ("twice", both, "q"), (None, both, "r"), ("once", both, "s")]
+    r = spark.createDataFrame([(k, json.dumps(v), t) for k, v, t in rules], "rule_id string, condition_json string, target string")
+    assert sorted(tuple(x) for x in matching_rules(m, r, keep=("target",)).collect()) == [
+        ("a", "once", "s"), ("a", "twice", "p"), ("a", "twice", "p"), ("a", "twice", "q"), ("a", "twice", "q")]
+
+
+def test_patterns_by_their_start_end_or_middle(spark):
+    words = [(f, v) for f in ("subject", "from_address") for v in ("", "a", "Ann12345678@x", "ann1@x.com", "a_b", "axb", "50% off today", "re: a_b", "ÄRGER im büro", "x\ny")]
+    likes = ["%", "_", "%%", "a%", "%A", "ann1234567%", "ann%", "%@x", "%n1@x%", "a\\_b", "%a\\_b", "a\\_b%", "50\\% off%", "%\\%%", "a_b", "%ärger%büro", "ärger im%", "%im b%", "x%y", ""]
+    atoms = [(f, "ilike", p) for p in likes for f in ("subject", "from_address")][::-1][:-3]
+    w, a = spark.createDataFrame(words, "field string, value string"), spark.createDataFrame(atoms, "field string, atom_op string, atom_value string")
+    want = sorted(tuple(x) for x in w.join(a, "field").filter("value ilike atom_value").select("field", "value", "atom_op", "atom_value").collect())
+    assert sorted(tuple(x) for x in atom_hits(w, a).collect()) == want and len(want) > 40
+
+
+@pytest.mark.parametrize("gram", [1, 2, 4])
+def test_contains_join_of_the_same(spark, gram):
+    rng = random.Random(gram)
+    texts = [(i, rng.choice("fg"), rng.choice([None, "", *("".join(rng.choice("abé.") for _ in range(rng.randint(0, 9))) for _ in range(8))])) for i in range(80)]
+    many = [("g", "".join(rng.choice("abcdefghijklmnopqrstuvé") for _ in range(3)), 99) for _ in range(200)]  # more starts than are told apart
+    for extra in ([], many):
+        pats = [(rng.choice("fgh"), rng.choice([None, "", "a", "ab", "aba", "é.a", "abab.", "b"]), k) for k in range(12)] + extra
+        got = contains_join(spark.createDataFrame(texts, "i int, f string, t string"), "t", spark.createDataFrame(pats, "f string, p string, k int"), "p", gram, same="f")
+        assert sorted(tuple(r) for r in got.select("i", "f", "t", "p", "k").collect()) == sorted(
+            (i, f, t, p, k) for i, f, t in texts for g, p, k in pats if f == g and t is not None and p and p in t)

@@ -26,7 +26,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str, gram: int = 4) -> DataFrame:
+def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str, gram: int = 4, same: str | None = None) -> DataFrame:
     """Rows of ``texts`` x ``patterns`` where text contains pattern (non-empty patterns).
 
     The distinct texts are a dictionary that is searched once, however many rows hold a text. The
@@ -34,7 +34,12 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
     text gives its distinct substrings of those one to ``gram`` lengths, an equi-join finds the
     patterns that may start there, and the whole pattern is compared. Hits come back to the rows by
     an equi-join on the text, so what is exploded grows with the dictionary and not with the rows.
+
+    ``same``: a column of few values that text and pattern must share. Then a text gives substrings
+    only of the lengths and where the first two characters are those of a pattern of its value.
     """
+    if same:
+        return _contains_same(texts, text_col, patterns, pattern_col, gram, same)
     pats = patterns.filter(F.length(pattern_col) > 0).withColumn("_gram", F.substring(pattern_col, 1, gram))
     lengths = pats.agg(F.collect_set(F.length("_gram")).alias("_lens"))  # one row of at most ``gram`` numbers
     grams = F.expr("""array_distinct(flatten(transform(filter(_lens, n -> n <= length(_text)),
@@ -49,6 +54,24 @@ def contains_join(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_
     return texts.join(hits, text == hits["_text"]).drop("_text")
 
 
+def _contains_same(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str, gram: int, same: str) -> DataFrame:
+    pats = patterns.filter(F.length(pattern_col) > 0).withColumn("_gram", F.substring(pattern_col, 1, gram))
+    known = pats.groupBy(same).agg(F.collect_set(F.length("_gram")).alias("_lens"), F.collect_set(F.substring("_gram", 1, 2)).alias("_heads"))
+    # a text is small beside its substrings: they are made in as many tasks as there are partitions
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = (texts.select(same, c(text_col).alias("_text")).filter("_text <> ''").distinct().repartition(parts, same, "_text")
+             .join(F.broadcast(known), same))
+    # where many first characters are told apart, looking for them costs more than it saves
+    grams = F.expr("""array_distinct(flatten(transform(
+        filter(sequence(1, length(_text)), i -> size(_heads) > 100
+            or array_contains(_heads, substring(_text, i, 2)) or array_contains(_heads, substring(_text, i, 1))),
+        i -> transform(filter(_lens, n -> i + n - 1 <= length(_text)), n -> substring(_text, i, n)))))""")
+    starts = words.select(same, "_text", F.explode_outer(grams).alias("_gram"))
+    hits = (starts.join(pats.withColumnRenamed(pattern_col, "_pattern"), [same, "_gram"]).filter(F.expr("contains(_text, _pattern)"))
+            .select(same, "_text", c("_pattern").alias(pattern_col), *[x for x in patterns.columns if x not in (pattern_col, same)]))
+    return texts.withColumn("_text", c(text_col)).join(hits, [same, "_text"]).drop("_text")
+
+
 def first_by_priority(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                       value_cols: Sequence[str]) -> DataFrame:
     """Per key, the row with the smallest ``order`` tuple (C15), as a partial aggregate."""

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triage.operators.joins import contains_join
@@ -58,31 +58,34 @@ def _or_error(ok: Column, value: Column, message: str, kind: str = "string") ->
 def rule_tree(rules: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """(inner nodes, leaves, depth) of ``rules(rule_id, condition_json)``.
 
-    Nodes: rule_id, node (its path), parent, level, kind (and/or). Leaves: rule_id, node, parent,
+    Nodes: rule_id, node (its path, of ten digits a level), parent, level, kind (and/or). Leaves: rule_id, node, parent,
     level, field, op, values (texts). The loop runs once a level of the deepest condition.
     """
-    front = _cut(rules.select("rule_id", F.lit("0").alias("node"), F.lit(None).cast("string").alias("parent"),
-                              F.parse_json("condition_json").alias("v")))
     nodes, leaves, level = None, None, 0
     get = lambda path, kind: F.try_variant_get("v", path, kind)
-    while not front.isEmpty():
-        kind = get("$.type", "string")
-        split = front.withColumns({"kind": kind, "level": F.lit(level)})
-        inner = split.filter(c("kind").isin("and", "or"))
+
+    def read(front):  # each node is looked through once
+        inner = F.coalesce(c("kind").isin("and", "or"), F.lit(False))
+        at = front.withColumn("kind", get("$.type", "string"))
         values = F.coalesce(get("$.value", "array<string>"), F.array(get("$.value", "string")))
-        leaf = split.filter(c("kind").isNull() | ~c("kind").isin("and", "or")).select(
-            "rule_id", "node", "parent", "level", get("$.field", "string").alias("field"), get("$.op", "string").alias("op"),
-            F.filter(values, lambda x: x.isNotNull()).alias("values"))
-        leaf = leaf.withColumns({
-            "field": _or_error(F.coalesce(c("field").isin(list(FIELDS)), F.lit(False)), c("field"), "a condition names an unknown field"),
-            "op": _or_error(F.coalesce(c("op").isin(list(OPS)), F.lit(False)), c("op"), "a condition has an unknown operator")})
-        named = inner.select("rule_id", "node", "parent", "level", "kind")
+        field, op = get("$.field", "string"), get("$.op", "string")
+        return _cut(at.select(
+            "rule_id", "node", "parent", F.lit(level).alias("level"), "kind", inner.alias("inner"),
+            F.when(~inner, _or_error(F.coalesce(field.isin(list(FIELDS)), F.lit(False)), field, "a condition names an unknown field")).alias("field"),
+            F.when(~inner, _or_error(F.coalesce(op.isin(list(OPS)), F.lit(False)), op, "a condition has an unknown operator")).alias("op"),
+            F.when(~inner, F.filter(values, lambda x: x.isNotNull())).alias("values"),
+            F.when(inner, F.coalesce(get("$.all", "array<variant>"), get("$.any", "array<variant>"))).alias("children")))
+
+    front = read(rules.select("rule_id", F.lit("0").alias("node"), F.lit(None).cast("string").alias("parent"),
+                              F.parse_json("condition_json").alias("v")))
+    while not front.isEmpty():
+        named = front.filter("inner").select("rule_id", "node", "parent", "level", "kind")
+        leaf = front.filter("not inner").select("rule_id", "node", "parent", "level", "field", "op", "values")
         nodes = named if nodes is None else nodes.unionByName(named)
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
-        children = F.coalesce(get("$.all", "array<variant>"), get("$.any", "array<variant>"))
-        front = _cut(inner.select("rule_id", c("node").alias("parent"), F.posexplode(children).alias("pos", "v"))
-                     .select("rule_id", F.concat_ws(".", "parent", "pos").alias("node"), "parent", "v"))
         level += 1
+        front = read(front.filter("inner").select("rule_id", c("node").alias("parent"), F.posexplode("children").alias("pos", "v"))
+                     .select("rule_id", F.concat_ws(".", "parent", F.lpad(c("pos").cast("string"), 10, "0")).alias("node"), "parent", "v"))
     if nodes is None:
         empty = rules.sparkSession.createDataFrame
         return (empty([], "rule_id string, node string, parent string, level int, kind string"),
@@ -110,108 +113,124 @@ def field_rows(mail: DataFrame, fields: list[str]) -> DataFrame:
     return wide.unpivot(["message_id"], fields, "field", "value").filter("value is not null")
 
 
-def _by_end(words: DataFrame, atoms: DataFrame, op: str, gram: int = 6) -> DataFrame:
-    """Values that start or end with an atom's text: equi-join on so many first or last characters."""
-    part = (lambda x, n: F.substring(x, 1, n)) if op == "starts_with" else (lambda x, n: F.right(x, n))
-    index = atoms.filter((c("atom_op") == op) & (c("atom_value") != "")).withColumn("_end", part(c("atom_value"), F.lit(gram)))
-    lens = index.agg(F.collect_set(F.length("_end")).alias("_lens"))  # one row of at most ``gram`` numbers
-    ends = words.withColumn("_lens", lens.scalar()).select(
-        "field", "value", F.explode_outer(F.transform(F.filter("_lens", lambda n: n <= F.length("value")),
-                                                lambda n: part(c("value"), n))).alias("_end"))
-    whole = F.startswith("value", "atom_value") if op == "starts_with" else F.endswith("value", "atom_value")
+def _by_end(words: DataFrame, atoms: DataFrame, op: str, gram: int = 8, text: str = "value", part: str = "atom_value") -> DataFrame:
+    """Values whose ``text`` starts or ends with an atom's ``part``: equi-join on so many first or last characters."""
+    end = (lambda x, n: F.substring(x, 1, n)) if op == "starts_with" else (lambda x, n: F.right(x, n))
+    index = atoms.filter(c(part) != "").withColumn("_end", end(c(part), F.lit(gram)))
+    lens = index.groupBy("field").agg(F.collect_set(F.length("_end")).alias("_lens"))  # a row a field, of at most ``gram`` numbers
+    ends = words.join(F.broadcast(lens), "field").select(
+        "*", F.explode_outer(F.transform(F.filter("_lens", lambda n: n <= F.length(text)), lambda n: end(c(text), n))).alias("_end"))
+    whole = F.startswith(text, part) if op == "starts_with" else F.endswith(text, part)
     return ends.join(index, ["field", "_end"]).filter(whole).select("field", "value", "atom_op", "atom_value")
 
 
-def _by_pattern(words: DataFrame, atoms: DataFrame) -> DataFrame:
-    """Values that match an atom's pattern, found through its longest literal piece."""
-    pieces = F.split(F.lower("atom_value"), r"[%_\\]+")
-    likes = atoms.filter("atom_op = 'ilike'").withColumn(
-        "_piece", F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"])
-    texts = words.select(c("field").alias("_field"), "value", F.lower("value").alias("_low"))
+def _by_pattern(words: DataFrame, atoms: DataFrame, gram: int = 8) -> DataFrame:
+    """Values that match an atom's pattern, found through the literal piece at its start or end, or else its longest one."""
     # eight characters: rules often differ behind a common start
-    found = contains_join(texts, "_low", likes.filter("_piece <> ''"), "_piece", gram=8).filter("_field = field")
-    free = words.join(likes.filter("_piece = ''"), "field")  # only wildcards
+    likes = (atoms.filter("atom_op = 'ilike'").withColumn("_pieces", F.split(F.lower("atom_value"), r"[%_\\]+"))
+             .withColumns({"_piece": F.array_max(F.transform("_pieces", lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"],
+                           "_head": F.element_at("_pieces", 1), "_tail": F.element_at("_pieces", -1)}))
+    enough = F.least(F.length("_piece"), F.lit(gram))  # such a piece tells no less than the longest
+    by = F.when(c("_piece") == "", "free").when(F.length("_head") >= enough, "_head").when(F.length("_tail") >= enough, "_tail").otherwise("_piece")
+    likes = likes.withColumn("_by", by).drop("_pieces")
+    texts = words.select("field", "value", F.lower("value").alias("_low"))
+    found = [_by_end(texts, likes.filter("_by = '_head'"), "starts_with", gram, "_low", "_head"),
+             _by_end(texts, likes.filter("_by = '_tail'"), "ends_with", gram, "_low", "_tail"),
+             contains_join(texts, "_low", likes.filter("_by = '_piece'"), "_piece", gram, same="field"),
+             words.join(likes.filter("_by = 'free'"), "field")]  # only wildcards
     cols = ["field", "value", "atom_op", "atom_value"]
-    return found.select(cols).unionByName(free.select(cols)).filter(F.expr("value ilike atom_value"))
+    out = found[0].select(cols)
+    for x in found[1:]:
+        out = out.unionByName(x.select(cols))
+    return out.filter(F.expr("value ilike atom_value"))
 
 
 def atom_hits(words: DataFrame, atoms: DataFrame) -> DataFrame:
     """(field, value, atom_op, atom_value) of every distinct value and distinct atom that it matches."""
     cols = ["field", "value", "atom_op", "atom_value"]
     equal = words.join(atoms.filter("atom_op = '='").withColumn("value", c("atom_value")), ["field", "value"])
-    present = words.join(atoms.filter(c("atom_op") == NOT_NULL), "field")
-    numbers = words.withColumn("_x", F.expr("try_cast(value as double)")).filter("_x is not null")
+    present = words.join(F.broadcast(atoms.filter(c("atom_op") == NOT_NULL)), "field")  # one a field
     ranges = atoms.filter(c("atom_op").isin(list(RANGES))).withColumn("_t", F.expr("try_cast(atom_value as double)"))
+    among = ranges.agg(F.collect_set("field"))  # one row of at most len(FIELDS) names; other fields' texts are not read as numbers
+    numbers = words.withColumn("_among", among.scalar()).withColumn(
+        "_x", F.when(F.array_contains("_among", c("field")), F.expr("try_cast(value as double)"))).filter("_x is not null").drop("_among")
     compare = F.expr("case atom_op when '<=' then _x <= _t when '<' then _x < _t when '>=' then _x >= _t else _x > _t end")
     ranged = numbers.join(ranges, "field").filter(compare)
-    ended = [_by_end(words, atoms, op) for op in ("starts_with", "ends_with")]
-    empty = words.join(atoms.filter(c("atom_op").isin("starts_with", "ends_with") & (c("atom_value") == "")), "field")
+    ended = [_by_end(words, atoms.filter(c("atom_op") == op), op) for op in ("starts_with", "ends_with")]
+    empty = words.join(F.broadcast(atoms.filter(c("atom_op").isin("starts_with", "ends_with") & (c("atom_value") == ""))), "field")
     out = equal.select(cols)
     for x in (present, ranged, *ended, empty, _by_pattern(words, atoms)):
         out = out.unionByName(x.select(cols))
     return out
 
 
-def access(nodes: DataFrame, leaves: DataFrame, atoms: DataFrame, cost: DataFrame, depth: int) -> DataFrame:
-    """(rule_id, field, atom_op, atom_value): the atoms through which each rule's candidates come.
+def programs(nodes: DataFrame, leaves: DataFrame, atoms: DataFrame, kind: str = "bigint") -> DataFrame:
+    """(rule_id, copies, program, must, mustnt, simple, doors): each rule's tree as one row, children before their parent.
 
-    Costs go up the tree (an ``or`` costs the sum of its children, an ``and`` its cheapest child),
-    then choices come down: of an ``and`` only that child stays.
-    """
-    priced = (atoms.filter("not absent").join(cost, ["field", "atom_op", "atom_value"], "left")
-              .groupBy("rule_id", "node").agg(F.sum(F.coalesce("n", F.lit(0))).alias("cost")))
-    priced = _cut(leaves.select("rule_id", "node", "parent", "level").join(priced, ["rule_id", "node"], "left")
-                  .withColumn("cost", F.coalesce("cost", F.lit(0))))  # a leaf without a value never holds
-    known, up = priced, None
-    for level in range(depth - 2, -1, -1):  # the deepest level holds leaves only
-        kids = priced.filter(c("level") == level + 1)
-        kids = (kids if up is None else kids.unionByName(up)).groupBy("rule_id", c("parent").alias("node")).agg(
-            F.min("cost").alias("least"), F.sum("cost").alias("all"))
-        up = nodes.filter(c("level") == level).join(kids, ["rule_id", "node"]).select(
-            "rule_id", "node", "parent", "level", F.when(c("kind") == "and", c("least")).otherwise(c("all")).alias("cost"))
-        known = known.unionByName(up)
-    known = _cut(known)
-    taken = known.filter("level = 0").select("rule_id", "node")
-    chosen = taken
-    for level in range(depth - 1):
-        kids = (known.filter(c("level") == level + 1).join(nodes.filter(c("level") == level).select(
-            "rule_id", c("node").alias("parent"), "kind"), ["rule_id", "parent"])
-            .join(taken.withColumnRenamed("node", "parent"), ["rule_id", "parent"], "left_semi"))
-        one = kids.filter("kind = 'and'").groupBy("rule_id", "parent").agg(F.min_by("node", F.struct("cost", "node")).alias("node"))
-        taken = kids.filter("kind = 'or'").select("rule_id", "node").unionByName(one.select("rule_id", "node"))
-        chosen = chosen.unionByName(taken)
-    return atoms.filter("not absent").join(chosen, ["rule_id", "node"], "left_semi").select(
-        "rule_id", "field", "atom_op", "atom_value").distinct()
-
-
-def programs(nodes: DataFrame, leaves: DataFrame, atoms: DataFrame) -> DataFrame:
-    """(rule_id, copies, program, must, mustnt, simple): each rule's tree as one row, children before their parent.
-
-    A step is a leaf with the ids of the atoms of which one must hold (``some``) and of those that must
-    not (``none``), or a node with the number of its children. ``must`` and ``mustnt`` are the atoms that
-    leaves right below an outer ``and`` ask for alone; they are looked at first, and a ``simple`` rule has
-    no other conditions. ``copies`` counts the rule's rows.
+    ``atoms`` are those of ``leaf_atoms`` with ``atom`` (an id, of the type ``kind``) and ``n``, the mails it
+    matches. A step is a leaf with the atoms of which one must hold (``some``) and of those that must not
+    (``none``), or a node with the number of its children. ``must`` and ``mustnt`` are the atoms that leaves
+    right below an outer ``and`` ask for alone; they are looked at first, and a ``simple`` rule has no other
+    conditions. ``doors``: the atoms through which the rule's candidates come. ``copies`` counts the rule's rows.
+
+    Leaves, nodes and atoms are dealt by rule once; a rule's steps never leave its partition.
     """
-    ids = lambda when: F.collect_set(F.when(when, c("atom")))
-    tests = atoms.groupBy("rule_id", "node").agg(ids(~c("absent")).alias("some"), ids(c("absent")).alias("none"))
-    no_ids = F.array().cast("array<bigint>")
-    leaf = leaves.select("rule_id", "node", "parent", F.lit("leaf").alias("kind")).distinct().join(tests, ["rule_id", "node"], "left")
-    steps = leaf.unionByName(nodes.select("rule_id", "node", "parent", "kind").distinct(), allowMissingColumns=True)
-    kids = steps.groupBy("rule_id", c("parent").alias("node")).agg(F.count_distinct("node").cast("int").alias("kids"))
+    part = lambda df, **cols: df.select("rule_id", *[
+        (cols[x] if x in cols else F.lit(None)).cast(t).alias(x)
+        for x, t in (("node", "string"), ("parent", "string"), ("kind", "string"), ("root", "int"), ("kid", "string"),
+                     ("some", kind), ("none", kind), ("n", "bigint"))])
+    tree = leaves.select("rule_id", "node", "parent", "level", F.lit("leaf").alias("kind")).unionByName(nodes.select("rule_id", "node", "parent", "level", "kind"))
+    rows = part(tree, node=c("node"), parent=c("parent"), kind=c("kind"), root=(c("level") == 0)).unionAll(
+        part(tree.filter("parent is not null"), node=c("parent"), kid=c("node"))).unionAll(
+        part(atoms, node=c("node"), some=F.when(~c("absent"), c("atom")), none=F.when(c("absent"), c("atom")), n=F.when(~c("absent"), c("n"))))
+    has = {x: f"is_{x}" for x in ("and", "leaf", "or")}
+    steps = rows.filter("rule_id is not null").repartition("rule_id").groupBy("rule_id", "node").agg(
+        F.max("parent").alias("parent"), *[F.coalesce(F.bool_or(c("kind") == x), F.lit(False)).alias(y) for x, y in has.items()],
+        F.sum("root").alias("roots"), F.size(F.collect_set("kid")).alias("kids"),
+        F.collect_set("some").alias("some"), F.collect_set("none").alias("none"), F.coalesce(F.sum("n"), F.lit(0)).alias("cost"))
     # '~' sorts behind '.', so a parent comes behind all that is below it
-    place = F.concat(F.array_join(F.transform(F.split("node", r"\."), lambda x: F.lpad(x, 10, "0")), "."), F.lit("~"))
-    step = F.struct(place.alias("place"), "kind", F.coalesce("kids", F.lit(0)).alias("kids"),
-                    F.coalesce("some", no_ids).alias("some"), F.coalesce("none", no_ids).alias("none"))
-    roots = nodes.filter("level = 0").select("rule_id").unionAll(leaves.filter("level = 0").select("rule_id"))
-    outer = nodes.filter("level = 0 and kind = 'and'").select("rule_id", F.lit(True).alias("outer_and")).distinct()
-    top = (c("kind") == "leaf") & (c("parent").isNull() | (c("parent") == "0") & F.coalesce("outer_and", F.lit(False)))
-    alone = top & (F.size(F.coalesce("some", no_ids)) == 1)
-    of = lambda when, ids: F.array_distinct(F.flatten(F.collect_list(F.when(when, c(ids)))))
-    return (steps.filter("rule_id is not null").join(kids, ["rule_id", "node"], "left").join(outer, "rule_id", "left").groupBy("rule_id")
-            .agg(F.transform(F.array_sort(F.collect_list(step)), lambda x: x.dropFields("place")).alias("program"),
-                 of(alone, "some").alias("must"), of(top, "none").alias("mustnt"),
-                 F.bool_and(alone | c("parent").isNull() & (c("kind") == "and") & (c("kids") > 0)).alias("simple"))
-            .join(roots.groupBy("rule_id").agg(F.count(F.lit(1)).cast("int").alias("copies")), "rule_id"))
+    step = lambda x: F.array(F.struct(F.concat("node", F.lit("~")).alias("place"), F.lit(x).alias("kind"), "kids", "some", "none", "cost", "node"))
+    step = F.concat(*[F.slice(step(x), 1, F.when(c(y), 1).otherwise(0)) for x, y in has.items()])
+    top = c("parent").isNull() | (c("parent") == "0")
+    of = lambda when, ids: F.flatten(F.collect_list(F.when(when & c("is_leaf"), c(ids))))
+    alone = F.size("some") == 1
+    gathered = steps.groupBy("rule_id").agg(
+        F.sort_array(F.flatten(F.collect_list(step))).alias("program"), F.sum("roots").cast("int").alias("copies"),
+        F.bool_or((c("node") == "0") & c("is_and")).alias("outer"),  # of an outer ``or``, no leaf is asked for alone
+        of(c("parent").isNull() & alone, "some").alias("m0"), of((c("parent") == "0") & alone, "some").alias("m1"),
+        of(c("parent").isNull(), "none").alias("x0"), of(c("parent") == "0", "none").alias("x1"),
+        F.min_by("some", F.when(c("is_leaf"), F.struct("cost", "node"))).alias("cheapest"),
+        F.bool_and((~c("is_leaf") | top & alone) & (~c("is_and") | c("parent").isNull() & (c("kids") > 0)) & ~c("is_or")).alias("simple"))
+    both = lambda a, b: F.array_distinct(F.when(c("outer"), F.concat(a, b)).otherwise(c(a)))
+    return gathered.select("rule_id", "copies", F.transform("program", lambda x: x.dropFields("place", "cost", "node")).alias("program"),
+                           both("m0", "m1").alias("must"), both("x0", "x1").alias("mustnt"), "simple",
+                           F.when(c("simple"), c("cheapest")).otherwise(entry_atoms(c("program"), kind)).alias("doors"))
+
+
+def entry_atoms(program: Column, kind: str) -> Column:
+    """The atoms through which a rule's candidates come. Costs go up the steps: an ``or`` is found through all
+    its children and costs their sum, an ``and`` through its cheapest child alone. A node without children has none."""
+    def step(stack, x):
+        below = F.size(stack) - x["kids"]
+        kids = F.array_compact(F.slice(stack, below + 1, x["kids"]))
+        every = F.struct(F.aggregate(kids, F.lit(0).cast("bigint"), lambda a, k: a + k["cost"]).alias("cost"), x["node"].alias("node"),
+                         F.flatten(F.transform(kids, lambda k: k["doors"])).alias("doors"))
+        least = F.struct(F.array_min(kids)["cost"].alias("cost"), x["node"].alias("node"), F.array_min(kids)["doors"].alias("doors"))
+        node = F.when(F.size(kids) > 0, F.when(x["kind"] == "and", least).otherwise(every))
+        leaf = F.struct(x["cost"].alias("cost"), x["node"].alias("node"), x["some"].alias("doors"))
+        return F.when(x["kind"] == "leaf", F.concat(stack, F.array(leaf))).otherwise(
+            F.concat(F.slice(stack, F.lit(1), below), F.array(node)))
+
+    start = F.array().cast(f"array<struct<cost:bigint,node:string,doors:array<{kind}>>>")
+    return F.array_distinct(F.aggregate(program, start, step)[0]["doors"])
+
+
+def access(nodes: DataFrame, leaves: DataFrame, atoms: DataFrame, cost: DataFrame, depth: int) -> DataFrame:
+    """(rule_id, field, atom_op, atom_value): the atoms through which each rule's candidates come."""
+    used = ["field", "atom_op", "atom_value"]
+    priced = atoms.join(cost, used, "left").withColumn("atom", F.struct(*used))
+    return programs(nodes, leaves, priced, "struct<field:string,atom_op:string,atom_value:string>").select(
+        "rule_id", F.explode("doors").alias("door")).select("rule_id", "door.*")
 
 
 def decide(program: Column, matched: Column) -> Column:
@@ -228,13 +247,62 @@ def decide(program: Column, matched: Column) -> Column:
     return F.coalesce(F.aggregate(program, F.array().cast("array<boolean>"), step)[0], F.lit(False))
 
 
+def shared_conditions(rules: DataFrame, keep: tuple[str, ...], chunk: int = 256) -> tuple[DataFrame, DataFrame]:
+    """(conditions, told): what rules say, once for all rules that say the same.
+
+    Conditions: condition_json under the least of those rules' ids as ``rule_id`` (rules without an id stay
+    as they are). Told: that rule_id with its rules' rows (rule_id and the columns ``keep``), up to
+    ``chunk`` rules a row.
+    """
+    rows = F.collect_list(F.struct("rule_id", *keep)) if keep else F.array(F.struct("rule_id"))
+    by_rule = rules.filter("rule_id is not null").groupBy("rule_id").agg(
+        F.sort_array(F.collect_list(F.struct("condition_json"))).alias("said"), rows.alias("told"))
+    alike = Window.partitionBy("hash", "said").orderBy("rule_id")  # the hash first: it is compared faster than texts
+    ranked = _cut(by_rule.withColumn("hash", F.xxhash64("said")).withColumns({"first": F.first("rule_id").over(alike), "place": F.row_number().over(alike) - 1}))
+    conditions = ranked.filter("place = 0").select("rule_id", F.explode("said").alias("x")).select("rule_id", "x.condition_json")
+    told = ranked.groupBy(c("first").alias("rule_id"), F.floor(c("place") / chunk).alias("chunk")).agg(
+        F.flatten(F.collect_list("told")).alias("told")).drop("chunk")
+    return conditions.unionByName(rules.filter("rule_id is null").select("rule_id", "condition_json")), told
+
+
+def mail_atoms(mail: DataFrame, value_atoms: DataFrame, fields: list[str], small: int = 100_000) -> DataFrame:
+    """(message_id, matched, plain, nested): the atoms of each mail's values, and those of them that are doors of such rules.
+
+    ``value_atoms`` (field, value and the same) is looked up once a field; the fields whose values and atoms
+    are counted ``small`` are broadcast, so a mail is shuffled for the others and for its id only.
+    """
+    kinds = ("matched", "plain", "nested")
+    sizes = {r.field: r.n for r in value_atoms.groupBy("field").agg(F.sum(F.size("matched") + 1).alias("n")).collect()}  # a row a field
+    wide = mail.filter("message_id is not null").select("message_id", *[F.expr(FIELDS[f]).alias(f) for f in fields])
+    of = {f: value_atoms.filter(c("field") == f).select(c("value").alias(f), *[c(x).alias(f"{x}_{f}") for x in kinds])
+          for f in sizes}
+    for f in sorted(of, key=lambda f: -sizes[f]):
+        wide = wide.join(F.broadcast(of[f]) if sizes[f] <= small else of[f], f, "left")
+    none = F.array().cast("array<bigint>")
+    wide = wide.select("message_id", *[F.concat(none, *[F.coalesce(f"{name}_{f}", none) for f in of]).alias(name) for name in kinds])
+    flat = lambda x: F.when(F.size("all") == 1, F.get("all", F.lit(0))[x]).otherwise(F.array_distinct(F.flatten(c("all")[x]))).alias(x)
+    return wide.repartition("message_id").groupBy("message_id").agg(F.collect_list(F.struct(*kinds)).alias("all")).select(
+        "message_id", *[flat(x) for x in kinds])
+
+
+def _quick(must: str, mustnt: str, matched: str, n: int = 4) -> Column:
+    """All of ``must`` and none of ``mustnt`` are matched: the first ``n`` are looked up one by one, without a set made for each pair."""
+    ok = F.lit(True)
+    for k in range(n):
+        has = lambda ids, k=k: F.array_contains(matched, F.get(ids, F.lit(k)))
+        ok = ok & ((F.size(must) <= k) | has(must)) & ((F.size(mustnt) <= k) | ~has(mustnt))
+    return ok & ((F.size(must) <= n) | (F.size(F.array_except(must, matched)) == 0)) & (
+        (F.size(mustnt) <= n) | ~F.arrays_overlap(mustnt, matched))
+
+
 def matching_rules(mail: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """(message_id, rule_id) of every mail and composite rule that holds for it, with the rule's columns ``keep``.
 
     What is shuffled and kept grows with mails, values, atoms and rules: candidates are decided where the
-    join makes them, and only those that hold leave it.
+    join makes them, once for all rules that say the same, and only those that hold leave it.
     """
-    nodes, leaves, depth = rule_tree(rules)
+    said, told = shared_conditions(rules, keep)
+    nodes, leaves, depth = rule_tree(said)
     atoms = _cut(leaf_atoms(leaves))
     fields = [r.field for r in atoms.select("field").distinct().collect()]  # at most len(FIELDS)
     if not fields:
@@ -243,29 +311,30 @@ def matching_rules(mail: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ()
     words = _cut(rows.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n")))
     used = ["field", "atom_op", "atom_value"]
     named = _cut(atoms.select(used).distinct().withColumn("atom", F.monotonically_increasing_id()))
-    hits = _cut(atom_hits(words.select("field", "value"), named.select(used)).join(named, used))
-    cost = hits.join(words, ["field", "value"]).groupBy(used).agg(F.sum("n").alias("n"))
-    entry = _cut(access(nodes, leaves, atoms, cost, depth).join(named, used).select("rule_id", "atom"))
+    hits = _cut(atom_hits(words.select("field", "value"), named.select(used)).join(named, used).select("field", "value", "atom"))
+    cost = hits.join(words, ["field", "value"]).groupBy("atom").agg(F.sum("n").alias("n"))
+    priced = atoms.join(named.join(cost, "atom", "left"), used).drop("field", "atom_op", "atom_value")
+    # conditions come with their programs and rules through each of their doors
+    whole = programs(nodes, leaves, priced).join(told, "rule_id")
+    by_door = _cut(whole.select(
+        F.explode_outer("doors").alias("atom"),  # outer: else a filter would choose the doors again
+        *[F.when(~c("simple"), c(x)).alias(y) for x, y in (("doors", "all_doors"), ("program", "program"))],
+        "must", "mustnt", "simple", F.flatten(F.array_repeat("told", c("copies"))).alias("told"))
+        .withColumn("must", F.array_remove("must", c("atom"))))
     # each distinct value's atoms, then each mail's; doors: those of them through which candidates come
-    doors = entry.select("atom", F.lit(True).alias("door")).distinct()
-    value_atoms = hits.join(doors, "atom", "left").groupBy("field", "value").agg(
-        F.collect_set("atom").alias("matched"), F.collect_set(F.when(c("door"), c("atom"))).alias("doors"))
-    flat = lambda name: F.array_distinct(F.flatten(F.collect_list(name))).alias(name)
-    mails = (rows.filter("message_id is not null").join(value_atoms, ["field", "value"])
-             .groupBy("message_id").agg(flat("matched"), flat("doors")))
-    # a rule comes with its program through each of its doors
-    told = rules.groupBy("rule_id").agg(F.collect_list(F.struct("rule_id", *keep)).alias("told")) if keep else None
-    whole = programs(nodes, leaves, atoms.join(named, used))
-    whole = (whole.withColumn("told", F.array(F.struct("rule_id"))) if told is None else whole.join(told, "rule_id")).select(
-        "rule_id", "program", "must", "mustnt", "simple", F.flatten(F.array_repeat("told", c("copies"))).alias("told"))
-    by_door = entry.join(entry.groupBy("rule_id").agg(F.collect_list("atom").alias("all_doors")), "rule_id").join(
-        whole, "rule_id").drop("rule_id")
+    doors = by_door.groupBy("atom").agg(F.bool_or("simple").alias("to_plain"), F.bool_or(~c("simple")).alias("to_nested"))
+    value_atoms = _cut(hits.join(doors, "atom", "left").groupBy("field", "value").agg(
+        F.collect_set("atom").alias("matched"), *[F.collect_set(F.when(c(f"to_{x}"), c("atom"))).alias(x) for x in ("plain", "nested")]))
+    mails = mail_atoms(mail, value_atoms, sorted(fields))
+    # apart: programs run step by step, and a join that runs them is not compiled; the bulk of the pairs is plain
+    plain = (mails.select("message_id", "matched", F.explode("plain").alias("atom"))
+             .join(by_door.filter("simple").select("atom", "must", "mustnt", "told"), "atom").filter(_quick("must", "mustnt", "matched")))
     # of the doors that let a rule in, the first one counts
-    first = (F.size("all_doors") == 1) | (F.array_min(F.array_intersect("all_doors", "doors")) == c("atom"))
-    met = mails.select("message_id", "matched", "doors", F.explode("doors").alias("atom")).join(by_door, "atom")
-    quick = (F.size(F.array_except("must", "matched")) == 0) & ~F.arrays_overlap("mustnt", "matched")
-    return met.filter(first & quick & (c("simple") | decide(c("program"), c("matched")))).select(
-        "message_id", F.explode("told").alias("told")).select("message_id", "told.*")
+    first = F.array_min(F.array_intersect("all_doors", "nested")) == c("atom")
+    nested = (mails.select("message_id", "matched", "nested", F.explode("nested").alias("atom")).join(by_door.filter("not simple").drop("simple"), "atom")
+              .filter(first & _quick("must", "mustnt", "matched") & decide(c("program"), c("matched"))))
+    tell = lambda df: df.select("message_id", F.explode("told").alias("told")).select("message_id", "told.*")
+    return tell(plain).unionByName(tell(nested))
 
 
 # --- the registered query: a rule a customer, and the seed rules --------------------------------
@@ -316,4 +385,4 @@ def _sql_rule_index() -> str:
 @register("composite_rule_index", ops="B13 K26 B8 B9 C14", uses="mail", sql=_sql_rule_index())
 def composite_rule_index(fx) -> DataFrame:
     """Every mail and composite rule row that holds for it, through the predicate index."""
-    return matching_rules(fx.mail, _cut(composite_rule_rows(fx)), keep=("target_category",))
+    return matching_rules(fx.mail, composite_rule_rows(fx), keep=("target_category",))
