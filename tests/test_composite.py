@@ -6,6 +6,7 @@ import re
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from triage.operators.joins import contains_join
 from triage.plans import composite
@@ -200,3 +201,14 @@ def test_contains_join_of_the_same(spark, gram):
         got = contains_join(spark.createDataFrame(texts, "i int, f string, t string"), "t", spark.createDataFrame(pats, "f string, p string, k int"), "p", gram, same="f")
         assert sorted(tuple(r) for r in got.select("i", "f", "t", "p", "k").collect()) == sorted(
             (i, f, t, p, k) for i, f, t in texts for g, p, k in pats if f == g and t is not None and p and p in t)
+
+
+def test_wide_doors_are_dealt_in_pieces(spark):
+    """A door that lets many pairs in is joined in pieces, each pair once; the mails are not dealt by bytes."""
+    mails_in = spark.createDataFrame([(f"m{i}", [], 1 if i % 5 else 2) for i in range(60)], "message_id string, matched array<bigint>, atom long")
+    by_door = spark.createDataFrame([(a, [], [], [(f"r{a}{k}",)]) for a in (1, 2) for k in range(10)],
+                                    "atom long, must array<bigint>, mustnt array<bigint>, told array<struct<rule_id:string>>")
+    out = composite.spread_join(mails_in, by_door, spark.createDataFrame([(1, 48), (2, 12)], "atom long, n long"), piece=120)
+    got = [tuple(x) for x in out.select("message_id", F.col("told")[0]["rule_id"]).collect()]
+    assert sorted(got) == sorted((f"m{i}", f"r{1 if i % 5 else 2}{k}") for i in range(60) for k in range(10))
+    assert {x.atom: x.n for x in out.groupBy("atom").agg(F.count_distinct("piece").alias("n")).collect()} == {1: 4, 2: 1}

@@ -295,6 +295,22 @@ def _quick(must: str, mustnt: str, matched: str, n: int = 4) -> Column:
         (F.size(mustnt) <= n) | ~F.arrays_overlap(mustnt, matched))
 
 
+def spread_join(mails: DataFrame, by_door: DataFrame, cost: DataFrame, piece: int = 5_000_000) -> DataFrame:
+    """Inner join on ``atom``; a door that lets more than ``piece`` pairs of mail and rule in is dealt in pieces of about that many.
+
+    Pairs, not bytes, say what a task has to do: few mails meet many rules behind one door, so partitions are not
+    put together by their size either.
+    """
+    pairs = by_door.groupBy("atom").agg(F.sum(F.size("told")).alias("rules")).join(cost, "atom")
+    wide = _cut(pairs.select("atom", F.ceil(c("n") * c("rules") / piece).cast("int").alias("pieces")).filter("pieces > 1"))
+    wide = F.broadcast(wide)  # no more doors than pairs / piece
+    parts = int(mails.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = F.coalesce("pieces", F.lit(1))
+    left = mails.join(wide, "atom", "left").withColumn("piece", F.pmod(F.xxhash64("message_id"), pieces).cast("int")).drop("pieces")
+    right = by_door.join(wide, "atom", "left").withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("pieces")
+    return left.repartition(parts, "atom", "piece").join(right, ["atom", "piece"])
+
+
 def matching_rules(mail: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """(message_id, rule_id) of every mail and composite rule that holds for it, with the rule's columns ``keep``.
 
@@ -312,7 +328,7 @@ def matching_rules(mail: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ()
     used = ["field", "atom_op", "atom_value"]
     named = _cut(atoms.select(used).distinct().withColumn("atom", F.monotonically_increasing_id()))
     hits = _cut(atom_hits(words.select("field", "value"), named.select(used)).join(named, used).select("field", "value", "atom"))
-    cost = hits.join(words, ["field", "value"]).groupBy("atom").agg(F.sum("n").alias("n"))
+    cost = _cut(hits.join(words, ["field", "value"]).groupBy("atom").agg(F.sum("n").alias("n")))
     priced = atoms.join(named.join(cost, "atom", "left"), used).drop("field", "atom_op", "atom_value")
     # conditions come with their programs and rules through each of their doors
     whole = programs(nodes, leaves, priced).join(told, "rule_id")
@@ -327,8 +343,8 @@ def matching_rules(mail: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ()
         F.collect_set("atom").alias("matched"), *[F.collect_set(F.when(c(f"to_{x}"), c("atom"))).alias(x) for x in ("plain", "nested")]))
     mails = mail_atoms(mail, value_atoms, sorted(fields))
     # apart: programs run step by step, and a join that runs them is not compiled; the bulk of the pairs is plain
-    plain = (mails.select("message_id", "matched", F.explode("plain").alias("atom"))
-             .join(by_door.filter("simple").select("atom", "must", "mustnt", "told"), "atom").filter(_quick("must", "mustnt", "matched")))
+    plain = spread_join(mails.select("message_id", "matched", F.explode("plain").alias("atom")),
+                        by_door.filter("simple").select("atom", "must", "mustnt", "told"), cost).filter(_quick("must", "mustnt", "matched"))
     # of the doors that let a rule in, the first one counts
     first = F.array_min(F.array_intersect("all_doors", "nested")) == c("atom")
     nested = (mails.select("message_id", "matched", "nested", F.explode("nested").alias("atom")).join(by_door.filter("not simple").drop("simple"), "atom")
